@@ -345,3 +345,122 @@ def corpus_oracles() -> dict[str, str]:
         f"CASE WHEN {fwd} THEN ar ELSE en END AS reference_text FROM pk",
     )
     return q
+
+
+# ------------------------------------------------------------------ run-log oracles
+
+METRIC_LOG_CTE = """
+mlog AS (SELECT user_id % 5 AS run_id, (event_id % 200) * 40 AS step, event_id AS ingest_seq,
+                value / 50 AS val_loss, fmod(value, 30) AS bleu, fmod(value, 7) * 10 AS chrf,
+                CAST(NULL AS DOUBLE) AS comet FROM events),
+ulog AS (SELECT * FROM mlog QUALIFY row_number() OVER (PARTITION BY run_id, step ORDER BY ingest_seq DESC) = 1)"""
+
+
+def _ppl(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) OR isinf({x}) THEN 'NaN'::DOUBLE ELSE exp(least({x}, 20)) END"
+
+
+def _finite(x: str) -> str:
+    return f"({x} IS NOT NULL AND NOT isnan({x}) AND NOT isinf({x}))"
+
+
+def _batched(split: str, size: int = 24) -> str:
+    return (
+        f"bt AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY {md5_key(42)}, row_id) - 1) / {size}) AS BIGINT) AS batch_id "
+        f"FROM bidir WHERE split = '{split}')"
+    )
+
+
+def _words_sql(x: str) -> str:
+    return words(x)
+
+
+def run_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["coerce_numeric"] = (
+        "SELECT user_id % 5 AS run_id, CAST((event_id % 200) * 40 AS BIGINT) AS step, event_id AS ingest_seq, "
+        "TRY_CAST(CAST(value / 50 AS VARCHAR) AS DOUBLE) AS val_loss, TRY_CAST(CAST(fmod(value, 30) AS VARCHAR) AS DOUBLE) AS bleu, "
+        "TRY_CAST(props AS DOUBLE) AS props FROM events"
+    )
+    q["loss_to_ppl"] = with_(METRIC_LOG_CTE, f"SELECT run_id, step, val_loss, round({_ppl('val_loss')}, 6) AS val_ppl FROM ulog")
+    q["upsert_metric_log"] = with_(METRIC_LOG_CTE, "SELECT run_id, step, ingest_seq, val_loss, bleu, chrf, comet FROM ulog")
+    q["sort_by_step"] = with_(METRIC_LOG_CTE, "SELECT run_id, step, val_loss FROM ulog ORDER BY run_id, step")
+    parts = []
+    for m, mode in (("val_loss", "min"), ("bleu", "max"), ("chrf", "max"), ("comet", "max")):
+        order = f"{m} ASC" if mode == "min" else f"{m} DESC"
+        parts.append(
+            f"SELECT run_id, '{m}' AS metric, step, {m} AS value FROM ulog WHERE {_finite(m)} "
+            f"QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY {order}, step) = 1"
+        )
+    q["best_points"] = with_(METRIC_LOG_CTE, "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts))
+    q["rolling_mean"] = with_(
+        METRIC_LOG_CTE,
+        f"SELECT run_id, step, val_loss AS value, avg(CASE WHEN {_finite('val_loss')} THEN val_loss END) "
+        "OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS smooth FROM ulog",
+    )
+    q["running_best"] = with_(
+        METRIC_LOG_CTE
+        + f""",
+rb AS (SELECT run_id, step, val_loss, CASE WHEN {_finite('val_loss')} THEN val_loss END AS v,
+          min(CASE WHEN {_finite('val_loss')} THEN val_loss END) OVER (PARTITION BY run_id ORDER BY step
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM ulog)""",
+        "SELECT run_id, step, val_loss AS value, coalesce(v IS NOT NULL AND (before IS NULL OR v < before), false) AS is_best, "
+        "CASE WHEN before IS NULL THEN v WHEN v IS NULL THEN before ELSE least(before, v) END AS best_so_far FROM rb",
+    )
+    q["retain_last_n"] = with_(
+        METRIC_LOG_CTE,
+        "SELECT run_id, step, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) <= 10 AS keep FROM ulog WHERE step % 200 = 0",
+    )
+    q["cadence_flags"] = with_(
+        METRIC_LOG_CTE,
+        "SELECT run_id, step, (step % 40 = 0 OR step = 1) AS should_log, (step % 400 = 0 OR step = 32000) AS should_eval, "
+        "(step % 500 = 0 OR step = 32000) AS should_save FROM ulog",
+    )
+    q["interval_metrics"] = """WITH
+m AS (SELECT 0 AS run_id, event_id AS micro, ts, value / 50 AS loss, CAST(floor(event_id / 32) AS BIGINT) + 1 AS s FROM events),
+t AS (SELECT *, CASE WHEN s = 1 THEN 1 ELSE CAST(ceil(s / 40) * 40 AS BIGINT) END AS interval_end FROM m),
+a AS (SELECT run_id, interval_end, avg(loss) AS avg_loss,
+             (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM t GROUP BY run_id, interval_end),
+lm AS (SELECT max(micro) AS last_micro FROM m),
+c AS (SELECT a.*, interval_end - CASE WHEN interval_end = 1 THEN 0 WHEN interval_end = 40 THEN 1 ELSE interval_end - 40 END AS steps
+      FROM a, lm WHERE interval_end * 32 - 1 <= last_micro),
+r AS (SELECT *, CASE WHEN seconds > 0 THEN steps / seconds ELSE 0.0 END AS sps FROM c)
+SELECT CAST(run_id AS BIGINT) AS run_id, CAST(interval_end AS BIGINT) AS interval_end, round(avg_loss, 6) AS avg_loss,
+       round(""" + _ppl("avg_loss") + """, 6) AS ppl, CAST(steps AS BIGINT) AS steps, round(seconds, 6) AS seconds,
+       round(sps, 6) AS steps_per_sec, round(CASE WHEN sps > 0 THEN 1.0 / sps ELSE 'inf'::DOUBLE END, 6) AS sec_per_step,
+       CAST(interval_end * 768 AS BIGINT) AS examples_seen, round(interval_end * 768 / 1489852, 6) AS approx_epochs FROM r"""
+    q["validation_loss"] = (
+        "WITH v AS (SELECT coalesce(avg(value / 50), 'NaN'::DOUBLE) AS val_loss FROM events WHERE event_id < 300) "
+        f"SELECT round(val_loss, 6) AS val_loss, round({_ppl('val_loss')}, 6) AS val_ppl FROM v"
+    )
+    q["training_volume"] = with_(
+        PREPARED_CTE + ",\nn AS (SELECT count(*) AS n FROM bidir WHERE split = 'train')",
+        """SELECT metric, value FROM (
+  SELECT 'examples_per_micro_batch' AS metric, 24.0::DOUBLE AS value UNION ALL
+  SELECT 'gradient_accumulation_steps', 32.0 UNION ALL
+  SELECT 'examples_per_optimizer_step', 768.0 UNION ALL
+  SELECT 'max_steps', 32000.0 UNION ALL
+  SELECT 'examples_seen_total', 24576000.0 UNION ALL
+  SELECT 'train_examples', (SELECT CAST(n AS DOUBLE) FROM n) UNION ALL
+  SELECT 'approx_epochs_over_train_split', (SELECT round_even(CAST(24576000.0 / n AS DOUBLE), 4) FROM n) UNION ALL
+  SELECT 'coverage_percent_of_train_split %', (SELECT round_even(CAST(24576000.0 / n * 100 AS DOUBLE), 2) FROM n)) t""",
+    )
+    q["assign_batches"] = with_(PREPARED_CTE + ",\n" + _batched("val"), "SELECT row_id, batch_id FROM bt")
+    tps_cte = (
+        PREPARED_CTE
+        + ",\n"
+        + _batched("train")
+        + f""",
+tk AS (SELECT CAST(floor(batch_id / 8) AS BIGINT) + 1 AS optimizer_step, batch_id,
+              {words('source_text')} AS src, {words('target_text')} AS tgt FROM bt),
+st AS (SELECT optimizer_step, CAST(sum(src) AS BIGINT) AS src_tokens, CAST(sum(tgt) AS BIGINT) AS tgt_tokens
+       FROM tk GROUP BY optimizer_step HAVING count(DISTINCT batch_id) = 8 AND optimizer_step <= 200)"""
+    )
+    q["tokens_per_step"] = with_(tps_cte, "SELECT optimizer_step, src_tokens, tgt_tokens, src_tokens + tgt_tokens AS total_tokens FROM st")
+    q["tokens_per_step_summary"] = with_(
+        tps_cte,
+        "SELECT count(*) AS steps, round(avg(src_tokens + tgt_tokens), 6) AS mean, "
+        "round(quantile_cont(src_tokens + tgt_tokens, 0.5), 6) AS p50, round(quantile_cont(src_tokens + tgt_tokens, 0.9), 6) AS p90, "
+        "min(src_tokens + tgt_tokens) AS min, max(src_tokens + tgt_tokens) AS max FROM st",
+    )
+    return q

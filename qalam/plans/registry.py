@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from qalam.plans import corpus
+    from qalam.plans import corpus, runs
 
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     out.update(corpus.QUERIES)
+    out.update(runs.QUERIES)
     return out
 
 
@@ -20,4 +21,5 @@ def all_oracles() -> dict[str, str]:
 
     out: dict[str, str] = {}
     out.update(oracle.corpus_oracles())
+    out.update(oracle.run_oracles())
     return out
