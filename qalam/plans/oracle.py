@@ -464,3 +464,122 @@ st AS (SELECT optimizer_step, CAST(sum(src) AS BIGINT) AS src_tokens, CAST(sum(t
         "min(src_tokens + tgt_tokens) AS min, max(src_tokens + tgt_tokens) AS max FROM st",
     )
     return q
+
+
+# ------------------------------------------------------------------ evaluation oracles
+
+_SYM = r"([\{-\~\[-\` -\&\(-\+\:-\@\/])"
+
+
+def tok13a(x: str) -> str:
+    pre = f"replace(replace(replace({x}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
+    pre = f"replace(replace(replace(replace({pre}, '&quot;', '\"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>')"
+    s = f"(' ' || {pre} || ' ')"
+    s = f"regexp_replace({s}, '{_SYM}', ' \\1 ', 'g')"
+    s = f"regexp_replace({s}, '([^0-9])([\\.,])', '\\1 \\2 ', 'g')"
+    s = f"regexp_replace({s}, '([\\.,])([^0-9])', ' \\1 \\2', 'g')"
+    s = f"regexp_replace({s}, '([0-9])(-)', '\\1 \\2 ', 'g')"
+    return f"regexp_extract_all({s}, '[^{WS_CLASS}]+')"
+
+
+PRED_CTE = (
+    PREPARED_CTE
+    + f""",
+preds AS (SELECT row_id, direction, source_text, target_text,
+            CASE (row_id // 2) % 4 WHEN 0 THEN target_text
+                 WHEN 1 THEN substr(target_text, 1, CAST(floor(length(target_text) * 0.8) AS BIGINT))
+                 WHEN 2 THEN replace(target_text, ' the ', ' ')
+                 ELSE substr(source_text, 7) END AS prediction
+          FROM bidir WHERE split = 'test'),
+tp AS (SELECT row_id, direction, {strip(fill('prediction'))} AS hyp, {strip(fill('target_text'))} AS ref FROM preds),
+tk AS (SELECT row_id, direction, {tok13a('hyp')} AS ht, {tok13a('ref')} AS rt,
+              regexp_replace(hyp, '[{WS_CLASS}]+', '', 'g') AS hc, regexp_replace(ref, '[{WS_CLASS}]+', '', 'g') AS rc FROM tp),
+hg AS (SELECT t.row_id, o.n, array_to_string(list_slice(t.ht, i.i + 1, i.i + o.n), chr(1)) AS g, count(*) AS c
+       FROM tk t, range(1, 5) o(n), range(0, greatest(len(t.ht) - o.n + 1, 0)) i(i) GROUP BY 1, 2, 3),
+rg AS (SELECT t.row_id, o.n, array_to_string(list_slice(t.rt, i.i + 1, i.i + o.n), chr(1)) AS g, count(*) AS c
+       FROM tk t, range(1, 5) o(n), range(0, greatest(len(t.rt) - o.n + 1, 0)) i(i) GROUP BY 1, 2, 3),
+bm AS (SELECT h.row_id, h.n, sum(least(h.c, r.c)) AS m FROM hg h JOIN rg r ON h.row_id = r.row_id AND h.n = r.n AND h.g = r.g GROUP BY 1, 2),
+hcg AS (SELECT t.row_id, o.n, substr(t.hc, i.i, o.n) AS g, count(*) AS c
+        FROM tk t, range(1, 7) o(n), range(1, greatest(length(t.hc) - o.n + 2, 1)) i(i) GROUP BY 1, 2, 3),
+rcg AS (SELECT t.row_id, o.n, substr(t.rc, i.i, o.n) AS g, count(*) AS c
+        FROM tk t, range(1, 7) o(n), range(1, greatest(length(t.rc) - o.n + 2, 1)) i(i) GROUP BY 1, 2, 3),
+cm AS (SELECT h.row_id, h.n, sum(least(h.c, r.c)) AS m FROM hcg h JOIN rcg r ON h.row_id = r.row_id AND h.n = r.n AND h.g = r.g GROUP BY 1, 2),
+bmw AS (SELECT row_id, """
+    + ", ".join(f"sum(m) FILTER (WHERE n = {n}) AS m{n}" for n in range(1, 5))
+    + """ FROM bm GROUP BY row_id),
+cmw AS (SELECT row_id, """
+    + ", ".join(f"sum(m) FILTER (WHERE n = {n}) AS cm{n}" for n in range(1, 7))
+    + """ FROM cm GROUP BY row_id),
+st AS (SELECT t.row_id, t.direction, len(t.ht) AS hyp_len, len(t.rt) AS ref_len, """
+    + ", ".join(f"coalesce(b.m{n}, 0) AS m{n}, greatest(len(t.ht) - {n - 1}, 0) AS t{n}" for n in range(1, 5))
+    + ", "
+    + ", ".join(
+        f"CASE WHEN greatest(length(t.rc) - {n - 1}, 0) > 0 THEN greatest(length(t.hc) - {n - 1}, 0) ELSE 0 END AS ch{n}, "
+        f"greatest(length(t.rc) - {n - 1}, 0) AS cr{n}, coalesce(c.cm{n}, 0) AS cm{n}"
+        for n in range(1, 7)
+    )
+    + """
+       FROM tk t LEFT JOIN bmw b ON b.row_id = t.row_id LEFT JOIN cmw c ON c.row_id = t.row_id)"""
+)
+
+_STAT_COLS = ["hyp_len", "ref_len"] + [f"m{n}" for n in range(1, 5)] + [f"t{n}" for n in range(1, 5)] + [
+    f"{k}{n}" for n in range(1, 7) for k in ("ch", "cr", "cm")
+]
+
+
+def _bleu_sql() -> str:
+    bp = "CASE WHEN hyp_len < ref_len THEN CASE WHEN hyp_len > 0 THEN exp(1 - ref_len / hyp_len) ELSE 0.0 END ELSE 1.0 END"
+    logs = []
+    z = "0"
+    for n in range(1, 5):
+        z = f"{z} + CASE WHEN m{n} = 0 THEN 1 ELSE 0 END"
+        logs.append(f"ln(CASE WHEN m{n} > 0 THEN 100.0 * m{n} / t{n} ELSE 100.0 / (pow(2.0, {z}) * t{n}) END)")
+    guard = " OR ".join(f"t{n} = 0" for n in range(1, 5)) + " OR (m1 = 0 AND m2 = 0 AND m3 = 0 AND m4 = 0)"
+    return f"CASE WHEN {guard} THEN 0.0 ELSE ({bp}) * exp(({' + '.join(logs)}) / 4) END"
+
+
+def _chrf_sql() -> str:
+    ok = [f"(ch{n} > 0 AND cr{n} > 0)" for n in range(1, 7)]
+    eff = " + ".join(f"CASE WHEN {o} THEN 1 ELSE 0 END" for o in ok)
+    prec = "0.0 + " + " + ".join(f"CASE WHEN {ok[n - 1]} THEN cm{n} / ch{n} ELSE 0.0 END" for n in range(1, 7))
+    rec = "0.0 + " + " + ".join(f"CASE WHEN {ok[n - 1]} THEN cm{n} / cr{n} ELSE 0.0 END" for n in range(1, 7))
+    p = f"(CASE WHEN ({eff}) > 0 THEN ({prec}) / ({eff}) ELSE 0.0 END)"
+    r = f"(CASE WHEN ({eff}) > 0 THEN ({rec}) / ({eff}) ELSE 0.0 END)"
+    return f"CASE WHEN {p} + {r} > 0 THEN 100.0 * 5.0 * {p} * {r} / (4.0 * {p} + {r}) ELSE 0.0 END"
+
+
+def _sums_sql() -> str:
+    return ", ".join(f"sum({c}) AS {c}" for c in _STAT_COLS)
+
+
+def eval_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["trim_predictions"] = with_(PRED_CTE, "SELECT row_id, hyp AS prediction, ref AS target_text FROM tp")
+    q["align_predictions"] = with_(PRED_CTE, "SELECT row_id, direction, source_text, target_text, prediction FROM preds")
+    q["corpus_bleu"] = with_(PRED_CTE + f",\nsm AS (SELECT {_sums_sql()} FROM st)", f"SELECT round({_bleu_sql()}, 6) AS bleu FROM sm")
+    q["corpus_chrf"] = with_(PRED_CTE + f",\nsm AS (SELECT {_sums_sql()} FROM st)", f"SELECT round({_chrf_sql()}, 6) AS chrf FROM sm")
+    by_dir = (
+        PRED_CTE
+        + f",\nsm AS (SELECT direction, count(*) AS num_samples, {_sums_sql()} FROM st GROUP BY GROUPING SETS ((), (direction))),"
+        + f"\nsc AS (SELECT direction, num_samples, CAST(ceil(num_samples / 24) AS BIGINT) AS num_batches, "
+        + f"round({_bleu_sql()}, 6) AS bleu, round({_chrf_sql()}, 6) AS chrf FROM sm)"
+    )
+    q["scores_by_direction"] = with_(by_dir, "SELECT direction, num_samples, num_batches, bleu, chrf FROM sc")
+    q["eval_text_metrics"] = with_(
+        by_dir,
+        """SELECT max(num_samples) FILTER (WHERE direction IS NULL) AS num_samples,
+       max(num_batches) FILTER (WHERE direction IS NULL) AS num_batches,
+       max(bleu) FILTER (WHERE direction IS NULL) AS bleu, max(chrf) FILTER (WHERE direction IS NULL) AS chrf,
+       'NaN'::DOUBLE AS comet,
+       max(bleu) FILTER (WHERE direction = 'en_to_ar') AS bleu_en_to_ar, max(bleu) FILTER (WHERE direction = 'ar_to_en') AS bleu_ar_to_en,
+       max(chrf) FILTER (WHERE direction = 'en_to_ar') AS chrf_en_to_ar, max(chrf) FILTER (WHERE direction = 'ar_to_en') AS chrf_ar_to_en
+FROM sc""",
+    )
+    q["batch_predict"] = with_(
+        PREPARED_CTE,
+        "SELECT row_id, direction, source_text, target_text, "
+        f"{strip('CASE WHEN starts_with(source_text, ' + chr(39) + '<2ar> ' + chr(39) + ') OR starts_with(source_text, ' + chr(39) + '<2en> ' + chr(39) + ') THEN substr(source_text, 7) ELSE source_text END')} AS prediction "
+        "FROM bidir WHERE split = 'test'",
+    )
+    q["map_batches"] = with_(CLEANED_CTE, "SELECT row_id, CAST(length(en) AS BIGINT) AS en_chars, CAST(length(ar) AS BIGINT) AS ar_chars FROM cleaned")
+    return q

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from qalam.plans import corpus, runs
+    from qalam.plans import corpus, evaluation, runs
 
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     out.update(corpus.QUERIES)
     out.update(runs.QUERIES)
+    out.update(evaluation.QUERIES)
     return out
 
 
@@ -22,4 +23,5 @@ def all_oracles() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(oracle.corpus_oracles())
     out.update(oracle.run_oracles())
+    out.update(oracle.eval_oracles())
     return out

@@ -59,3 +59,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/qalam-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``qalam`` importable in Python workers (Arrow UDFs) via ``addPyFile`` once per context."""
+    import importlib.util
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    if importlib.util.find_spec("qalam") is None:  # pragma: no cover
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="qalam-pkg-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
