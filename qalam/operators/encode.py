@@ -23,18 +23,21 @@ def _broadcast(df: DataFrame, model: BPEModel):
     from qalam.session import ship_package
 
     ship_package(df.sparkSession)
-    return df.sparkSession.sparkContext.broadcast((list(model.tokens), list(model.merges)))
+    import uuid
+
+    bc = df.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, list(model.tokens), list(model.merges)))
+    return bc
 
 
 def _encoder(bc):
-    enc = _ENCODERS.get(bc.id)
+    key, tokens, merges = bc.value
+    enc = _ENCODERS.get(key)
     if enc is None:
         from qalam.functions.bytelevel import BPEEncoder
 
-        tokens, merges = bc.value
         enc = BPEEncoder({t: i for i, t in enumerate(tokens)}, [tuple(m) for m in merges])
         _ENCODERS.clear()
-        _ENCODERS[bc.id] = enc
+        _ENCODERS[key] = enc
     return enc
 
 
@@ -105,7 +108,7 @@ def decode_ids(df: DataFrame, model: BPEModel, cols: list[str], skip_special: bo
     def run(batches):
         from qalam.functions.bytelevel import decode_symbols
 
-        tokens = bc.value[0]
+        tokens = bc.value[1]
         for pdf in batches:
             out = pdf.copy()
             for c in cols:

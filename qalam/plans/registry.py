@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from qalam.plans import corpus, evaluation, runs
+    from qalam.plans import corpus, evaluation, runs, tokens
 
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     out.update(corpus.QUERIES)
     out.update(runs.QUERIES)
     out.update(evaluation.QUERIES)
+    out.update(tokens.QUERIES)
     return out
 
 
