@@ -91,7 +91,8 @@ def strip_diacritics(c: Column | str) -> Column:
 
 def collapse_whitespace(c: Column | str) -> Column:
     """Every whitespace run -> one space, then strip (only a single space can remain at an end)."""
-    one = F.regexp_replace(_c(c), f"[{WS_CLASS}]+", " ")
+    # only runs that are not already a single plain space need rewriting
+    one = F.regexp_replace(_c(c), f"[{WS_CLASS}]{{2,}}|[{WS_CLASS}&&[^ ]]", " ")
     return F.regexp_replace(one, "^ | $", "")
 
 

@@ -130,8 +130,10 @@ def clean_pairs(df: DataFrame, order_col: str = "row_id") -> DataFrame:
 
 def drop_blank_pairs(df: DataFrame) -> DataFrame:
     """Stage-2 row filter: drop nulls, strip both sides, drop rows blank on either side."""
-    s = df.dropna(subset=KEY).withColumns({"en": T.strip_text("en"), "ar": T.strip_text("ar")})
-    return s.where((F.col("en") != "") & (F.col("ar") != ""))
+    # "blank after strip" == "no non-whitespace character": the filter needs no strip, so
+    # pushing it below the projection does not evaluate the strip twice
+    nonblank = F.col("en").rlike(f"[^{T.WS_CLASS}]") & F.col("ar").rlike(f"[^{T.WS_CLASS}]")
+    return df.dropna(subset=KEY).where(nonblank).withColumns({"en": T.strip_text("en"), "ar": T.strip_text("ar")})
 
 
 def cleaning_funnel(df: DataFrame) -> DataFrame:

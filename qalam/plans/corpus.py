@@ -28,9 +28,29 @@ def cleaned(spark: SparkSession, d: str) -> DataFrame:
     return C.clean_pairs(raw(spark, d))
 
 
+_STAGES: dict[tuple[str, str], DataFrame] = {}
+
+
+def cleaned_stage(spark: SparkSession, d: str) -> DataFrame:
+    """The cleaned corpus as a stage boundary (the reference writes it and reads it back).
+
+    Without a boundary, Catalyst pushes stage-2 filters on ``en``/``ar`` (blank checks, the
+    split) through the dedup aggregate and inlines the whole regex cleaning chain into them,
+    evaluating it several times per row. A reliable checkpoint in the shared checkpoint folder
+    cuts that and survives executor loss; it is reused by every stage-2 query of the session.
+    """
+    from qalam.session import checkpoint_dir
+
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STAGES:
+        checkpoint_dir(spark)
+        _STAGES[key] = cleaned(spark, d).checkpoint(eager=True)
+    return _STAGES[key]
+
+
 def prepared(spark: SparkSession, d: str) -> DataFrame:
     """Stage-2 input: cleaned pairs without blanks, with the deterministic split."""
-    return SP.hash_split(C.drop_blank_pairs(cleaned(spark, d)))
+    return SP.hash_split(C.drop_blank_pairs(cleaned_stage(spark, d)))
 
 
 def bidir(spark: SparkSession, d: str) -> DataFrame:

@@ -89,3 +89,14 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(path)
     _SHIPPED.add(key)
+
+
+def balance(df, min_partitions: int | None = None):
+    """Round-robin repartition only when the input has fewer partitions than the cluster can
+    run at once (e.g. one large unsplittable file). Large inputs already arrive as many splits
+    and pass through untouched, so no shuffle is added at scale."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

@@ -32,10 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, line_no, line) for every line of every document."""
+    from qalam.session import balance
+
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.select(
-        "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
-    ).withColumn("line_no", F.col("line_no").cast("long"))
+    out = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return balance(out.withColumn("line_no", F.col("line_no").cast("long")))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
