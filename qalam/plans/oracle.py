@@ -583,3 +583,22 @@ FROM sc""",
     )
     q["map_batches"] = with_(CLEANED_CTE, "SELECT row_id, CAST(length(en) AS BIGINT) AS en_chars, CAST(length(ar) AS BIGINT) AS ar_chars FROM cleaned")
     return q
+
+
+# ------------------------------------------------------------------ source/sink round trips
+
+
+def io_oracles() -> dict[str, str]:
+    from qalam.sources.readers import PANDAS_NA_VALUES
+
+    na = ", ".join("'" + v.replace("'", "''") + "'" for v in PANDAS_NA_VALUES)
+    q: dict[str, str] = {}
+    q["write_pairs"] = with_(CLEANED_CTE, "SELECT row_id, en, ar FROM cleaned")
+    q["read_pairs_parquet"] = q["write_pairs"]
+    q["read_pairs_csv"] = with_(
+        CLEANED_CTE,
+        f"SELECT row_id, CASE WHEN en IN ({na}) THEN NULL ELSE en END AS en, CASE WHEN ar IN ({na}) THEN NULL ELSE ar END AS ar FROM cleaned",
+    )
+    q["write_metric_log"] = with_(METRIC_LOG_CTE, "SELECT run_id, step, ingest_seq, val_loss, bleu, chrf, comet FROM ulog")
+    q["read_metric_log"] = with_(METRIC_LOG_CTE, "SELECT run_id, count(*) AS rows FROM mlog GROUP BY run_id")
+    return q

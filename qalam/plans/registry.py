@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from qalam.plans import corpus, evaluation, runs, tokens
+    from qalam.plans import corpus, evaluation, io, runs, tokens
 
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     out.update(corpus.QUERIES)
     out.update(runs.QUERIES)
     out.update(evaluation.QUERIES)
     out.update(tokens.QUERIES)
+    out.update(io.QUERIES)
     return out
 
 
@@ -25,4 +26,5 @@ def all_oracles() -> dict[str, str]:
     out.update(oracle.corpus_oracles())
     out.update(oracle.run_oracles())
     out.update(oracle.eval_oracles())
+    out.update(oracle.io_oracles())
     return out
