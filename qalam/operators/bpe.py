@@ -139,29 +139,115 @@ def _segment(word: str, id_of: dict[str, int], merges: list[tuple[int, int, int]
     return seg
 
 
+def _count_pairs(segs: list[list[int]], counts) -> tuple:
+    """Weighted adjacent-pair counts of many symbol sequences, vectorised with numpy."""
+    from itertools import chain
+
+    import numpy as np
+
+    lens = np.fromiter(map(len, segs), dtype=np.int64, count=len(segs))
+    total = int(lens.sum())
+    if total < 2:
+        e = np.zeros(0, dtype=np.int64)
+        return e, e, e
+    flat = np.fromiter(chain.from_iterable(segs), dtype=np.int64, count=total)
+    weight = np.repeat(np.asarray(counts, dtype=np.int64), lens)
+    keys = (flat[:-1] << 20) | flat[1:]
+    valid = np.ones(total - 1, dtype=bool)
+    ends = np.cumsum(lens)[:-1] - 1  # last symbol of every word but the final one
+    valid[ends[ends < total - 1]] = False
+    keys, w = keys[valid], weight[:-1][valid]
+    uniq, inv = np.unique(keys, return_inverse=True)
+    sums = np.bincount(inv, weights=w).astype(np.int64)
+    return uniq >> 20, uniq & ((1 << 20) - 1), sums
+
+
+_BATCH_STATES: dict[int, dict] = {}
+_BATCH_STATES_MAX = 512
+
+
+def _apply_new(seg: list[int], merges: list[tuple[int, int, int]]) -> list[int]:
+    for a, b, new in merges:
+        if len(seg) < 2:
+            break
+        if a not in seg:
+            continue
+        res, i, n = [], 0, len(seg)
+        while i < n:
+            if i + 1 < n and seg[i] == a and seg[i + 1] == b:
+                res.append(new)
+                i += 2
+            else:
+                res.append(seg[i])
+                i += 1
+        seg = res
+    return seg
+
+
+def _batch_counts(words: list[str], counts, id_of: dict[str, int], merges: list[tuple[int, int, int]]):
+    """Pair counts of one Arrow batch after ``merges``.
+
+    A worker keeps, per batch (keyed by a 64-bit hash of its words and counts), the current
+    segmentations and pair counts; a later round only re-segments the words that contain a
+    newly merged left symbol and applies the count differences. A miss (the batch ran on
+    another worker before) falls back to a full recount, so results never depend on placement.
+    """
+    import numpy as np
+    import xxhash
+
+    h = xxhash.xxh64()
+    h.update("\x00".join(words).encode("utf-8"))
+    h.update(np.asarray(counts, dtype=np.int64).tobytes())
+    key = h.intdigest()
+    st = _BATCH_STATES.get(key)
+    if st is None:
+        segs = [_segment(w, id_of, merges) for w in words]
+        a, b, c = _count_pairs(segs, counts)
+        st = {"done": len(merges), "segs": segs, "n": [int(x) for x in counts],
+              "pairs": dict(zip(((a << 20) | b).tolist(), c.tolist()))}
+        if len(_BATCH_STATES) >= _BATCH_STATES_MAX:
+            _BATCH_STATES.clear()
+        _BATCH_STATES[key] = st
+    elif st["done"] < len(merges):
+        new = merges[st["done"]:]
+        lefts = {m[0] for m in new}
+        pairs, segs, ns = st["pairs"], st["segs"], st["n"]
+        for i, seg in enumerate(segs):
+            if lefts.isdisjoint(seg):
+                continue
+            nseg = _apply_new(seg, new)
+            if len(nseg) == len(seg):
+                continue
+            n = ns[i]
+            for j in range(len(seg) - 1):
+                k = (seg[j] << 20) | seg[j + 1]
+                left = pairs[k] - n
+                if left:
+                    pairs[k] = left
+                else:
+                    del pairs[k]
+            for j in range(len(nseg) - 1):
+                k = (nseg[j] << 20) | nseg[j + 1]
+                pairs[k] = pairs.get(k, 0) + n
+            segs[i] = nseg
+        st["done"] = len(merges)
+    keys = np.fromiter(st["pairs"].keys(), dtype=np.int64, count=len(st["pairs"]))
+    vals = np.fromiter(st["pairs"].values(), dtype=np.int64, count=len(st["pairs"]))
+    return keys >> 20, keys & ((1 << 20) - 1), vals
+
+
 def _pair_counts(words: DataFrame, id_of: dict[str, int], bc) -> DataFrame:
     """Partial adjacent-pair counts per Arrow batch, summed by a partial+final aggregate."""
 
     def run(batches):
         import pandas as pd
 
-        from qalam.operators.bpe import _segment
+        from qalam.operators.bpe import _batch_counts
 
         merges = bc.value
         for pdf in batches:
-            c: Counter = Counter()
-            for w, n in zip(pdf["word"], pdf["n"]):
-                seg = _segment(w, id_of, merges)
-                for i in range(len(seg) - 1):
-                    c[(seg[i], seg[i + 1])] += int(n)
-            keys = list(c.keys())
-            yield pd.DataFrame(
-                {
-                    "a": pd.Series([k[0] for k in keys], dtype="int32"),
-                    "b": pd.Series([k[1] for k in keys], dtype="int32"),
-                    "c": pd.Series(list(c.values()), dtype="int64"),
-                }
-            )
+            a, b, c = _batch_counts(pdf["word"].tolist(), pdf["n"].to_numpy(), id_of, merges)
+            yield pd.DataFrame({"a": a.astype("int32"), "b": b.astype("int32"), "c": c})
 
     return words.mapInPandas(run, "a int, b int, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
 

@@ -120,11 +120,15 @@ def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(row_id, direction, source_text, target_text, prediction)`` on the test split (B3)."""
-    from qalam.operators.clean import drop_blank_pairs
-    from qalam.operators.split import bidirectional_expand, hash_split
+    from qalam.plans.corpus import bidir
 
-    base = hash_split(drop_blank_pairs(cleaned_pairs(spark, sf_dir)))
-    bi = bidirectional_expand(base).where(F.col("split") == "test")
+    return predictions_from(bidir(spark, sf_dir))
+
+
+def predictions_from(bi: DataFrame) -> DataFrame:
+    """Deterministic stand-in predictions over bidirectional rows: exact, 80 % prefix, one word
+    dropped, or the untranslated source (by ``(row_id // 2) % 4``)."""
+    bi = bi.where(F.col("split") == "test")
     k = F.floor(F.col("row_id") / 2)
     ref = F.col("target_text")
     src_untagged = F.expr("substring(source_text, 7)")
