@@ -7,12 +7,15 @@
    the merges learned so far (incrementally, from a per-worker cache), emits partial pair
    counts per Arrow batch, a partial+final ``groupBy(a, b)`` sums them, and only the top-K
    pairs reach the driver. The plan depth is constant across rounds.
-3. Exact batched merges: walk the top pairs in order (count desc, ids asc); accept while a pair
-   shares no symbol with an accepted one; the first conflicting pair (or a self-pair, or the
-   K-th pair, or a pair under ``min_frequency``) is the stop bound. Accepted pairs after the
-   first must be strictly above the stop count. Any pair created by a merge is bounded by a
-   conflicting pair's count, so the accepted prefix is exactly what one-at-a-time BPE would
-   choose, in the same order.
+3. Exact batched merges. Merging ``(a, b)`` changes the counts of exactly the pairs that
+   *chain* with it -- ``(x, a)`` and ``(b, y)`` -- and creates pairs holding the new symbol,
+   each bounded by the count of such a chain pair. Pairs that merely share a symbol
+   (``(a, c)``, ``(c, b)``) occupy disjoint positions and keep their counts. So the prefix of
+   the exact top-K list (count desc, ids asc) up to the first pair that chains with an
+   accepted one is what one-at-a-time BPE picks, in the same order: every pair the batch
+   touches sits after the stop in that order, and a created pair never wins a tie because the
+   new symbol's id is larger than every existing id. A self-pair ``(a, a)`` ends the batch
+   (``a a a`` leaves ``aa a``, bounded only by the self-pair itself).
 
 What reaches the driver per round is K rows; the merges list (broadcast each round) is bounded
 by ``vocab_size``.
@@ -20,6 +23,8 @@ by ``vocab_size``.
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -30,6 +35,7 @@ from pyspark.sql import types as Ty
 from qalam.functions.bytelevel import SPECIAL_TOKENS, alphabet
 
 MAX_VOCAB = 1_000_000
+_LOG = logging.getLogger("qalam.bpe")
 
 
 @dataclass
@@ -38,6 +44,7 @@ class BPEModel:
 
     tokens: list[str]
     merges: list[tuple[str, str]] = field(default_factory=list)
+    rounds: int = 0
 
     @property
     def vocab(self) -> dict[str, int]:
@@ -81,61 +88,80 @@ def pretoken_counts(df: DataFrame, text_cols: list[str]) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def select_batch(top: list[tuple[int, int, int]], top_k: int, min_frequency: int, room: int) -> list[tuple[int, int, int]]:
-    """Exact merge batch from the sorted top pairs ``(a, b, count)`` (see module docstring)."""
-    if not top or top[0][2] < min_frequency or room <= 0:
-        return []
-    first = top[0]
-    if first[0] == first[1]:
-        return [first]
-    accepted = [first]
-    used = {first[0], first[1]}
-    stop = None
-    for a, b, c in top[1:]:
-        if c < min_frequency or a == b or a in used or b in used:
-            stop = c
+def select_batch(top: list[tuple[int, int, int]], min_frequency: int, room: int) -> list[tuple[int, int, int]]:
+    """Exact merge batch from the exact top pairs ``(a, b, count)`` sorted by count desc, then
+    ``a``, ``b`` ascending (see module docstring)."""
+    accepted: list[tuple[int, int, int]] = []
+    lefts: set[int] = set()
+    rights: set[int] = set()
+    for a, b, c in top:
+        if len(accepted) >= room or c < min_frequency:
+            break
+        if b in lefts or a in rights:  # chains with an accepted merge: its count is stale
             break
         accepted.append((a, b, c))
-        used.update((a, b))
-    else:
-        if len(top) >= top_k:
-            stop = top[-1][2]
-            if accepted[-1] == top[-1] and len(accepted) > 1:
-                accepted.pop()
-    if stop is not None:
-        accepted = [accepted[0]] + [p for p in accepted[1:] if p[2] > stop]
-    return accepted[:room]
+        if a == b:
+            break
+        lefts.add(a)
+        rights.add(b)
+    return accepted
 
 
-_SEGMENTS: dict[str, tuple[int, list[int]]] = {}
 _SEGMENT_CACHE_MAX = 2_000_000
+_BATCH_STATES_MAX = 512
+# worker-side state per training run: {run: {"seg": {word: (done, seg)}, "batches": {key: state}}}
+_RUNS: dict[str, dict] = {}
 
 
-def _segment(word: str, id_of: dict[str, int], merges: list[tuple[int, int, int]]) -> list[int]:
-    """Word -> symbol ids after all ``merges`` (rank order, each left to right), reusing the
-    worker's cached segmentation from earlier rounds."""
-    hit = _SEGMENTS.get(word)
-    if hit is None:
-        done, seg = 0, [id_of[ch] for ch in word]
-    else:
-        done, seg = hit
-    for a, b, new in merges[done:]:
-        if len(seg) < 2:
+def _run_state(run: str) -> dict:
+    st = _RUNS.get(run)
+    if st is None:
+        _RUNS.clear()  # a worker serves one training at a time; older runs are finished
+        st = _RUNS[run] = {"seg": {}, "batches": {}}
+    return st
+
+
+def _ranks(merges: list[tuple[int, int, int]], state: dict) -> dict[int, tuple[int, int]]:
+    """``(a << 20 | b) -> (rank, new id)`` for the merges so far, extended incrementally."""
+    ranks = state.setdefault("ranks", {})
+    done = state.get("ranks_done", 0)
+    for r in range(done, len(merges)):
+        a, b, new = merges[r]
+        ranks[(a << 20) | b] = (r, new)
+    state["ranks_done"] = len(merges)
+    return ranks
+
+
+def _by_rank(seg: list[int], ranks: dict[int, tuple[int, int]]) -> list[int]:
+    """Segment by repeatedly merging the lowest-ranked adjacent pair (leftmost on ties).
+
+    Equal to applying every merge in rank order, left to right: a merge creates only pairs
+    holding its new symbol, and those rank later. Costs O(len^2), not O(merges)."""
+    seg = list(seg)
+    while len(seg) > 1:
+        best, at = None, -1
+        for i in range(len(seg) - 1):
+            r = ranks.get((seg[i] << 20) | seg[i + 1])
+            if r is not None and (best is None or r[0] < best[0]):
+                best, at = r, i
+        if best is None:
             break
-        if a not in seg:
-            continue
-        res, i, n = [], 0, len(seg)
-        while i < n:
-            if i + 1 < n and seg[i] == a and seg[i + 1] == b:
-                res.append(new)
-                i += 2
-            else:
-                res.append(seg[i])
-                i += 1
-        seg = res
-    if len(_SEGMENTS) >= _SEGMENT_CACHE_MAX:
-        _SEGMENTS.clear()
-    _SEGMENTS[word] = (len(merges), seg)
+        seg[at : at + 2] = [best[1]]
+    return seg
+
+
+def _segment(word: str, id_of: dict[str, int], merges: list[tuple[int, int, int]], state: dict) -> list[int]:
+    """Word -> symbol ids after all ``merges``. A word cached a few merges behind replays only
+    the new ones; otherwise (first sight on this worker) it is segmented by rank."""
+    cache = state["seg"]
+    hit = cache.get(word)
+    if hit is None or len(merges) - hit[0] > 16:
+        seg = _by_rank([id_of[ch] for ch in word], _ranks(merges, state))
+    else:
+        seg = _apply_new(hit[1], merges[hit[0]:])
+    if len(cache) >= _SEGMENT_CACHE_MAX:
+        cache.clear()
+    cache[word] = (len(merges), seg)
     return seg
 
 
@@ -162,10 +188,6 @@ def _count_pairs(segs: list[list[int]], counts) -> tuple:
     return uniq >> 20, uniq & ((1 << 20) - 1), sums
 
 
-_BATCH_STATES: dict[int, dict] = {}
-_BATCH_STATES_MAX = 512
-
-
 def _apply_new(seg: list[int], merges: list[tuple[int, int, int]]) -> list[int]:
     for a, b, new in merges:
         if len(seg) < 2:
@@ -184,7 +206,7 @@ def _apply_new(seg: list[int], merges: list[tuple[int, int, int]]) -> list[int]:
     return seg
 
 
-def _batch_counts(words: list[str], counts, id_of: dict[str, int], merges: list[tuple[int, int, int]]):
+def _batch_counts(words: list[str], counts, id_of: dict[str, int], merges: list[tuple[int, int, int]], run: str):
     """Pair counts of one Arrow batch after ``merges``.
 
     A worker keeps, per batch (keyed by a 64-bit hash of its words and counts), the current
@@ -199,15 +221,17 @@ def _batch_counts(words: list[str], counts, id_of: dict[str, int], merges: list[
     h.update("\x00".join(words).encode("utf-8"))
     h.update(np.asarray(counts, dtype=np.int64).tobytes())
     key = h.intdigest()
-    st = _BATCH_STATES.get(key)
+    state = _run_state(run)
+    batches = state["batches"]
+    st = batches.get(key)
     if st is None:
-        segs = [_segment(w, id_of, merges) for w in words]
+        segs = [_segment(w, id_of, merges, state) for w in words]
         a, b, c = _count_pairs(segs, counts)
         st = {"done": len(merges), "segs": segs, "n": [int(x) for x in counts],
               "pairs": dict(zip(((a << 20) | b).tolist(), c.tolist()))}
-        if len(_BATCH_STATES) >= _BATCH_STATES_MAX:
-            _BATCH_STATES.clear()
-        _BATCH_STATES[key] = st
+        if len(batches) >= _BATCH_STATES_MAX:
+            batches.clear()
+        batches[key] = st
     elif st["done"] < len(merges):
         new = merges[st["done"]:]
         lefts = {m[0] for m in new}
@@ -236,7 +260,7 @@ def _batch_counts(words: list[str], counts, id_of: dict[str, int], merges: list[
     return keys >> 20, keys & ((1 << 20) - 1), vals
 
 
-def _pair_counts(words: DataFrame, id_of: dict[str, int], bc) -> DataFrame:
+def _pair_counts(words: DataFrame, id_of: dict[str, int], bc, run: str) -> DataFrame:
     """Partial adjacent-pair counts per Arrow batch, summed by a partial+final aggregate."""
 
     def run(batches):
@@ -246,7 +270,7 @@ def _pair_counts(words: DataFrame, id_of: dict[str, int], bc) -> DataFrame:
 
         merges = bc.value
         for pdf in batches:
-            a, b, c = _batch_counts(pdf["word"].tolist(), pdf["n"].to_numpy(), id_of, merges)
+            a, b, c = _batch_counts(pdf["word"].tolist(), pdf["n"].to_numpy(), id_of, merges, run)
             yield pd.DataFrame({"a": a.astype("int32"), "b": b.astype("int32"), "c": c})
 
     return words.mapInPandas(run, "a int, b int, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
@@ -256,7 +280,7 @@ def train_bpe(
     words: DataFrame,
     vocab_size: int = 32_000,
     min_frequency: int = 2,
-    top_k: int = 512,
+    top_k: int = 4096,
     num_partitions: int | None = None,
 ) -> BPEModel:
     """Train merges on a word table ``(word, n)`` until ``vocab_size`` or no pair reaches
@@ -280,17 +304,29 @@ def train_bpe(
     base = base.repartition(n_parts, "word").checkpoint(eager=True)
     sc = spark.sparkContext
     merges: list[tuple[int, int, int]] = []
+    run = uuid.uuid4().hex
+    char_ids = dict(id_of)  # what workers need to segment a fresh word (fixed size)
     while len(model.tokens) < vocab_size:
         bc = sc.broadcast(list(merges))
-        counts = _pair_counts(base, id_of, bc)
+        counts = _pair_counts(base, char_ids, bc, run)
         top = [(r["a"], r["b"], r["c"]) for r in counts.orderBy(F.desc("c"), "a", "b").limit(top_k).collect()]
         bc.unpersist()
-        batch = select_batch(top, top_k, min_frequency, vocab_size - len(model.tokens))
+        model.rounds += 1
+        batch = select_batch(top, min_frequency, vocab_size - len(model.tokens))
+        _LOG.debug("round %d: %d merges, top count %s, vocab %d", model.rounds, len(batch), top[0][2] if top else None, len(model.tokens))
         if not batch:
             break
         for a, b, _c in batch:
-            new_id = len(model.tokens)
-            model.tokens.append(model.tokens[a] + model.tokens[b])
+            text = model.tokens[a] + model.tokens[b]
+            new_id = id_of.get(text)
             model.merges.append((model.tokens[a], model.tokens[b]))
+            if new_id is not None:
+                # the string is already a token: the merge maps to its id (no new entry), so
+                # pairs holding it may grow -- nothing after it in this batch is certain
+                merges.append((a, b, new_id))
+                break
+            new_id = len(model.tokens)
+            model.tokens.append(text)
+            id_of[text] = new_id
             merges.append((a, b, new_id))
     return model

@@ -56,12 +56,37 @@ def test_pretokenize_matches_library():
 
 
 def test_select_batch_rules():
-    # conflict stops the batch; later accepted pairs must beat the stop count
-    top = [(1, 2, 10), (3, 4, 9), (2, 5, 9), (6, 7, 8)]
-    assert select_batch(top, 100, 2, 100) == [(1, 2, 10)]
-    top = [(1, 2, 10), (3, 4, 9), (5, 6, 8), (2, 7, 7)]
-    assert select_batch(top, 100, 2, 100) == [(1, 2, 10), (3, 4, 9), (5, 6, 8)]
-    # a self pair is a batch alone
-    assert select_batch([(1, 1, 10), (3, 4, 9)], 100, 2, 100) == [(1, 1, 10)]
-    # min frequency
-    assert select_batch([(1, 2, 1)], 100, 2, 100) == []
+    # inputs are exact top lists: count desc, then ids asc
+    # (2, 5) chains with (1, 2) (its left is the merged right symbol): its count is stale -> stop
+    top = [(1, 2, 10), (3, 4, 9), (2, 5, 8), (6, 7, 8)]
+    assert select_batch(top, 2, 100) == [(1, 2, 10), (3, 4, 9)]
+    # (7, 1) chains with (1, 2) from the other side
+    top = [(1, 2, 10), (3, 4, 9), (7, 1, 9), (5, 6, 8)]
+    assert select_batch(top, 2, 100) == [(1, 2, 10), (3, 4, 9)]
+    # pairs that only share a symbol without chaining occupy disjoint positions: accepted,
+    # ties included
+    top = [(1, 2, 10), (1, 3, 9), (4, 2, 9), (5, 6, 9), (2, 8, 9)]
+    assert select_batch(top, 2, 100) == [(1, 2, 10), (1, 3, 9), (4, 2, 9), (5, 6, 9)]
+    # a self pair ends the batch (first or later)
+    assert select_batch([(1, 1, 10), (3, 4, 9)], 2, 100) == [(1, 1, 10)]
+    assert select_batch([(3, 4, 10), (1, 1, 9), (5, 6, 8)], 2, 100) == [(3, 4, 10), (1, 1, 9)]
+    # min frequency and room
+    assert select_batch([(1, 2, 1)], 2, 100) == []
+    assert select_batch([(1, 2, 5), (3, 4, 2), (5, 6, 1)], 2, 100) == [(1, 2, 5), (3, 4, 2)]
+    assert select_batch([(1, 2, 5), (3, 4, 4)], 2, 1) == [(1, 2, 5)]
+
+
+def test_matches_library_trainer_many_rounds(spark):
+    """Whole sf0.001 documents, 3,000 tokens, a small top list so that many rounds end at the
+    K boundary or at a chain conflict: same vocabulary ids and encodings as the library."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").orderBy("doc_id").collect()
+    texts = ["<2ar> " + r[0] for r in rows]
+    hf = hf_train(texts, 3000)
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=3000, top_k=300)
+    hv = hf.get_vocab()
+    assert len(model.tokens) == hf.get_vocab_size()
+    assert all(hv[t] == i for i, t in enumerate(model.tokens))
+    enc = model.encoder()
+    for t in texts[:20]:
+        assert enc.encode(t) == hf.encode(t).ids
