@@ -44,17 +44,35 @@ def global_index(df: DataFrame, order_cols: list[str | Column], num_partitions:
     )
 
 
-def assign_batches(df: DataFrame, batch_size: int, order_cols: list[str | Column], batch_col: str = "batch_id") -> DataFrame:
+def assign_batches(
+    df: DataFrame,
+    batch_size: int,
+    order_cols: list[str | Column],
+    batch_col: str = "batch_id",
+    group_cols: list[str] | None = None,
+) -> DataFrame:
     """Consecutive batches of ``batch_size`` rows in ``order_cols`` order; the last may be short;
-    ``ceil(n / batch_size)`` batches. Adds ``batch_id`` and ``pos`` (global position)."""
-    idx = global_index(df, order_cols)
+    ``ceil(n / batch_size)`` batches. Adds ``batch_id`` and ``pos`` (global position).
+
+    With ``group_cols`` (e.g. ``split``) batches never cross groups: positions are counted from
+    each group's first row (one global ordering by group then order key; the group starts are a
+    one-row-per-group aggregate joined back, which AQE broadcasts when it is small).
+    """
+    groups = list(group_cols or [])
+    idx = global_index(df, [*groups, *order_cols])
+    if groups:
+        starts = idx.groupBy(*groups).agg(F.min("_pos").alias("_start"))
+        idx = idx.join(starts, groups).withColumn("_pos", F.col("_pos") - F.col("_start")).drop("_start")
     return idx.withColumn(batch_col, F.floor(F.col("_pos") / batch_size).cast("long")).withColumnRenamed("_pos", "pos")
 
 
-def pad_batches(df: DataFrame, pad_id: int = 0, batch_col: str = "batch_id") -> DataFrame:
+def pad_batches(df: DataFrame, pad_id: int = 0, batch_col: str | list[str] = "batch_id") -> DataFrame:
     """Pad ``input_ids``/``attention_mask`` to the batch's longest input (pad id / 0) and
-    ``labels`` to the batch's longest label (-100). Adds ``input_len``/``label_len``."""
-    w = Window.partitionBy(batch_col)
+    ``labels`` to the batch's longest label (-100). Adds ``input_len``/``label_len``.
+
+    ``batch_col`` may be a list (e.g. ``["split", "batch_id"]``); a batch holds ``batch_size``
+    rows, so the window groups are bounded."""
+    w = Window.partitionBy(*([batch_col] if isinstance(batch_col, str) else batch_col))
     in_max = F.max(F.size("input_ids")).over(w)
     lab_max = F.max(F.size("labels")).over(w)
     staged = df.withColumns({"_in_max": in_max, "_lab_max": lab_max})

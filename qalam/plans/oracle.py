@@ -364,10 +364,12 @@ def _finite(x: str) -> str:
     return f"({x} IS NOT NULL AND NOT isnan({x}) AND NOT isinf({x}))"
 
 
-def _batched(split: str, size: int = 24) -> str:
+def _batched(split: str | None, size: int = 24) -> str:
+    """Consecutive batches within each split (``split=None``: every split)."""
+    where = f" WHERE split = '{split}'" if split else ""
     return (
-        f"bt AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY {md5_key(42)}, row_id) - 1) / {size}) AS BIGINT) AS batch_id "
-        f"FROM bidir WHERE split = '{split}')"
+        f"bt AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY split ORDER BY {md5_key(42)}, row_id) - 1) / {size}) AS BIGINT) AS batch_id "
+        f"FROM bidir{where})"
     )
 
 
@@ -409,7 +411,8 @@ rb AS (SELECT run_id, step, val_loss, CASE WHEN {_finite('val_loss')} THEN val_l
     )
     q["retain_last_n"] = with_(
         METRIC_LOG_CTE,
-        "SELECT run_id, step, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) <= 10 AS keep FROM ulog WHERE step % 200 = 0",
+        "SELECT run_id, step, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) <= 10 AS keep FROM ulog "
+        "WHERE step % 500 = 0 OR step = 32000",
     )
     q["cadence_flags"] = with_(
         METRIC_LOG_CTE,
@@ -445,7 +448,7 @@ SELECT CAST(run_id AS BIGINT) AS run_id, CAST(interval_end AS BIGINT) AS interva
   SELECT 'approx_epochs_over_train_split', (SELECT round_even(CAST(24576000.0 / n AS DOUBLE), 4) FROM n) UNION ALL
   SELECT 'coverage_percent_of_train_split %', (SELECT round_even(CAST(24576000.0 / n * 100 AS DOUBLE), 2) FROM n)) t""",
     )
-    q["assign_batches"] = with_(PREPARED_CTE + ",\n" + _batched("val"), "SELECT row_id, batch_id FROM bt")
+    q["assign_batches"] = with_(PREPARED_CTE + ",\n" + _batched(None), "SELECT row_id, split, batch_id FROM bt")
     tps_cte = (
         PREPARED_CTE
         + ",\n"

@@ -57,7 +57,8 @@ def q_running_best(spark, d):
 
 
 def q_retain_last_n(spark, d):
-    saved = log(spark, d).where(F.col("step") % 200 == 0)
+    """Checkpoints exist at the save cadence; keep the newest 10 per run."""
+    saved = log(spark, d).where(L.cadence_flags("step")["should_save"])
     return L.retain_last_n(saved, 10)
 
 
@@ -90,17 +91,17 @@ def q_training_volume(spark, d):
     return L.training_volume(bidir(spark, d).where(F.col("split") == "train"))
 
 
-def _batched_train(spark, d, split="train"):
-    rows = bidir(spark, d).where(F.col("split") == split)
-    return B.assign_batches(rows, 24, [S.draw_key(SEED), F.col("row_id")])
+def _batched(spark, d):
+    """Consecutive batches of 24 within each split, in the seeded draw order."""
+    return B.assign_batches(bidir(spark, d), 24, [S.draw_key(SEED), F.col("row_id")], group_cols=["split"])
 
 
 def q_assign_batches(spark, d):
-    return _batched_train(spark, d, "val").select("row_id", "batch_id")
+    return _batched(spark, d).select("row_id", "split", "batch_id")
 
 
 def q_tokens_per_step(spark, d):
-    b = _batched_train(spark, d).select(
+    b = _batched(spark, d).where(F.col("split") == "train").select(
         "batch_id", T.word_count("source_text").alias("src_tokens"), T.word_count("target_text").alias("tgt_tokens")
     )
     return B.tokens_per_step(b, grad_accum=8, max_steps=200)

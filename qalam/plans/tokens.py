@@ -33,9 +33,14 @@ def model(spark, d, vocab_size: int = QUERY_VOCAB) -> BPE.BPEModel:
     return _MODELS[key]
 
 
-def encoded(spark, d, split="val"):
-    rows = bidir(spark, d).where(F.col("split") == split)
-    return EN.encode_pairs(rows, model(spark, d), MAX_LEN, keep=["row_id", "direction", "split"])
+def encoded(spark, d):
+    """Every split of the bidirectional table, as the reference tokenises train, val and test."""
+    return EN.encode_pairs(bidir(spark, d), model(spark, d), MAX_LEN, keep=["row_id", "direction", "split"])
+
+
+def batched(spark, d):
+    """Consecutive batches of 24 within each split in the seeded draw order."""
+    return B.assign_batches(encoded(spark, d), 24, [S.draw_key(SEED), F.col("row_id")], group_cols=["split"])
 
 
 def q_pretoken_counts(spark, d):
@@ -47,7 +52,7 @@ def q_train_bpe(spark, d):
 
 
 def q_vocab_lookup(spark, d):
-    words = BPE.pretoken_counts(bidir(spark, d).where(F.col("split") == "val"), ["source_text"]).select(F.col("word").alias("token"))
+    words = BPE.pretoken_counts(bidir(spark, d), ["source_text", "target_text"]).select(F.col("word").alias("token"))
     return EN.vocab_lookup(words, model(spark, d), strict=False)
 
 
@@ -64,7 +69,7 @@ def q_special_token_audit(spark, d):
 
 
 def q_decode_roundtrip(spark, d):
-    picked = S.sample_exact(encoded(spark, d, "train"), 5, SEED)
+    picked = S.sample_exact(encoded(spark, d).where(F.col("split") == "train"), 5, SEED)
     out = EN.decode_ids(picked, model(spark, d), ["input_ids", "labels"], skip_special=False)
     return out.select(
         "row_id",
@@ -81,15 +86,15 @@ def q_tokenizer_audit(spark, d):
 
 
 def q_pad_batches(spark, d):
-    enc = encoded(spark, d)
-    batched = B.assign_batches(enc, 24, [S.draw_key(SEED), F.col("row_id")])
-    return B.pad_batches(batched).select("row_id", "batch_id", "input_len", "label_len", "input_ids", "attention_mask", "labels")
+    padded = B.pad_batches(batched(spark, d), batch_col=["split", "batch_id"])
+    return padded.select("row_id", "split", "batch_id", "input_len", "label_len", "input_ids", "attention_mask", "labels")
 
 
 def q_tokens_per_step_ids(spark, d):
-    enc = encoded(spark, d, "train")
-    batched = B.pad_batches(B.assign_batches(enc, 24, [S.draw_key(SEED), F.col("row_id")]))
-    per_row = batched.select("batch_id", *[v.alias(k) for k, v in B.token_counts().items()])
+    """Token volume per optimizer step of the training loader (train split batches)."""
+    train = batched(spark, d).where(F.col("split") == "train")
+    padded = B.pad_batches(train)
+    per_row = padded.select("batch_id", *[v.alias(k) for k, v in B.token_counts().items()])
     return B.tokens_per_step(per_row, grad_accum=8, max_steps=200)
 
 
