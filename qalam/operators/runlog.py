@@ -1,9 +1,12 @@
 """Run-metric logs: coercion, keep-last upsert, best points, smoothing, running best, retention,
 cadence flags, interval aggregation, validation loss and training-volume arithmetic.
 
-Logs are keyed by ``(run_id, step)``. Windows always partition by ``run_id``; a run's log is a
-few thousand rows. Keep-last and arg-min/arg-max use ``max_by``/``min_by`` aggregates, which
-combine map-side, instead of sorting whole partitions.
+Logs are keyed by ``(run_id, step)``. No window is ever partitioned by ``run_id`` alone: one run
+may hold a large share of all rows. Order-dependent operators take each row's global position
+in ``(run_id, step)`` order from a range-partitioned index (``batch.global_index``) and window
+only inside ``(run_id, bucket)`` groups of at most ``bucket_rows`` positions; what crosses a
+bucket edge travels as a one-row-per-bucket carry or as a few halo rows. Keep-last and
+arg-min/arg-max use ``max_by``/``min_by`` aggregates, which combine map-side.
 """
 
 from __future__ import annotations
@@ -108,47 +111,95 @@ def best_points(
     return best.select("run_id", "metric", "b.step", "b.value")
 
 
-def _run_window(run_col: str, step_col: str) -> Window:
-    return Window.partitionBy(run_col).orderBy(step_col)
+BUCKET_ROWS = 1 << 20
 
 
-def rolling_mean(df: DataFrame, value_col: str, n: int = 5, run_col: str = "run_id", step_col: str = "step") -> DataFrame:
-    """Trailing mean over the last ``n`` log points (min_periods=1, NaN/null skipped)."""
-    v = F.when(is_finite(value_col), F.col(value_col).cast("double"))
-    w = _run_window(run_col, step_col).rowsBetween(-(n - 1), 0)
-    return df.select(
-        F.col(run_col).alias("run_id"),
-        F.col(step_col).alias("step"),
-        F.col(value_col).cast("double").alias("value"),
-        F.avg(v).over(w).alias("smooth"),
+def _positions(df: DataFrame, value_col: str, run_col: str, step_col: str) -> DataFrame:
+    """``(run_id, step, value, _pos)`` with ``_pos`` the global 0-based rank in (run, step) order."""
+    from qalam.operators.batch import global_index
+
+    base = df.select(
+        F.col(run_col).alias("run_id"), F.col(step_col).alias("step"), F.col(value_col).cast("double").alias("value")
     )
+    return global_index(base, ["run_id", "step"])
+
+
+def _finite_value() -> Column:
+    return F.when(is_finite("value"), F.col("value"))
+
+
+def rolling_mean(
+    df: DataFrame,
+    value_col: str,
+    n: int = 5,
+    run_col: str = "run_id",
+    step_col: str = "step",
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """Trailing mean over the last ``n`` log points (min_periods=1, NaN/null skipped).
+
+    The window runs per ``(run_id, bucket)``; the last ``n - 1`` rows of each bucket are copied
+    into the next bucket as halo rows, so rows at a bucket start still see their predecessors.
+    """
+    if n < 1 or bucket_rows < n:
+        raise ValueError("need 1 <= n <= bucket_rows")
+    idx = _positions(df, value_col, run_col, step_col)
+    bucket = F.floor(F.col("_pos") / bucket_rows)
+    own = idx.withColumns({"_b": bucket, "_halo": F.lit(False)})
+    halo = idx.where(F.col("_pos") % bucket_rows >= bucket_rows - (n - 1)).withColumns({"_b": bucket + 1, "_halo": F.lit(True)})
+    w = Window.partitionBy("run_id", "_b").orderBy("_pos").rowsBetween(-(n - 1), 0)
+    out = own.unionByName(halo).select("run_id", "step", "value", "_halo", F.avg(_finite_value()).over(w).alias("smooth"))
+    return out.where(~F.col("_halo")).drop("_halo")
 
 
 def running_best(
-    df: DataFrame, value_col: str, seed: float | None = None, run_col: str = "run_id", step_col: str = "step"
+    df: DataFrame,
+    value_col: str,
+    seed: float | None = None,
+    run_col: str = "run_id",
+    step_col: str = "step",
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """A row is a new best if finite and strictly below every earlier finite value (and below
-    ``seed``, the best value restored from a checkpoint on resume)."""
-    v = F.when(is_finite(value_col), F.col(value_col).cast("double"))
-    before = F.min(v).over(_run_window(run_col, step_col).rowsBetween(Window.unboundedPreceding, -1))
+    """A row is a new best if finite and strictly below every earlier finite value of its run
+    (and below ``seed``, the best value restored from a checkpoint on resume).
+
+    Prefix minimum in two levels: inside a ``(run_id, bucket)`` window, and a carry -- the
+    minimum of all earlier buckets of the run -- from the one-row-per-bucket minima.
+    """
+    idx = _positions(df, value_col, run_col, step_col).withColumn("_b", F.floor(F.col("_pos") / bucket_rows))
+    v = _finite_value()
+    mins = idx.groupBy("run_id", "_b").agg(F.min(v).alias("_bm"))
+    carry = mins.select(
+        "run_id",
+        "_b",
+        F.min("_bm").over(Window.partitionBy("run_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
+    )
+    inside = F.min(v).over(Window.partitionBy("run_id", "_b").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1))
+    staged = idx.join(carry, ["run_id", "_b"]).select("run_id", "step", "value", F.least("_carry", inside).alias("_before"))
+    before = F.col("_before")
     bound = F.least(before, F.lit(seed).cast("double")) if seed is not None else before
     is_best = v.isNotNull() & (bound.isNull() | (v < bound))
-    so_far = F.least(bound, v) if seed is not None else F.least(before, v)
-    return df.select(
-        F.col(run_col).alias("run_id"),
-        F.col(step_col).alias("step"),
-        F.col(value_col).cast("double").alias("value"),
+    return staged.select(
+        "run_id",
+        "step",
+        "value",
         F.coalesce(is_best, F.lit(False)).alias("is_best"),
-        so_far.alias("best_so_far"),
+        F.least(bound, v).alias("best_so_far"),
     )
 
 
 def retain_last_n(df: DataFrame, n: int | None, run_col: str = "run_id", step_col: str = "step") -> DataFrame:
-    """Flag the newest ``n`` saved items per run (null n keeps all). Deletes nothing."""
+    """Flag the newest ``n`` saved items per run (null n keeps all). Deletes nothing.
+
+    A row is kept when fewer than ``n`` rows of its run come after it: the run's last global
+    position (a map-side-combined max per run) minus the row's position."""
     if n is None or n <= 0:
         return df.select(F.col(run_col).alias("run_id"), F.col(step_col).alias("step"), F.lit(True).alias("keep"))
-    rn = F.row_number().over(Window.partitionBy(run_col).orderBy(F.desc(step_col)))
-    return df.select(F.col(run_col).alias("run_id"), F.col(step_col).alias("step"), (rn <= n).alias("keep"))
+    from qalam.operators.batch import global_index
+
+    idx = global_index(df.select(F.col(run_col).alias("run_id"), F.col(step_col).alias("step")), ["run_id", "step"])
+    ends = idx.groupBy("run_id").agg(F.max("_pos").alias("_end"))
+    return idx.join(ends, "run_id").select("run_id", "step", ((F.col("_end") - F.col("_pos")) < n).alias("keep"))
 
 
 def cadence_flags(
