@@ -4,6 +4,11 @@
 exactly ``min(n, rows)`` rows. Here a row's draw key is ``md5(seed|row_id)`` and the sample is
 the ``n`` smallest keys: ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject (a top-n heap
 per partition, then a merge of at most ``n`` x partitions rows), never a global sort.
+
+For a large ``n`` that merge would be big, so the keys' uniformity is used first: rows whose
+8-hex key prefix is below a cut-off sized for about ``1.1 n`` rows are kept (a narrow filter),
+and only if at least ``n`` rows pass -- then they hold the ``n`` smallest keys -- the top-n runs
+on them; otherwise the cut-off doubles. The result is the same exact sample.
 """
 
 from __future__ import annotations
@@ -18,9 +23,28 @@ def draw_key(seed: int, order_col: str = "row_id") -> Column:
     return F.md5(F.concat(F.lit(str(int(seed))), F.lit("|"), F.col(order_col).cast("string")))
 
 
-def sample_exact(df: DataFrame, n: int, seed: int = 42, order_col: str = "row_id") -> DataFrame:
+TAKE_ORDERED_LIMIT = 10_000
+
+
+def sample_exact(
+    df: DataFrame, n: int, seed: int = 42, order_col: str = "row_id", take_ordered_limit: int = TAKE_ORDERED_LIMIT
+) -> DataFrame:
     """Exactly min(n, rows) rows, without replacement, reproducible for a seed."""
-    return df.orderBy(draw_key(seed, order_col), F.col(order_col)).limit(int(n))
+    n = int(n)
+    key = draw_key(seed, order_col)
+    if n <= take_ordered_limit:
+        return df.orderBy(key, F.col(order_col)).limit(n)
+    total = df.count()
+    if n >= total:
+        return df
+    space = 16**8
+    frac = min(1.0, 1.1 * n / total + 64.0 / total)
+    while True:
+        cut = int(frac * space)
+        cand = df if cut >= space else df.where(F.substring(key, 1, 8) < F.lit(format(cut, "08x")))
+        if cut >= space or cand.count() >= n:
+            return cand.orderBy(key, F.col(order_col)).limit(n)
+        frac = min(1.0, frac * 2)
 
 
 def shuffle_take(df: DataFrame, k: int, seed: int = 42, order_col: str = "row_id") -> DataFrame:
