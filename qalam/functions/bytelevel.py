@@ -46,10 +46,25 @@ def alphabet() -> list[str]:
     return sorted(byte_to_char().values())
 
 
+@lru_cache(maxsize=1)
+def _latin1_to_symbol() -> dict[int, str]:
+    """``str.translate`` table: a byte read as a Latin-1 code point -> its byte symbol."""
+    return dict(byte_to_char())
+
+
+def _symbols(piece: str) -> str:
+    return piece.encode("utf-8").decode("latin-1").translate(_latin1_to_symbol())
+
+
 def pretokenize(text: str) -> list[str]:
     """Split with the byte-level pattern and map each piece's UTF-8 bytes to symbols."""
-    b2c = byte_to_char()
-    return ["".join(b2c[b] for b in piece.encode("utf-8")) for piece in _PRETOKEN_RE.findall(text)]
+    return [_symbols(piece) for piece in _PRETOKEN_RE.findall(text)]
+
+
+def iter_pretokens(text: str):
+    """Lazy :func:`pretokenize` (same scan), so an encoder can stop at its length limit."""
+    for m in _PRETOKEN_RE.finditer(text):
+        yield _symbols(m.group(0))
 
 
 def split_specials(text: str) -> list[tuple[bool, str]]:
@@ -120,11 +135,17 @@ class BPEEncoder:
         return ids
 
     def encode(self, text: str, max_length: int | None = None) -> list[int]:
+        """Token ids of ``text``, truncated to ``max_length``. Ids of a prefix never depend on
+        later words, so encoding stops once the limit is reached."""
         ids: list[int] = []
         for is_special, seg in split_specials(text or ""):
+            if max_length is not None and len(ids) >= max_length:
+                break
             if is_special:
                 ids.append(self.special[seg])
             else:
-                for w in pretokenize(seg):
+                for w in iter_pretokens(seg):
                     ids.extend(self.word_ids(w))
+                    if max_length is not None and len(ids) >= max_length:
+                        break
         return ids[:max_length] if max_length is not None else ids

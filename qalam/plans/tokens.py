@@ -39,8 +39,13 @@ def encoded(spark, d):
 
 
 def batched(spark, d):
-    """Consecutive batches of 24 within each split in the seeded draw order."""
-    return B.assign_batches(encoded(spark, d), 24, [S.draw_key(SEED), F.col("row_id")], group_cols=["split"])
+    """Consecutive batches of 24 within each split in the seeded draw order, then token ids.
+
+    Batch positions depend only on the draw key, so they are assigned on the text rows and the
+    Python encoder runs once, after the range-partitioned index (whose sampling pass would
+    otherwise evaluate the encoder a second time)."""
+    rows = B.assign_batches(bidir(spark, d), 24, [S.draw_key(SEED), F.col("row_id")], group_cols=["split"])
+    return EN.encode_pairs(rows, model(spark, d), MAX_LEN, keep=["row_id", "direction", "split", "batch_id"])
 
 
 def q_pretoken_counts(spark, d):

@@ -90,3 +90,15 @@ def test_matches_library_trainer_many_rounds(spark):
     enc = model.encoder()
     for t in texts[:20]:
         assert enc.encode(t) == hf.encode(t).ids
+
+
+def test_truncated_encoding_is_prefix_of_full(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").orderBy("doc_id").limit(30).collect()
+    texts = ["<2ar> " + r[0] for r in rows]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    enc = train_bpe(pretoken_counts(df, ["t"]), vocab_size=320).encoder()
+    probes = texts + ["a <2en> b <pad> c " * 40, "<2ar>", "", "x" * 500]
+    for t in probes:
+        full = enc.encode(t)
+        for k in (0, 1, 5, 16, 128):
+            assert enc.encode(t, k) == full[:k]
