@@ -150,19 +150,33 @@ def _by_rank(seg: list[int], ranks: dict[int, tuple[int, int]]) -> list[int]:
     return seg
 
 
-def _segment(word: str, id_of: dict[str, int], merges: list[tuple[int, int, int]], state: dict) -> list[int]:
-    """Word -> symbol ids after all ``merges``. A word cached a few merges behind replays only
-    the new ones; otherwise (first sight on this worker) it is segmented by rank."""
+def _segment_all(words: list[str], id_of: dict[str, int], merges: list[tuple[int, int, int]], state: dict) -> list[list[int]]:
+    """Words -> symbol ids after all ``merges``. A word cached a few merges behind replays only
+    the pending ones, and only if it holds one of their left symbols (one set test per word);
+    otherwise (first sight on this worker) it is segmented by rank."""
     cache = state["seg"]
-    hit = cache.get(word)
-    if hit is None or len(merges) - hit[0] > 16:
-        seg = _by_rank([id_of[ch] for ch in word], _ranks(merges, state))
-    else:
-        seg = _apply_new(hit[1], merges[hit[0]:])
-    if len(cache) >= _SEGMENT_CACHE_MAX:
-        cache.clear()
-    cache[word] = (len(merges), seg)
-    return seg
+    total = len(merges)
+    pending_lefts: dict[int, set[int]] = {}
+    out = []
+    for word in words:
+        hit = cache.get(word)
+        if hit is None or total - hit[0] > 64:
+            seg = _by_rank([id_of[ch] for ch in word], _ranks(merges, state))
+        elif hit[0] == total:
+            out.append(hit[1])
+            continue
+        else:
+            done, seg = hit
+            lefts = pending_lefts.get(done)
+            if lefts is None:
+                lefts = pending_lefts[done] = {m[0] for m in merges[done:]}
+            if not lefts.isdisjoint(seg):
+                seg = _apply_new(seg, merges[done:])
+        if len(cache) >= _SEGMENT_CACHE_MAX:
+            cache.clear()
+        cache[word] = (total, seg)
+        out.append(seg)
+    return out
 
 
 def _count_pairs(segs: list[list[int]], counts) -> tuple:
@@ -225,7 +239,7 @@ def _batch_counts(words: list[str], counts, id_of: dict[str, int], merges: list[
     batches = state["batches"]
     st = batches.get(key)
     if st is None:
-        segs = [_segment(w, id_of, merges, state) for w in words]
+        segs = _segment_all(words, id_of, merges, state)
         a, b, c = _count_pairs(segs, counts)
         st = {"done": len(merges), "segs": segs, "n": [int(x) for x in counts],
               "pairs": dict(zip(((a << 20) | b).tolist(), c.tolist()))}
