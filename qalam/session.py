@@ -65,7 +65,12 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``qalam`` importable in Python workers (Arrow UDFs) via ``addPyFile`` once per context."""
+    """Make ``qalam`` importable in Python workers (Arrow UDFs) via ``addPyFile`` once per context.
+
+    Only for local masters (tests, bench), where workers do not see the driver's ``sys.path``.
+    On a cluster the package is shipped with the job (``--py-files`` / ``spark.submit.pyFiles``)
+    and nothing is written to a machine-local folder, unless ``spark.qalam.shipPackage=true``.
+    """
     import importlib.util
     import zipfile
 
@@ -73,6 +78,9 @@ def ship_package(spark: SparkSession) -> None:
     key = sc.applicationId
     if key in _SHIPPED:
         return
+    if not sc.master.startswith("local") and spark.conf.get("spark.qalam.shipPackage", "false") != "true":
+        _SHIPPED.add(key)
+        return
     if importlib.util.find_spec("qalam") is None:  # pragma: no cover
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
