@@ -72,3 +72,32 @@ def test_assign_and_pad(spark):
         assert len(r["labels"]) == r["label_len"]
     r0 = [r for r in p if r["row_id"] == 0][0]
     assert r0["input_ids"][1:] == [0] * (r0["input_len"] - 1) and r0["labels"][1:] == [-100] * (r0["label_len"] - 1)
+
+
+def test_batches_stay_inside_splits_and_pad_to_batch_max(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from qalam.operators import batch as B
+
+    rows = [(i, ("train", "val", "test")[i % 3 if i < 200 else 0], [1] * (1 + i % 11), [2] * (1 + i % 7)) for i in range(260)]
+    df = spark.createDataFrame(rows, "row_id long, split string, input_ids array<int>, labels array<int>").withColumn(
+        "attention_mask", F.transform("input_ids", lambda x: F.lit(1))
+    )
+    b = B.assign_batches(df, 24, ["row_id"], group_cols=["split"])
+    per = {r["split"]: r for r in b.groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("batch_id").alias("nb"), F.min("pos").alias("p0"), F.max("batch_id").alias("bmax")).collect()}
+    for split, r in per.items():
+        assert r["p0"] == 0 and r["nb"] == math.ceil(r["n"] / 24) == r["bmax"] + 1
+    assert b.groupBy("split", "batch_id").count().where("count > 24").count() == 0
+    # consecutive: within a split, batch k holds positions 24k .. 24k+23 in row order
+    got = {(r["split"], r["row_id"]): r["batch_id"] for r in b.collect()}
+    for split in ("train", "val", "test"):
+        ids = sorted(i for (s, i) in got if s == split)
+        assert [got[(split, i)] for i in ids] == [k // 24 for k in range(len(ids))]
+    p = B.pad_batches(b, batch_col=["split", "batch_id"])
+    for r in p.collect():
+        assert len(r["input_ids"]) == len(r["attention_mask"]) == r["input_len"]
+        assert len(r["labels"]) == r["label_len"]
+    mx = {(r["split"], r["batch_id"]): (r["mi"], r["ml"]) for r in b.groupBy("split", "batch_id").agg(F.max(F.size("input_ids")).alias("mi"), F.max(F.size("labels")).alias("ml")).collect()}
+    assert all((r["input_len"], r["label_len"]) == mx[(r["split"], r["batch_id"])] for r in p.collect())
