@@ -69,9 +69,17 @@ def merged_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_standardize_pairs(spark, d):
-    name, df = FX.source_frames(spark, d)[3]
-    en, ar = FX.SOURCE_COLUMNS[3]
-    return R.standardize_pairs(df, name=name, preferred_en=en, preferred_ar=ar).select("source", "split_name", "row_id", "en", "ar")
+    """All five sources: names on the candidate lists resolve by themselves, the others
+    (``English``/``Arabic``, ``sentence``) by explicit preference."""
+    frames = []
+    for (name, df), (en, ar) in zip(FX.source_frames(spark, d), FX.SOURCE_COLUMNS):
+        listed = en in R.EN_CANDIDATES and ar in R.AR_CANDIDATES
+        prefer = {} if listed else {"preferred_en": en, "preferred_ar": ar}
+        frames.append(R.standardize_pairs(df, name=name, **prefer).select("source", "split_name", "row_id", "en", "ar"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def q_union_sources(spark, d):

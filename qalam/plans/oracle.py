@@ -199,7 +199,7 @@ _SRC_COLS = "CASE source WHEN 'local_25k' THEN 'English,Arabic' WHEN 'ds2' THEN
 
 def corpus_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["standardize_pairs"] = with_(SOURCES_CTE, "SELECT source, split_name, row_id, en, ar FROM srcs WHERE source_rank = 3")
+    q["standardize_pairs"] = with_(SOURCES_CTE, "SELECT source, split_name, row_id, en, ar FROM srcs")
     q["union_sources"] = with_(SOURCES_CTE, "SELECT source, split_name, row_id, en, ar FROM srcs")
     q["rows_by_source"] = with_(SOURCES_CTE, "SELECT source, CAST(count(*) AS BIGINT) AS rows FROM srcs GROUP BY ROLLUP (source)")
     q["read_splits"] = with_(
