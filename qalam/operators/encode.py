@@ -133,8 +133,12 @@ def vocab_lookup(tokens: DataFrame, model: BPEModel, token_col: str = "token", s
     return out
 
 
-def special_token_audit(spark, model: BPEModel) -> DataFrame:
-    """Ids of the six special tokens, and whether tagged probes encode to the tag id first."""
+def special_token_audit(spark, model: BPEModel, encoded: DataFrame | None = None) -> DataFrame:
+    """Ids of the six special tokens, and whether tagged probes encode to the tag id first.
+
+    With ``encoded`` (rows with ``direction`` and ``input_ids``) every row is checked too: per
+    tag, ``tagged_rows`` (rows of that direction) and ``tag_first_rows`` (rows whose first id
+    is the tag's id). The per-tag aggregate combines map-side, so two keys cannot skew it."""
     enc = model.encoder()
     probe_ar = enc.encode("<2ar> this is a test")
     probe_en = enc.encode("<2en> english direction probe")
@@ -142,7 +146,24 @@ def special_token_audit(spark, model: BPEModel) -> DataFrame:
     ok_en = bool(probe_en) and probe_en[0] == TAG_EN_ID
     toks = spark.createDataFrame([(t,) for t in SPECIAL_TOKENS], "token string")
     out = vocab_lookup(toks, model, strict=False)
-    return out.select("token", "id", F.lit(ok_ar).alias("probe_2ar_first"), F.lit(ok_en).alias("probe_2en_first"))
+    out = out.select("token", "id", F.lit(ok_ar).alias("probe_2ar_first"), F.lit(ok_en).alias("probe_2en_first"))
+    if encoded is None:
+        return out
+    from qalam.functions.text import AR_TO_EN, EN_TO_AR
+
+    tag = F.when(F.col("direction") == EN_TO_AR, F.lit(TAG_AR_ID)).when(F.col("direction") == AR_TO_EN, F.lit(TAG_EN_ID))
+    per = encoded.select(tag.alias("id"), (F.get("input_ids", 0) == tag).alias("first"))
+    counts = per.where(F.col("id").isNotNull()).groupBy("id").agg(
+        F.count(F.lit(1)).alias("tagged_rows"), F.sum(F.coalesce(F.col("first"), F.lit(False)).cast("long")).alias("tag_first_rows")
+    )
+    return out.join(counts, "id", "left").select(
+        "token",
+        "id",
+        "probe_2ar_first",
+        "probe_2en_first",
+        F.coalesce("tagged_rows", F.lit(0)).cast("long").alias("tagged_rows"),
+        F.coalesce("tag_first_rows", F.lit(0)).cast("long").alias("tag_first_rows"),
+    )
 
 
 def tokenizer_audit(df: DataFrame, model: BPEModel, max_len: int = 128, sample_n: int = 20_000, seed: int = 42) -> DataFrame:

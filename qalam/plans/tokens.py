@@ -70,7 +70,7 @@ def q_model_columns(spark, d):
 
 
 def q_special_token_audit(spark, d):
-    return EN.special_token_audit(spark, model(spark, d))
+    return EN.special_token_audit(spark, model(spark, d), encoded(spark, d))
 
 
 def q_decode_roundtrip(spark, d):

@@ -102,3 +102,20 @@ def test_truncated_encoding_is_prefix_of_full(spark):
         full = enc.encode(t)
         for k in (0, 1, 5, 16, 128):
             assert enc.encode(t, k) == full[:k]
+
+
+def test_special_token_audit_checks_every_row(spark):
+    from qalam.operators.encode import encode_pairs, special_token_audit
+
+    texts = ["<2ar> zq zq"] * 5 + ["<2en> qz"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=265)
+    rows = spark.createDataFrame(
+        [(1, "en_to_ar", "<2ar> zq", "x"), (2, "ar_to_en", "<2en> qz", "y"), (3, "ar_to_en", "no tag", "z")],
+        "row_id long, direction string, source_text string, target_text string",
+    )
+    out = {r["token"]: r for r in special_token_audit(spark, model, encode_pairs(rows, model)).collect()}
+    assert [out[t]["id"] for t in SPECIAL_TOKENS] == list(range(6))
+    assert (out["<2ar>"]["tagged_rows"], out["<2ar>"]["tag_first_rows"]) == (1, 1)
+    assert (out["<2en>"]["tagged_rows"], out["<2en>"]["tag_first_rows"]) == (2, 1)
+    assert out["<pad>"]["tagged_rows"] == 0
