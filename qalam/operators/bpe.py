@@ -203,12 +203,19 @@ def _count_pairs(segs: list[list[int]], counts) -> tuple:
 
 
 def _apply_new(seg: list[int], merges: list[tuple[int, int, int]]) -> list[int]:
+    """Apply ``merges`` in order, each left to right without overlaps. A C-level scan finds the
+    first occurrence of the pair; words holding the left symbol but not the pair are untouched."""
     for a, b, new in merges:
-        if len(seg) < 2:
+        n = len(seg)
+        if n < 2:
             break
-        if a not in seg:
+        try:
+            i = seg.index(a, 0, n - 1)
+            while seg[i + 1] != b:
+                i = seg.index(a, i + 1, n - 1)
+        except ValueError:
             continue
-        res, i, n = [], 0, len(seg)
+        res = seg[:i]
         while i < n:
             if i + 1 < n and seg[i] == a and seg[i + 1] == b:
                 res.append(new)
