@@ -4,8 +4,9 @@
    (map-side combine), then a ``groupBy(word)`` sum -> the word table ``(word, n)``.
 2. ``train_bpe``: the word table ``(word, n)`` is repartitioned and checkpointed once. Each
    round is one Spark job over that fixed table: every Python worker segments its words with
-   the merges learned so far (incrementally, from a per-worker cache), emits partial pair
-   counts per Arrow batch, a partial+final ``groupBy(a, b)`` sums them, and only the top-K
+   the merges learned so far (incrementally, from a per-worker cache namespaced by training
+   run; a word first seen on a worker is segmented by merge rank, so a miss costs O(len^2)
+   rather than O(merges)), emits partial pair counts per Arrow batch, a partial+final ``groupBy(a, b)`` sums them, and only the top-K
    pairs reach the driver. The plan depth is constant across rounds.
 3. Exact batched merges. Merging ``(a, b)`` changes the counts of exactly the pairs that
    *chain* with it -- ``(x, a)`` and ``(b, y)`` -- and creates pairs holding the new symbol,
@@ -15,7 +16,9 @@
    accepted one is what one-at-a-time BPE picks, in the same order: every pair the batch
    touches sits after the stop in that order, and a created pair never wins a tie because the
    new symbol's id is larger than every existing id. A self-pair ``(a, a)`` ends the batch
-   (``a a a`` leaves ``aa a``, bounded only by the self-pair itself).
+   (``a a a`` leaves ``aa a``, bounded only by the self-pair itself), and so does a merge whose
+   string already is a token: like the library trainer it maps to that token's id instead of
+   adding one, so pairs holding that id may grow.
 
 What reaches the driver per round is K rows; the merges list (broadcast each round) is bounded
 by ``vocab_size``.
