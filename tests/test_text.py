@@ -89,3 +89,24 @@ def test_format_ratio(spark):
 def test_percentile_linear(spark):
     df = spark.range(1, 101).select(F.col("id").alias("v"))
     assert df.select(F.percentile("v", 0.9)).first()[0] == pytest.approx(90.1)
+
+
+def test_word_count_and_collapse_match_python_on_random_text(spark):
+    """Seeded random strings over every character Python's ``str.split`` treats as whitespace,
+    plus letters and boundary markers: ``word_count == len(s.split())`` and
+    ``collapse_whitespace(s) == " ".join(s.split())``."""
+    import random
+
+    from qalam.functions import text as T
+
+    ws = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    alphabet = ws + ["a", "b", "ب", "-", "\\", "n", "é", "😀"]
+    rnd = random.Random(7)
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14))) for _ in range(600)]
+    texts += ["", " ", "a", " a ", "\x1c\x1da\x1e", "　x  y\xa0"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = df.select("i", T.word_count("t").alias("wc"), T.collapse_whitespace("t").alias("cw")).collect()
+    for r in out:
+        s = texts[r["i"]]
+        assert r["wc"] == len(s.split()), repr(s)
+        assert r["cw"] == " ".join(s.split()), repr(s)
