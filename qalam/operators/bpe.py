@@ -27,6 +27,7 @@ by ``vocab_size``.
 from __future__ import annotations
 
 import logging
+import time
 import uuid
 from collections import Counter
 from dataclasses import dataclass, field
@@ -331,13 +332,17 @@ def train_bpe(
     run = uuid.uuid4().hex
     char_ids = dict(id_of)  # what workers need to segment a fresh word (fixed size)
     while len(model.tokens) < vocab_size:
+        started = time.monotonic()
         bc = sc.broadcast(list(merges))
         counts = _pair_counts(base, char_ids, bc, run)
         top = [(r["a"], r["b"], r["c"]) for r in counts.orderBy(F.desc("c"), "a", "b").limit(top_k).collect()]
         bc.unpersist()
         model.rounds += 1
         batch = select_batch(top, min_frequency, vocab_size - len(model.tokens))
-        _LOG.debug("round %d: %d merges, top count %s, vocab %d", model.rounds, len(batch), top[0][2] if top else None, len(model.tokens))
+        _LOG.debug(
+            "round %d: %d merges, top count %s, vocab %d, %.3f s",
+            model.rounds, len(batch), top[0][2] if top else None, len(model.tokens), time.monotonic() - started,
+        )
         if not batch:
             break
         for a, b, _c in batch:
