@@ -301,12 +301,83 @@ def _pair_counts(words: DataFrame, id_of: dict[str, int], bc, run: str) -> DataF
     return words.mapInPandas(run, "a int, b int, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
 
 
+def _pair_keys(seg: F.Column) -> F.Column:
+    """Adjacent pairs of a symbol array as ``a << 20 | b`` keys (ids stay below 2^20)."""
+    n = F.size(seg)
+    return F.zip_with(F.slice(seg, 1, n - 1), F.slice(seg, 2, n - 1), lambda x, y: x.cast("long") * (1 << 20) + y.cast("long"))
+
+
+def _apply_batch(seg: F.Column, batch: list[tuple[int, int, int]]) -> F.Column:
+    """Apply a merge batch in one left-to-right pass over the array. The batch's merges never
+    chain, so their occurrences are disjoint and one pass equals applying them in rank order
+    (a self-pair, always last, is consumed left to right without overlaps)."""
+    table = F.create_map(*[x for a, b, new in batch for x in (F.lit((a << 20) | b), F.lit(new))])
+    lefts = F.array(*[F.lit(a) for a in sorted({a for a, _b, _n in batch})])
+    out_type = "array<int>"
+
+    def step(acc, i):
+        cur, nxt = F.get(seg, i), F.get(seg, i + 1)
+        new = F.when(nxt.isNotNull(), F.try_element_at(table, cur.cast("long") * (1 << 20) + nxt.cast("long")))
+        return (
+            F.when(acc["skip"], F.struct(acc["out"].alias("out"), F.lit(False).alias("skip")))
+            .when(new.isNotNull(), F.struct(F.array_append(acc["out"], new).alias("out"), F.lit(True).alias("skip")))
+            .otherwise(F.struct(F.array_append(acc["out"], cur).alias("out"), F.lit(False).alias("skip")))
+        )
+
+    init = F.struct(F.array().cast(out_type).alias("out"), F.lit(False).alias("skip"))
+    applied = F.aggregate(F.sequence(F.lit(0), F.size(seg) - 1), init, step, lambda acc: acc["out"])
+    return F.when(F.arrays_overlap(seg, lefts), applied).otherwise(seg)
+
+
+def _train_rounds_jvm(base: DataFrame, model: "BPEModel", id_of: dict[str, int], vocab_size: int, min_frequency: int, top_k: int, checkpoint_every: int = 20) -> None:
+    """Rounds without Python workers: the segmented word table ``(word, n, seg)`` is a cached
+    DataFrame, advanced by one array pass per round and checkpointed every few rounds."""
+    spark = base.sparkSession
+    chars = F.create_map(*[x for ch, i in id_of.items() if len(ch) == 1 for x in (F.lit(ch), F.lit(i))])
+    seg0 = F.transform(F.split("word", ""), lambda c: chars[c]).cast("array<int>")
+    cur = base.select("n", seg0.alias("seg")).persist()
+    old = None
+    while len(model.tokens) < vocab_size:
+        started = time.monotonic()
+        counts = cur.select(F.explode(_pair_keys(F.col("seg"))).alias("k"), "n").groupBy("k").agg(F.sum("n").alias("c"))
+        rows = counts.orderBy(F.desc("c"), "k").limit(top_k).collect()
+        if old is not None:
+            old.unpersist()
+            old = None
+        model.rounds += 1
+        top = [(r["k"] >> 20, r["k"] & ((1 << 20) - 1), r["c"]) for r in rows]
+        batch = select_batch(top, min_frequency, vocab_size - len(model.tokens))
+        _LOG.debug("jvm round %d: %d merges, %.3f s", model.rounds, len(batch), time.monotonic() - started)
+        if not batch:
+            break
+        applied = []
+        for a, b, _c in batch:
+            text = model.tokens[a] + model.tokens[b]
+            new_id = id_of.get(text)
+            model.merges.append((model.tokens[a], model.tokens[b]))
+            if new_id is not None:
+                applied.append((a, b, new_id))
+                break
+            new_id = len(model.tokens)
+            model.tokens.append(text)
+            id_of[text] = new_id
+            applied.append((a, b, new_id))
+        nxt = cur.select("n", _apply_batch(F.col("seg"), applied).alias("seg"))
+        if model.rounds % checkpoint_every == 0:
+            nxt = nxt.checkpoint(eager=True)
+        old, cur = cur, nxt.persist()
+    cur.unpersist()
+    if old is not None:
+        old.unpersist()
+
+
 def train_bpe(
     words: DataFrame,
     vocab_size: int = 32_000,
     min_frequency: int = 2,
     top_k: int = 4096,
     num_partitions: int | None = None,
+    engine: str = "python",
 ) -> BPEModel:
     """Train merges on a word table ``(word, n)`` until ``vocab_size`` or no pair reaches
     ``min_frequency``. Specials take ids 0-5, the 256 byte symbols 6-261.
@@ -327,6 +398,9 @@ def train_bpe(
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = words.where(F.char_length("word") > 1).select("word", F.col("n").cast("long").alias("n"))
     base = base.repartition(n_parts, "word").checkpoint(eager=True)
+    if engine == "jvm":
+        _train_rounds_jvm(base, model, id_of, vocab_size, min_frequency, top_k)
+        return model
     sc = spark.sparkContext
     merges: list[tuple[int, int, int]] = []
     run = uuid.uuid4().hex

@@ -25,10 +25,11 @@ def hf_train(texts, vocab_size):
     return tok
 
 
-def test_fixture_merges(spark):
+@pytest.mark.parametrize("engine", ["python", "jvm"])
+def test_fixture_merges(spark, engine):
     texts = ["<2ar> zq zq"] * 5
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=265)
+    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=265, engine=engine)
     assert model.merges == [("z", "q"), ("Ġ", "zq"), ("a", "r")]
     assert model.encoder().encode("<2ar> zq") == [4, 263]
 
@@ -76,14 +77,16 @@ def test_select_batch_rules():
     assert select_batch([(1, 2, 5), (3, 4, 4)], 2, 1) == [(1, 2, 5)]
 
 
-def test_matches_library_trainer_many_rounds(spark):
+@pytest.mark.parametrize("engine", ["python", "jvm"])
+def test_matches_library_trainer_many_rounds(spark, engine):
     """Whole sf0.001 documents, 3,000 tokens, a small top list so that many rounds end at the
-    K boundary or at a chain conflict: same vocabulary ids and encodings as the library."""
+    K boundary or at a chain conflict: same vocabulary ids and encodings as the library, for
+    both round engines."""
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").orderBy("doc_id").collect()
     texts = ["<2ar> " + r[0] for r in rows]
     hf = hf_train(texts, 3000)
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=3000, top_k=300)
+    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=3000, top_k=300, engine=engine)
     hv = hf.get_vocab()
     assert len(model.tokens) == hf.get_vocab_size()
     assert all(hv[t] == i for i, t in enumerate(model.tokens))
