@@ -4,22 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from qalam.llm.exact_dedup import exact_dedup
+from qalam.llm.license_scan import license_scan
+from qalam.llm.packing import pack
 from qalam.llm.quality_rules import quality_rules
 from qalam.llm.tables import read_table
+from qalam.llm.token_records import token_records
+from qalam.llm.url_trust import url_filter
+from qalam.session import scratch_path, ship_package
+
+#: The tokenizer of packing and of token records; its place is a parameter of the operators.
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = license_scan(read_table(spark, sf_dir, "documents"))
+    return scanned.withColumn("n_detections", F.size("detections").cast("long")).drop("detections")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    pieces = pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), end_id=2)
+    return pieces.drop("ids")
+
+
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    path = scratch_path(spark, "records")
+    records = token_records(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_TOKENIZER), end_id=1)
+    return records.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op8_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_license_scan": op2_license_scan,
     "op5_quality_rules": op5_quality_rules,
+    "op6_packing": op6_packing,
+    "op7_token_records": op7_token_records,
+    "op8_url_trust": op8_url_trust,
 }
