@@ -10,16 +10,22 @@ from pyspark.sql import functions as F
 
 from qalam.llm.exact_dedup import exact_dedup
 from qalam.llm.license_scan import license_scan
+from qalam.llm.line_dedup import line_dedup
 from qalam.llm.packing import pack
+from qalam.llm.piece_codec import decode_pieces, encode_pieces
 from qalam.llm.quality_rules import quality_rules
 from qalam.llm.tables import read_table
 from qalam.llm.token_records import token_records
+from qalam.llm.toxicity import toxicity
 from qalam.llm.url_trust import url_filter
 from qalam.session import scratch_path, ship_package
 
 #: The tokenizer of packing and of token records; its place is a parameter of the operators.
 WORD_TOKENIZER = "word_bpe_49k.json"
 
+#: The SentencePiece model of the codec.
+PIECE_MODEL = "piece_bpe_32k.model"
+
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
@@ -30,6 +36,26 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.withColumn("n_detections", F.size("detections").cast("long")).drop("detections")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    model = public_tokenizers.path(PIECE_MODEL)
+    encoded = encode_pieces(read_table(spark, sf_dir, "documents"), model)
+    digests = encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.element_at("ends", -1).cast("long").alias("n_bytes"),
+        "ids",
+    )
+    decoded = decode_pieces(digests, model)
+    return decoded.withColumn("decoded_sha256", F.sha2("text", 256)).drop("text")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
@@ -51,11 +77,19 @@ def op8_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(read_table(spark, sf_dir, "pages"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup(read_table(spark, sf_dir, "documents"))
+    return cleaned.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_license_scan": op2_license_scan,
+    "op3_toxicity": op3_toxicity,
+    "op4_piece_codec": op4_piece_codec,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
     "op7_token_records": op7_token_records,
     "op8_url_trust": op8_url_trust,
+    "op10_line_dedup": op10_line_dedup,
 }
