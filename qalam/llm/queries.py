@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from qalam.llm.exact_dedup import exact_dedup
 from qalam.llm.license_scan import license_scan
 from qalam.llm.line_dedup import line_dedup
+from qalam.llm.near_dedup import near_dedup
 from qalam.llm.packing import pack
 from qalam.llm.piece_codec import decode_pieces, encode_pieces
 from qalam.llm.quality_rules import quality_rules
@@ -77,6 +78,11 @@ def op8_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(read_table(spark, sf_dir, "pages"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return near_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup(read_table(spark, sf_dir, "documents"))
     return cleaned.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
@@ -91,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_token_records": op7_token_records,
     "op8_url_trust": op8_url_trust,
+    "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
