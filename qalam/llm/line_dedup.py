@@ -108,3 +108,14 @@ def line_dedup(
     return with_clean_text(only, min_sites, min_words, max_share).select(
         F.col("row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_boilerplate", "n_removed", F.col("clean").alias("text")
     )
+
+
+def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, max_share: float = MAX_SHARE) -> DataFrame:
+    """``docs`` with ``text``, and ``n_chars`` where there is one, as they are without such lines."""
+    rows = with_clean_text(docs, min_sites, min_words, max_share)
+    changed = F.col("n_removed") > 0
+    row = F.col("row").withField("text", F.when(changed, F.col("clean")).otherwise(F.col("row.text")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        row = row.withField("n_chars", F.when(changed, F.length("clean").cast(kind)).otherwise(F.col("row.n_chars")))
+    return rows.select(row.alias("row")).select("row.*")

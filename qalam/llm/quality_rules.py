@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qalam.llm.tables import id_and_text
+from qalam.llm.tables import id_and_text, text_or_empty
 
 #: Fixed values of the word and symbol classes.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -57,12 +57,12 @@ RULES = (
 
 
 def measures(rows: DataFrame) -> DataFrame:
-    """The figures of every text, beside ``doc_id``. Words are maximal runs of other than ASCII white
+    """The figures of every ``text``, beside ``row``. Words are maximal runs of other than ASCII white
     space. ``n_repeat_words`` counts the words that lie in a three-word window found twice or more
     in the text, the first one included; windows are compared by a 64-bit hash of their words."""
     body = F.btrim(F.col("text"), F.lit(SPACE_CHARS))
     split = rows.select(
-        "doc_id",
+        "row",
         F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, SPACE)).alias("words"),
         F.filter(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(SPACE_CHARS)) != "").alias("lines"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
@@ -121,24 +121,39 @@ def compile_rules(rules: Sequence[Threshold]) -> Column:
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
+def judged(rows: DataFrame, rules: Sequence[Threshold] = RULES) -> DataFrame:
+    """``rows (row, text)`` with the figures of their texts, ``base_failed`` and ``kept``."""
+    figures = ratios(measures(rows))
+    # 100 * n_repeat_words > 50 * n_words in whole numbers, as the base rule is stated
+    base = compile_rules([r for r in BASE_RULES if r.measure != "repeat_percent"]) & (
+        100 * F.col("n_repeat_words") <= int(next(r.high for r in BASE_RULES if r.measure == "repeat_percent")) * F.col("n_words")
+    )
+    return figures.withColumns({"base_failed": ~base, "kept": base & compile_rules(rules)})
+
+
 def quality_rules(docs: DataFrame, rules: Sequence[Threshold] = RULES) -> DataFrame:
     """``doc_id``, the figures of its whole text, ``base_failed`` and ``kept`` for every row.
 
     A null or empty text has no words and fails the base rules. Repeated rows are judged alike,
     null ids stay, an empty table gives an empty result and other columns are ignored."""
-    judged = ratios(measures(id_and_text(docs)))
-    # 100 * n_repeat_words > 50 * n_words in whole numbers, as the base rule is stated
-    base = compile_rules([r for r in BASE_RULES if r.measure != "repeat_percent"]) & (
-        100 * F.col("n_repeat_words") <= int(next(r.high for r in BASE_RULES if r.measure == "repeat_percent")) * F.col("n_words")
-    )
-    return judged.select(
-        "doc_id",
+    return judged(id_and_text(docs).withColumnRenamed("doc_id", "row"), rules).select(
+        F.col("row").alias("doc_id"),
         "n_words",
         "word_chars",
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        (~base).alias("base_failed"),
-        (base & compile_rules(rules)).alias("kept"),
+        "base_failed",
+        "kept",
         *(F.col(r.measure) for r in rules),
     )
+
+
+def with_quality(docs: DataFrame, rules: Sequence[Threshold] = RULES) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep.
+
+    A filter moves below deterministic projections, where each use of a figure would compute it anew;
+    the row number, which it needs and which can't move, holds it above them."""
+    rows = docs.select(F.struct("*").alias("row"), text_or_empty(F.col("text")).alias("text"))
+    verdicts = judged(rows, rules).select("row", "kept", F.monotonically_increasing_id().alias("at"))
+    return verdicts.filter("kept AND at >= 0").select("row.*")

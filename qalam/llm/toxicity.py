@@ -24,8 +24,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from qalam.llm.tables import id_and_text, stage
+from qalam.llm.tables import id_and_text, stage, text_or_empty
 from qalam.llm.word_ids import ragged, text_slices
 
 #: Rows with labels that the classifier is fitted to, at most.
@@ -234,18 +235,19 @@ def _descend(x: np.ndarray, y: np.ndarray, change: np.ndarray, counterfactual: f
     return w[:-1], float(w[-1])
 
 
-def _scorer(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        featurizer = Featurizer(slots_of(model.buckets))
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                raw = np.full(part.num_rows, model.bias)
-                if len(model.buckets):
-                    text, slot, n = featurizer.counts(part.column("text"))
-                    raw += np.bincount(text, weights=np.log1p(n) * model.weights[slot], minlength=part.num_rows)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(raw, -50, 50))))], ["doc_id", "score"]
-                )
+def score_of(model: Model) -> Callable[[Column], Column]:
+    """The score as a function of a text column without nulls."""
+
+    @F.arrow_udf(DoubleType())
+    def score(texts: pa.Array) -> pa.Array:
+        featurizer, parts = Featurizer(slots_of(model.buckets)), []
+        for part in text_slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+            raw = np.full(part.num_rows, model.bias)
+            if len(model.buckets):
+                text, slot, n = featurizer.counts(part.column("text"))
+                raw += np.bincount(text, weights=np.log1p(n) * model.weights[slot], minlength=part.num_rows)
+            parts.append(1 / (1 + np.exp(-np.clip(raw, -50, 50))))
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score
 
@@ -255,12 +257,18 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
 
     A null or empty text gets the score of a text without features. Repeated rows score alike, null
     ids stay (not held out), an empty table gives an empty result, other columns are ignored."""
-    scored = id_and_text(docs).mapInArrow(_scorer(model), "doc_id long, score double")
+    scored = id_and_text(docs).select("doc_id", score_of(model)(F.col("text")).alias("score"))
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score stays under ``THRESHOLD``."""
+    score = score_of(fit(training_sample(docs, labels, rows)))
+    return docs.filter(score(text_or_empty(F.col("text"))) < THRESHOLD)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Fit on the labelled rows that are not held out, score all rows of ``docs``."""
     return score_texts(docs, fit(training_sample(docs, labels, rows)))
