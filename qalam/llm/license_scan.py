@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qalam.llm.tables import id_and_text
+from qalam.llm.tables import held, id_and_text
 
 #: The characters between words, and the base phrases with their labels.
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -222,7 +222,7 @@ def license_scan(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFr
     words). A null or empty text has no words, no places and score 0. Repeated rows come back alike,
     null ids stay, an empty table gives an empty result, other columns are ignored."""
     rules = signature_rules() if rules is None else tuple(rules)
-    rows = id_and_text(docs).select("doc_id", words_of(F.col("text")).alias("words"))
+    rows = id_and_text(docs).select("doc_id", held(words_of(F.col("text"))).alias("words"))
     # the text's words are kept only where some rule or phrase may match
     gates = " OR ".join(f"contains(words, {_literal(g)})" for g in GATE)
     counted = rows.select(
@@ -230,7 +230,7 @@ def license_scan(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFr
         F.when(F.length("words") <= 2, F.lit(0)).otherwise(F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) - 1)
         .cast("long")
         .alias("n_words"),
-        F.when(F.expr(gates), F.col("words")).alias("words"),
+        held(F.when(F.expr(gates), F.col("words"))).alias("words"),
     )
     base = ", ".join(
         f"transform({_places('words', _literal(_bounded(phrase)))}, p -> struct(p.s AS s, {_literal(label)} AS label))"
@@ -242,13 +242,15 @@ def license_scan(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFr
         F.when(F.col("words").isNotNull(), F.expr(f"filter({_rule_array(rules)}, r -> contains(words, r.keyword))")).alias("open"),
     ).withColumn(
         "hits",
-        F.when(
-            F.size("open") > 0,
-            F.expr(
-                # starts ascend, of equal starts the longest comes first, then the better rule
-                f"array_sort(flatten(transform(open, r -> transform({_places('words', 'r.pattern')}, "
-                "p -> struct(p.s AS s, -p.e AS minus_e, r.priority AS priority, r.rank AS rank, r.label AS label)))))"
-            ),
+        held(
+            F.when(
+                F.size("open") > 0,
+                F.expr(
+                    # starts ascend, of equal starts the longest comes first, then the better rule
+                    f"array_sort(flatten(transform(open, r -> transform({_places('words', 'r.pattern')}, "
+                    "p -> struct(p.s AS s, -p.e AS minus_e, r.priority AS priority, r.rank AS rank, r.label AS label)))))"
+                ),
+            )
         ),
     )
     # walk: the furthest end so far for each priority; a place that ends before one is inside it

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qalam.llm.tables import id_and_text, text_or_empty
+from qalam.llm.tables import held, id_and_text, text_or_empty
 
 #: Fixed values of the word and symbol classes.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -63,7 +63,7 @@ def measures(rows: DataFrame) -> DataFrame:
     body = F.btrim(F.col("text"), F.lit(SPACE_CHARS))
     split = rows.select(
         "row",
-        F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, SPACE)).alias("words"),
+        held(F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, SPACE))).alias("words"),
         F.filter(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(SPACE_CHARS)) != "").alias("lines"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count("text", F.lit("!!")).cast("long").alias("n_shouts"),
@@ -83,18 +83,15 @@ def measures(rows: DataFrame) -> DataFrame:
     # equal windows are neighbours once sorted; positions are looked at only where there are some
     ordered = counted.withColumn(
         "windows",
-        F.when(
-            F.size(F.array_distinct("windows")) < F.size("windows"),
-            F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
-        ),
-    )
-    starts = ordered.withColumn(
-        "starts",
-        F.expr(
-            "sort_array(transform(filter(windows, (w, k) -> w.h <=> get(windows, k - 1).h OR w.h <=> get(windows, k + 1).h), "
-            "w -> w.i))"
+        held(
+            F.when(
+                F.size(F.array_distinct("windows")) < F.size("windows"),
+                F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+            )
         ),
     )
+    repeated = F.expr("filter(windows, (w, k) -> w.h <=> get(windows, k - 1).h OR w.h <=> get(windows, k + 1).h)")
+    starts = ordered.withColumn("starts", held(F.sort_array(F.transform(repeated, lambda w: w.i))))
     covered = F.expr("aggregate(transform(starts, (s, k) -> least(3, coalesce(get(starts, k + 1) - s, 3))), 0L, (n, x) -> n + x)")
     return starts.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("windows", "starts")
 
@@ -150,10 +147,6 @@ def quality_rules(docs: DataFrame, rules: Sequence[Threshold] = RULES) -> DataFr
 
 
 def with_quality(docs: DataFrame, rules: Sequence[Threshold] = RULES) -> DataFrame:
-    """The rows of ``docs``, all columns, that the rules keep.
-
-    A filter moves below deterministic projections, where each use of a figure would compute it anew;
-    the row number, which it needs and which can't move, holds it above them."""
+    """The rows of ``docs``, all columns, that the rules keep."""
     rows = docs.select(F.struct("*").alias("row"), text_or_empty(F.col("text")).alias("text"))
-    verdicts = judged(rows, rules).select("row", "kept", F.monotonically_increasing_id().alias("at"))
-    return verdicts.filter("kept AND at >= 0").select("row.*")
+    return judged(rows, rules).filter("kept").select("row.*")

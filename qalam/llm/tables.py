@@ -21,6 +21,12 @@ def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+def held(value: Column) -> Column:
+    """``value``, computed in this projection alone. An expression with a row number is never copied
+    into filters or projections above, where array functions would compute it for every element."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back: later stages
     start from the files, so a lost executor recomputes nothing before them."""
