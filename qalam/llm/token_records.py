@@ -4,8 +4,9 @@ A shard is a file of records, each framed as::
 
     uint64 length | uint32 masked checksum of the length | payload | uint32 masked checksum of the payload
 
-The payload is one document: a byte that says whether it has an id, the id as int64, then the token
-ids as little-endian uint32. Checksums are CRC-32, rotated right by 15 bits plus a constant, so that
+The payload is one document: a byte that says whether it has an id, the id as int64, a byte with the
+width of its token ids (2 or 4), then the ids as little-endian unsigned numbers of that width, the
+smaller one where the vocabulary allows it. Checksums are CRC-32, rotated right by 15 bits plus a constant, so that
 a checksum stored next to what it covers is not itself a valid checksum.
 
 Rows are range-partitioned by document id; each task sorts its range, encodes it and writes one
@@ -29,13 +30,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qalam.llm.tables import id_and_text, shuffle_partitions
-from qalam.llm.word_ids import WordEncoder, text_slices, with_end
+from qalam.llm.word_ids import text_slices, with_end, word_encoder
 
 #: Fixed value of the checksum mask.
 MASK_DELTA = 0xA282EAD8
 
 #: struct formats of a record's length, of its checksums and of the start of its payload.
-LENGTH, CHECK, HEADER = "<Q", "<I", "<Bq"
+LENGTH, CHECK, HEADER = "<Q", "<I", "<BqB"
 HEADER_BYTES = struct.calcsize(HEADER)
 
 INDEX_SCHEMA = "doc_id long, shard int, file string, offset long, size long, first long, n_tokens long"
@@ -76,17 +77,18 @@ def _writer(path: str, tokenizer_path: str, end_id: int) -> Callable[[Iterator[p
         shard, name = task.partitionId(), f"shard-{task.partitionId():06d}.rec"
         fs, folder = open_folder(path)
         draft = f"{folder}/.{name}.{task.taskAttemptId()}"
-        encoder, offset, first, out = WordEncoder(tokenizer_path), 0, 0, None
+        encoder, offset, first, out = word_encoder(tokenizer_path), 0, 0, None
+        width = 2 if max(end_id, encoder.tokenizer.get_vocab_size() - 1) < 1 << 16 else 4
         for batch in batches:
             out = out or fs.open_output_stream(draft)
             for part in text_slices(batch, "text"):
                 flat, lengths = with_end(*encoder.encode(part.column("text")), end_id)
-                ids, at, rows, frames = flat.tobytes(), 0, [], []
+                ids, at, rows, frames = flat.astype(f"<u{width}").tobytes(), 0, [], []
                 for doc_id, n in zip(part.column("doc_id").to_pylist(), lengths.tolist(), strict=True):
-                    record = frame(struct.pack(HEADER, doc_id is not None, doc_id or 0) + ids[at : at + 4 * n])
+                    record = frame(struct.pack(HEADER, doc_id is not None, doc_id or 0, width) + ids[at : at + width * n])
                     frames.append(record)
                     rows.append((doc_id, shard, name, offset, len(record), first, n))
-                    offset, first, at = offset + len(record), first + n, at + 4 * n
+                    offset, first, at = offset + len(record), first + n, at + width * n
                 out.write(b"".join(frames))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), INDEX_TYPES, strict=True)], names=INDEX_NAMES
@@ -136,9 +138,9 @@ def _reader(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                     if wanted != name:
                         name, file = wanted, fs.open_input_file(f"{folder}/{wanted}")
                     payload = unframe(file.read_at(size, offset))
-                    has_id, doc_id = struct.unpack_from(HEADER, payload)
+                    has_id, doc_id, width = struct.unpack_from(HEADER, payload)
                     doc_ids.append(doc_id if has_id else None)
-                    ids.append(payload[HEADER_BYTES:])
+                    ids.append(np.frombuffer(payload, dtype=f"<u{width}", offset=HEADER_BYTES).astype("<u4").tobytes())
                 lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc_ids, pa.int64()), batch.column("start"), pa.array(lengths), pa.array(ids, pa.binary())],
