@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qalam.llm.tables import id_and_text, shuffle_partitions, stage
-from qalam.llm.word_ids import WordEncoder, text_slices, with_end
+from qalam.llm.word_ids import text_slices, with_end, word_encoder
 
 #: Longest sequence; a power of two.
 MAX_LENGTH = 4096
@@ -32,7 +32,7 @@ def token_bytes(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
 def _encoder(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path)
         for batch in batches:
             for part in text_slices(batch, "text"):
                 flat, lengths = with_end(*encoder.encode(part.column("text")), end_id)
