@@ -45,6 +45,18 @@ def is_finite(c: Column | str) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
 
 
+def run_id_of(ts: Column | str) -> Column:
+    """A run's id: its start as ``yyyyMMdd_HHmmss`` in the session's time zone."""
+    return F.date_format(_c(ts), "yyyyMMdd_HHmmss")
+
+
+def iso_text(ts: Column | str) -> Column:
+    """A timestamp as ISO 8601 text, with microseconds where there are some."""
+    whole = F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss")
+    micros = F.date_format(_c(ts), "SSSSSS")
+    return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
+
+
 def loss_to_ppl(c: Column | str) -> Column:
     """exp(min(loss, 20)); null, NaN and +-inf give NaN."""
     x = _c(c).cast("double")
@@ -105,10 +117,12 @@ def best_points(
     ).select("run_id", "step", "m.*")
     long = long.where(is_finite("value"))
     score = F.when(F.col("is_min"), F.col("value")).otherwise(-F.col("value"))
-    best = long.groupBy("run_id", "metric").agg(
-        F.min_by(F.struct("step", "value"), F.struct(score, F.col("step"))).alias("b")
-    )
-    return best.select("run_id", "metric", "b.step", "b.value")
+    # two hash aggregates: the best score, then the first step that has it
+    long = long.withColumn("score", score)
+    best = long.groupBy(F.col("run_id").alias("_run"), F.col("metric").alias("_metric")).agg(F.min("score").alias("_best"))
+    at_best = F.col("run_id").eqNullSafe(F.col("_run")) & (F.col("metric") == F.col("_metric")) & (F.col("score") == F.col("_best"))
+    hits = long.join(best, at_best)
+    return hits.groupBy("run_id", "metric").agg(F.min("step").alias("step"), F.min("value").alias("value"))
 
 
 BUCKET_ROWS = 1 << 20
@@ -175,7 +189,10 @@ def running_best(
         F.min("_bm").over(Window.partitionBy("run_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
     )
     inside = F.min(v).over(Window.partitionBy("run_id", "_b").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1))
-    staged = idx.join(carry, ["run_id", "_b"]).select("run_id", "step", "value", F.least("_carry", inside).alias("_before"))
+    # null runs are a run of their own
+    carry = carry.select(F.col("run_id").alias("_run"), F.col("_b").alias("_cb"), "_carry")
+    same = F.col("run_id").eqNullSafe(F.col("_run")) & (F.col("_b") == F.col("_cb"))
+    staged = idx.join(carry, same).select("run_id", "step", "value", F.least("_carry", inside).alias("_before"))
     before = F.col("_before")
     bound = F.least(before, F.lit(seed).cast("double")) if seed is not None else before
     is_best = v.isNotNull() & (bound.isNull() | (v < bound))
@@ -198,8 +215,8 @@ def retain_last_n(df: DataFrame, n: int | None, run_col: str = "run_id", step_co
     from qalam.operators.batch import global_index
 
     idx = global_index(df.select(F.col(run_col).alias("run_id"), F.col(step_col).alias("step")), ["run_id", "step"])
-    ends = idx.groupBy("run_id").agg(F.max("_pos").alias("_end"))
-    return idx.join(ends, "run_id").select("run_id", "step", ((F.col("_end") - F.col("_pos")) < n).alias("keep"))
+    ends = idx.groupBy(F.col("run_id").alias("_run")).agg(F.max("_pos").alias("_end"))
+    return idx.join(ends, F.col("run_id").eqNullSafe(F.col("_run"))).select("run_id", "step", ((F.col("_end") - F.col("_pos")) < n).alias("keep"))
 
 
 def cadence_flags(
@@ -230,8 +247,9 @@ def interval_metrics(
     Input: ``(run_id, micro, ts, loss)`` with 0-based consecutive ``micro``. Optimizer step
     ``s = micro // grad_accum + 1`` completes with its last micro-step; a row is logged at
     ``s == 1`` and every ``s % log_every == 0`` and covers the micro-steps since the previous
-    log. Only intervals whose closing step was completed are reported. Pure arithmetic on the
-    step id plus one hash aggregate: no ordering window.
+    log. Only intervals whose closing step was completed are reported. ``seconds`` runs from the
+    previous log, the first micro-step for the first one, to this log. Arithmetic on the step id,
+    one hash aggregate and a join of each interval to the one before: no ordering window.
     """
     s = F.floor(F.col("micro") / grad_accum).cast("long") + 1
     end = F.when(s == 1, F.lit(1).cast("long")).otherwise((F.ceil(s / log_every) * log_every).cast("long"))
@@ -243,10 +261,17 @@ def interval_metrics(
     agg = tagged.groupBy("run_id", "interval_end").agg(
         F.avg("loss").alias("avg_loss"),
         F.count(F.lit(1)).alias("micro_steps"),
-        (F.expr("timestampdiff(MICROSECOND, min(ts), max(ts))") / 1e6).alias("seconds"),
+        F.min("ts").alias("_first"),
+        F.max("ts").alias("_last"),
+    )
+    before = agg.select(F.col("run_id").alias("_run"), F.col("interval_end").alias("_end"), F.col("_last").alias("_logged"))
+    previous = F.col("run_id").eqNullSafe(F.col("_run")) & (prev_end == F.col("_end"))
+    agg = agg.join(before, previous, "left").withColumn(
+        "seconds", F.expr("timestampdiff(MICROSECOND, coalesce(_logged, _first), _last)") / 1e6
     )
+    done_micro = done_micro.withColumnRenamed("run_id", "_done_run")
     # the closing micro-step of interval e is e*grad_accum - 1 (0-based)
-    complete = agg.join(done_micro, "run_id").where(F.col("interval_end") * grad_accum - 1 <= F.col("_last_micro"))
+    complete = agg.join(done_micro, F.col("run_id").eqNullSafe(F.col("_done_run"))).where(F.col("interval_end") * grad_accum - 1 <= F.col("_last_micro"))
     steps = (F.col("interval_end") - prev_end).cast("long")
     sps = F.when(F.col("seconds") > 0, steps / F.col("seconds")).otherwise(F.lit(0.0))
     examples = (F.col("interval_end") * (batch_size * grad_accum)).cast("long")

@@ -1,19 +1,15 @@
 """Exact, seeded, deterministic sampling and first-n views.
 
-``df.sample(fraction)`` is Bernoulli and returns an approximate count; the reference takes
-exactly ``min(n, rows)`` rows. Here a row's draw key is ``md5(seed|row_id)`` and the sample is
-the ``n`` smallest keys: ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject (a top-n heap
-per partition, then a merge of at most ``n`` x partitions rows), never a global sort.
-
-For a large ``n`` that merge would be big, so the keys' uniformity is used first: rows whose
-8-hex key prefix is below a cut-off sized for about ``1.1 n`` rows are kept (a narrow filter),
-and only if at least ``n`` rows pass -- then they hold the ``n`` smallest keys -- the top-n runs
-on them; otherwise the cut-off doubles. The result is the same exact sample.
+``df.sample(fraction)`` is Bernoulli and returns an approximate count; the reference takes exactly
+``min(n, rows)`` rows. Here a row's draw key is ``md5(seed|row_id)`` and the sample is the ``n``
+smallest keys. A histogram of the keys' first digits (at most 65,536 rows, combined map-side) tells
+in which bin the n-th key lies: all rows below that bin are in the sample, and only the bin itself,
+a 65,536th of the rows, is ordered. The same plan serves every ``n``; no task gathers the sample.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qalam.functions import text as T
@@ -23,28 +19,22 @@ def draw_key(seed: int, order_col: str = "row_id") -> Column:
     return F.md5(F.concat(F.lit(str(int(seed))), F.lit("|"), F.col(order_col).cast("string")))
 
 
-TAKE_ORDERED_LIMIT = 10_000
+#: Leading hex digits of a draw key that number its histogram bin.
+BIN_DIGITS = 4
 
 
-def sample_exact(
-    df: DataFrame, n: int, seed: int = 42, order_col: str = "row_id", take_ordered_limit: int = TAKE_ORDERED_LIMIT
-) -> DataFrame:
+def sample_exact(df: DataFrame, n: int, seed: int = 42, order_col: str = "row_id") -> DataFrame:
     """Exactly min(n, rows) rows, without replacement, reproducible for a seed."""
     n = int(n)
     key = draw_key(seed, order_col)
-    if n <= take_ordered_limit:
-        return df.orderBy(key, F.col(order_col)).limit(n)
-    total = df.count()
-    if n >= total:
+    bin_ = F.substring(key, 1, BIN_DIGITS)
+    bins = df.groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    upto = bins.select("bin", "n", F.sum("n").over(Window.orderBy("bin")).alias("upto"))
+    edge = upto.where(F.col("upto") >= n).orderBy("bin").first()
+    if edge is None:
         return df
-    space = 16**8
-    frac = min(1.0, 1.1 * n / total + 64.0 / total)
-    while True:
-        cut = int(frac * space)
-        cand = df if cut >= space else df.where(F.substring(key, 1, 8) < F.lit(format(cut, "08x")))
-        if cut >= space or cand.count() >= n:
-            return cand.orderBy(key, F.col(order_col)).limit(n)
-        frac = min(1.0, frac * 2)
+    rest = df.where(bin_ == edge.bin).orderBy(key, F.col(order_col)).limit(n - (edge.upto - edge.n))
+    return df.where(bin_ < edge.bin).unionByName(rest)
 
 
 def shuffle_take(df: DataFrame, k: int, seed: int = 42, order_col: str = "row_id") -> DataFrame:
@@ -92,4 +82,4 @@ def preview_pairs(df: DataFrame, n: int, mode: str = "both", seed: int = 42, ord
         parity = F.substring(F.md5(F.concat(F.lit(f"{int(seed)}|dir|"), rid.cast("string"))), 32, 1)
         forward = parity.isin("0", "2", "4", "6", "8", "a", "c", "e")
         return picked.select(F.when(forward, fwd).otherwise(bwd).alias("r")).select("r.*")
-    raise ValueError("input must have either [source_text,target_text,direction] or [en,ar] columns")
+    raise ValueError("a preview needs bidirectional rows (source_text, target_text, direction) or pairs (en, ar)")

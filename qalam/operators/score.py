@@ -8,7 +8,6 @@ evaluated as Spark expressions on the summed statistics.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,15 +135,21 @@ def eval_record(scores: DataFrame) -> DataFrame:
 
 
 def align_predictions(refs: DataFrame, preds: DataFrame, key: str = "row_id") -> DataFrame:
-    """Key-aligned predictions (the reference aligns parallel lists by position)."""
-    return refs.join(preds, key, "inner")
-
-
-def assert_unique(df: DataFrame, key: str = "row_id") -> None:
-    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise ValueError(f"duplicate {key} values")
+    """References with the prediction of the same key (the reference aligns parallel lists by position).
 
-
-def ceil_div(n: int, d: int) -> int:
-    return int(math.ceil(n / d))
+    Raises unless every key is on both sides exactly once: a missing or repeated one would drop or
+    multiply rows. The check is one aggregate over the keys."""
+    sides = refs.select(F.col(key).alias("k"), F.lit(1).alias("r"), F.lit(0).alias("p")).unionByName(
+        preds.select(F.col(key).alias("k"), F.lit(0).alias("r"), F.lit(1).alias("p"))
+    )
+    per_key = sides.groupBy("k").agg(F.sum("r").alias("r"), F.sum("p").alias("p"))
+    bad = per_key.agg(
+        F.count_if((F.col("r") > 1) | (F.col("p") > 1) | F.col("k").isNull()).alias("repeated"),
+        F.count_if(F.col("p") == 0).alias("unanswered"),
+        F.count_if(F.col("r") == 0).alias("unasked"),
+    ).first()
+    if any(bad):
+        raise ValueError(
+            f"{key}: {bad.repeated} repeated or null, {bad.unanswered} without a prediction, {bad.unasked} without a reference"
+        )
+    return refs.join(preds, key, "inner")

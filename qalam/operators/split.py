@@ -33,7 +33,7 @@ def hash_split(
 ) -> DataFrame:
     """Add ``split`` in {train, val, test} from a 32-bit hash of (en, ar)."""
     if not math.isclose(train_ratio + val_ratio + test_ratio, 1.0, abs_tol=1e-9):
-        raise ValueError("Split ratios must sum to 1.0")
+        raise ValueError(f"train, val and test shares add up to {train_ratio + val_ratio + test_ratio}, not to 1")
     h = split_hash()
     train_cut, val_cut = hex_cut(train_ratio), hex_cut(train_ratio + val_ratio)
     is_train = F.lit(True) if train_cut is None else (h < F.lit(train_cut))
@@ -45,23 +45,23 @@ def hash_split(
 
 def leakage_check(df: DataFrame) -> DataFrame:
     """Pairs that occur in more than one split (must be 0): one row ``leak_count``."""
-    per_pair = df.groupBy("en", "ar").agg(F.count_distinct("split").alias("n_splits"))
-    return per_pair.agg(F.coalesce(F.sum((F.col("n_splits") > 1).cast("long")), F.lit(0)).alias("leak_count"))
+    per_pair = df.groupBy("en", "ar").agg((F.min("split") != F.max("split")).alias("leaks"))
+    return per_pair.agg(F.count_if("leaks").alias("leak_count"))
 
 
 def assert_no_leakage(df: DataFrame) -> None:
     leaks = leakage_check(df).first()["leak_count"]
     if leaks:
-        raise ValueError(f"Leakage detected across splits for {leaks} pairs")
+        raise ValueError(f"{leaks} pairs are in more than one split")
 
 
 def split_counts(df: DataFrame) -> DataFrame:
-    """Rows per split and the share of all rows."""
+    """Rows per split and the share of all rows, to four digits."""
     c = df.groupBy("split").agg(F.count(F.lit(1)).cast("long").alias("rows"))
     # a three-row table: the total is a tiny grouping-set row joined back via a window
     from pyspark.sql import Window
 
-    return c.select("split", "rows", (F.col("rows") / F.sum("rows").over(Window.partitionBy())).alias("ratio"))
+    return c.select("split", "rows", F.bround(F.col("rows") / F.sum("rows").over(Window.partitionBy()), 4).alias("ratio"))
 
 
 def direction_split_counts(df: DataFrame) -> DataFrame:
@@ -94,12 +94,14 @@ def split_views(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def check_split_sizes(df: DataFrame) -> DataFrame:
-    """Conservation and non-empty checks over one ``groupBy(split).count()``.
-
-    Returns the (split, rows) table; raises if a split is empty.
-    """
-    counts = {r["split"]: r["rows"] for r in split_counts(df).collect()}
-    for s in SPLITS:
-        if counts.get(s, 0) == 0:
-            raise ValueError(f"split {s!r} is empty")
-    return split_counts(df).select("split", "rows")
+    """The (split, rows) table of ``df``. Raises if one of the splits is empty, or if rows belong to
+    none of them, so that the views of :func:`split_views` together would not hold every row."""
+    counts = df.groupBy("split").agg(F.count(F.lit(1)).cast("long").alias("rows"))
+    found = {r["split"]: r["rows"] for r in counts.collect()}
+    empty = [s for s in SPLITS if not found.get(s)]
+    if empty:
+        raise ValueError(f"no rows in split {', '.join(empty)}")
+    stray = sum(n for s, n in found.items() if s not in SPLITS)
+    if stray:
+        raise ValueError(f"{stray} rows are in none of the splits {', '.join(SPLITS)}")
+    return counts

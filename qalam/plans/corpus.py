@@ -91,18 +91,25 @@ def q_rows_by_source(spark, d):
 
 
 def q_read_splits(spark, d):
-    p = FX.pairs(spark, d).where(F.col("src") == 1)
-    named = {
-        "train": p.where(F.col("doc_id") % 4 > 0).select(F.col("k").alias("row_id"), F.col("en").alias("caption"), F.col("ar").alias("caption_multi")),
-        "test": p.where(F.col("doc_id") % 4 == 0).select(F.col("k").alias("row_id"), F.col("en").alias("caption"), F.col("ar").alias("caption_multi")),
-    }
-    return R.read_splits(spark, named).select("split_name", "row_id", "caption", "caption_multi")
+    """The three sources that come as datasets of named splits."""
+    out = None
+    for (name, df), (en, ar) in list(zip(FX.source_frames(spark, d), FX.SOURCE_COLUMNS))[1:4]:
+        named = {s: df.where(F.col("split_name") == s).drop("split_name") for s in ("train", "test")}
+        rows = R.read_splits(spark, named).select(
+            F.lit(name).alias("source"), "split_name", "row_id", F.col(en).alias("first"), F.col(ar).alias("second")
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_cap_rows(spark, d):
-    name, df = FX.source_frames(spark, d)[2]
-    std = R.standardize_pairs(df, name=name)
-    return R.cap_rows(std, max_rows=1000).select("source", "split_name", "row_id", "en", "ar")
+    """Every source, capped."""
+    out = None
+    for (name, df), (en, ar) in zip(FX.source_frames(spark, d), FX.SOURCE_COLUMNS):
+        std = R.standardize_pairs(df, name=name, preferred_en=en, preferred_ar=ar)
+        rows = R.cap_rows(std, max_rows=1000, splits=("train", "test")).select("source", "split_name", "row_id", "en", "ar")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_source_schema_report(spark, d):

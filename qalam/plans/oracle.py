@@ -203,12 +203,10 @@ def corpus_oracles() -> dict[str, str]:
     q["union_sources"] = with_(SOURCES_CTE, "SELECT source, split_name, row_id, en, ar FROM srcs")
     q["rows_by_source"] = with_(SOURCES_CTE, "SELECT source, CAST(count(*) AS BIGINT) AS rows FROM srcs GROUP BY ROLLUP (source)")
     q["read_splits"] = with_(
-        PAIRS_CTE,
-        "SELECT CASE WHEN doc_id % 4 > 0 THEN 'train' ELSE 'test' END AS split_name, k AS row_id, "
-        "en AS caption, ar AS caption_multi FROM pairs WHERE src = 1",
+        SOURCES_CTE, "SELECT source, split_name, row_id, en AS first, ar AS second FROM srcs WHERE source_rank IN (1, 2, 3)"
     )
     q["cap_rows"] = with_(
-        SOURCES_CTE, "SELECT source, split_name, row_id, en, ar FROM srcs WHERE source_rank = 2 ORDER BY split_rank, row_id LIMIT 1000"
+        SOURCES_CTE, "SELECT source, split_name, row_id, en, ar FROM srcs QUALIFY row_number() OVER (PARTITION BY source ORDER BY split_rank, row_id) <= 1000"
     )
     q["source_schema_report"] = with_(
         SOURCES_CTE,
@@ -248,7 +246,7 @@ def corpus_oracles() -> dict[str, str]:
     )
     q["eda_summary"] = with_(
         _funnel_cte(),
-        "SELECT final AS rows, CAST(128 AS BIGINT) AS max_seq_len_reference, merged - after_dedup AS duplicate_pairs_before_dedup, "
+        "SELECT final AS rows, ['en', 'ar'] AS columns, CAST(128 AS BIGINT) AS max_seq_len_reference, merged - after_dedup AS duplicate_pairs_before_dedup, "
         "CASE WHEN merged > 0 THEN (merged - after_dedup) / merged ELSE 0.0 END AS duplicate_ratio_before_dedup, "
         "swapped AS swap_count, after_dedup - after_swap AS rededup_removed_after_swap, "
         "diacritic_chars AS diacritics_removed_chars FROM fun",
@@ -311,7 +309,7 @@ def corpus_oracles() -> dict[str, str]:
     q["format_ratio"] = f"SELECT metric, count, {_pct_text('ratio')} AS ratio_text FROM ({_anomaly_sql('*')}) t"
     q["hash_split"] = with_(PREPARED_CTE, "SELECT row_id, en, ar, split FROM splitted")
     q["split_counts"] = with_(
-        PREPARED_CTE, "SELECT split, count(*) AS rows, count(*) / sum(count(*)) OVER () AS ratio FROM splitted GROUP BY split"
+        PREPARED_CTE, "SELECT split, count(*) AS rows, round_even(count(*) / sum(count(*)) OVER (), 4) AS ratio FROM splitted GROUP BY split"
     )
     q["direction_split_counts"] = with_(PREPARED_CTE, "SELECT split, direction, count(*) AS rows FROM bidir GROUP BY split, direction")
     q["leakage_check"] = with_(
@@ -350,9 +348,10 @@ def corpus_oracles() -> dict[str, str]:
 # ------------------------------------------------------------------ run-log oracles
 
 METRIC_LOG_CTE = """
-mlog AS (SELECT user_id % 5 AS run_id, (event_id % 200) * 40 AS step, event_id AS ingest_seq,
-                value / 50 AS val_loss, fmod(value, 30) AS bleu, fmod(value, 7) * 10 AS chrf,
-                CAST(NULL AS DOUBLE) AS comet FROM events),
+mlog AS (SELECT user_id % 5 AS run_id, event_id // 10 * 40 AS step, event_id AS ingest_seq,
+                value / 50 AS val_loss, fmod(value, 11) AS val_ppl, fmod(value, 30) AS bleu, fmod(value, 7) * 10 AS chrf,
+                CASE WHEN event_id % 3 > 0 THEN fmod(value, 1) END AS comet, fmod(value, 13) AS bleu_en_to_ar,
+                fmod(value, 17) AS bleu_ar_to_en, fmod(value, 19) AS chrf_en_to_ar, fmod(value, 23) AS chrf_ar_to_en FROM events),
 ulog AS (SELECT * FROM mlog QUALIFY row_number() OVER (PARTITION BY run_id, step ORDER BY ingest_seq DESC) = 1)"""
 
 
@@ -385,10 +384,11 @@ def run_oracles() -> dict[str, str]:
         "TRY_CAST(props AS DOUBLE) AS props FROM events"
     )
     q["loss_to_ppl"] = with_(METRIC_LOG_CTE, f"SELECT run_id, step, val_loss, round({_ppl('val_loss')}, 6) AS val_ppl FROM ulog")
-    q["upsert_metric_log"] = with_(METRIC_LOG_CTE, "SELECT run_id, step, ingest_seq, val_loss, bleu, chrf, comet FROM ulog")
+    q["upsert_metric_log"] = with_(METRIC_LOG_CTE, "SELECT * FROM ulog")
     q["sort_by_step"] = with_(METRIC_LOG_CTE, "SELECT run_id, step, val_loss FROM ulog ORDER BY run_id, step")
     parts = []
-    for m, mode in (("val_loss", "min"), ("bleu", "max"), ("chrf", "max"), ("comet", "max")):
+    maxima = ("bleu", "chrf", "comet", "bleu_en_to_ar", "bleu_ar_to_en", "chrf_en_to_ar", "chrf_ar_to_en")
+    for m, mode in (("val_loss", "min"), ("val_ppl", "min"), *((m, "max") for m in maxima)):
         order = f"{m} ASC" if mode == "min" else f"{m} DESC"
         parts.append(
             f"SELECT run_id, '{m}' AS metric, step, {m} AS value FROM ulog WHERE {_finite(m)} "
@@ -422,8 +422,9 @@ rb AS (SELECT run_id, step, val_loss, CASE WHEN {_finite('val_loss')} THEN val_l
     q["interval_metrics"] = """WITH
 m AS (SELECT 0 AS run_id, event_id AS micro, ts, value / 50 AS loss, CAST(floor(event_id / 32) AS BIGINT) + 1 AS s FROM events),
 t AS (SELECT *, CASE WHEN s = 1 THEN 1 ELSE CAST(ceil(s / 40) * 40 AS BIGINT) END AS interval_end FROM m),
-a AS (SELECT run_id, interval_end, avg(loss) AS avg_loss,
-             (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM t GROUP BY run_id, interval_end),
+g AS (SELECT run_id, interval_end, avg(loss) AS avg_loss, min(ts) AS first_ts, max(ts) AS last_ts FROM t GROUP BY run_id, interval_end),
+a AS (SELECT run_id, interval_end, avg_loss,
+             (epoch_us(last_ts) - epoch_us(coalesce(lag(last_ts) OVER (PARTITION BY run_id ORDER BY interval_end), first_ts))) / 1e6 AS seconds FROM g),
 lm AS (SELECT max(micro) AS last_micro FROM m),
 c AS (SELECT a.*, interval_end - CASE WHEN interval_end = 1 THEN 0 WHEN interval_end = 40 THEN 1 ELSE interval_end - 40 END AS steps
       FROM a, lm WHERE interval_end * 32 - 1 <= last_micro),
@@ -588,6 +589,26 @@ FROM sc""",
     return q
 
 
+# ------------------------------------------------------------------ tokens
+
+
+def token_oracles() -> dict[str, str]:
+    from qalam.functions.bytelevel import SPECIAL_TOKENS, TAG_AR_ID, TAG_EN_ID
+
+    tokens = ", ".join(f"('{t}', {i})" for i, t in enumerate(SPECIAL_TOKENS))
+    q: dict[str, str] = {}
+    q["decode_roundtrip"] = with_(
+        PREPARED_CTE, "SELECT row_id, direction, split, source_text AS decoded_input_ids, target_text AS decoded_labels FROM bidir"
+    )
+    q["special_token_audit"] = with_(
+        PREPARED_CTE + f",\nn AS (SELECT CASE direction WHEN 'en_to_ar' THEN {TAG_AR_ID} ELSE {TAG_EN_ID} END AS id, count(*) AS rows "
+        f"FROM bidir GROUP BY 1),\nspecial AS (SELECT * FROM (VALUES {tokens}) v(token, id))",
+        "SELECT token, CAST(special.id AS INTEGER) AS id, true AS probe_2ar_first, true AS probe_2en_first, "
+        "coalesce(rows, 0) AS tagged_rows, coalesce(rows, 0) AS tag_first_rows FROM special LEFT JOIN n ON n.id = special.id",
+    )
+    return q
+
+
 # ------------------------------------------------------------------ source/sink round trips
 
 
@@ -603,5 +624,5 @@ def io_oracles() -> dict[str, str]:
         f"SELECT row_id, CASE WHEN en IN ({na}) THEN NULL ELSE en END AS en, CASE WHEN ar IN ({na}) THEN NULL ELSE ar END AS ar FROM cleaned",
     )
     q["write_metric_log"] = with_(METRIC_LOG_CTE, "SELECT run_id, step, ingest_seq, val_loss, bleu, chrf, comet FROM ulog")
-    q["read_metric_log"] = with_(METRIC_LOG_CTE, "SELECT run_id, count(*) AS rows FROM mlog GROUP BY run_id")
+    q["read_metric_log"] = with_(METRIC_LOG_CTE, "SELECT run_id, step, ingest_seq, val_loss, bleu, chrf, comet FROM mlog")
     return q

@@ -68,9 +68,10 @@ def prepare_training(
     token ids, written partitioned by split. Returns the trained model."""
     pairs = R.read_pairs_parquet(spark, cleaned_path)
     if "row_id" not in pairs.columns:
-        pairs = pairs.withColumn("row_id", F.xxhash64("en", "ar"))
+        pairs = R.with_row_ids(pairs)
     split = SP.hash_split(C.drop_blank_pairs(pairs), *ratios)
     SP.assert_no_leakage(split)
+    SP.check_split_sizes(split)
     bi = SP.bidirectional_expand(split)
     K.write_pairs(bi, f"{out_dir}/bidirectional", partition_by=["split"])
     bi = spark.read.parquet(f"{out_dir}/bidirectional")

@@ -27,4 +27,5 @@ def all_oracles() -> dict[str, str]:
     out.update(oracle.run_oracles())
     out.update(oracle.eval_oracles())
     out.update(oracle.io_oracles())
+    out.update(oracle.token_oracles())
     return out

@@ -13,6 +13,7 @@ def eda_summary(raw_pairs: DataFrame, max_seq_len: int = 128) -> DataFrame:
     dup = F.col("merged") - F.col("after_dedup")
     return f.select(
         F.col("final").alias("rows"),
+        F.array(F.lit("en"), F.lit("ar")).alias("columns"),
         F.lit(max_seq_len).cast("long").alias("max_seq_len_reference"),
         dup.alias("duplicate_pairs_before_dedup"),
         F.when(F.col("merged") > 0, dup / F.col("merged")).otherwise(F.lit(0.0)).alias("duplicate_ratio_before_dedup"),

@@ -1,7 +1,8 @@
 """Registered tokenizer queries: word counts -> BPE merges -> ids -> audits -> padded batches.
 
-These are checked rows-only by the driver (arrays of ids have no SQL twin); their exactness
-against the reference tokenizer library is covered by tests/test_bpe.py and tests/test_tokens.py.
+Ids have no SQL twin, but decoding every row must give its text back, and each row must start with
+its tag's id: those two queries have oracles. The others' exactness against the tokenizer library is
+covered by tests/test_bpe.py.
 """
 
 from __future__ import annotations
@@ -38,13 +39,15 @@ def encoded(spark, d):
     return EN.encode_pairs(bidir(spark, d), model(spark, d), MAX_LEN, keep=["row_id", "direction", "split"])
 
 
-def batched(spark, d):
+def batched(spark, d, split: str | None = None):
     """Consecutive batches of 24 within each split in the seeded draw order, then token ids.
 
     Batch positions depend only on the draw key, so they are assigned on the text rows and the
     Python encoder runs once, after the range-partitioned index (whose sampling pass would
     otherwise evaluate the encoder a second time)."""
     rows = B.assign_batches(bidir(spark, d), 24, [S.draw_key(SEED), F.col("row_id")], group_cols=["split"])
+    if split:
+        rows = rows.where(F.col("split") == split)
     return EN.encode_pairs(rows, model(spark, d), MAX_LEN, keep=["row_id", "direction", "split", "batch_id"])
 
 
@@ -70,20 +73,15 @@ def q_model_columns(spark, d):
 
 
 def q_special_token_audit(spark, d):
-    return EN.special_token_audit(spark, model(spark, d), encoded(spark, d))
+    first = EN.encode_pairs(bidir(spark, d), model(spark, d), 1, keep=["direction"])
+    return EN.special_token_audit(spark, model(spark, d), first)
 
 
 def q_decode_roundtrip(spark, d):
-    picked = S.sample_exact(encoded(spark, d).where(F.col("split") == "train"), 5, SEED)
-    out = EN.decode_ids(picked, model(spark, d), ["input_ids", "labels"], skip_special=False)
-    return out.select(
-        "row_id",
-        "direction",
-        F.size("input_ids").alias("source_len"),
-        F.size("labels").alias("target_len"),
-        "decoded_input_ids",
-        "decoded_labels",
-    )
+    """Every row, encoded without a length limit and decoded again: byte-level ids lose nothing."""
+    ids = EN.encode_pairs(bidir(spark, d), model(spark, d), None, keep=["row_id", "direction", "split"])
+    out = EN.decode_ids(ids, model(spark, d), ["input_ids", "labels"], skip_special=False)
+    return out.select("row_id", "direction", "split", "decoded_input_ids", "decoded_labels")
 
 
 def q_tokenizer_audit(spark, d):
@@ -97,8 +95,7 @@ def q_pad_batches(spark, d):
 
 def q_tokens_per_step_ids(spark, d):
     """Token volume per optimizer step of the training loader (train split batches)."""
-    train = batched(spark, d).where(F.col("split") == "train")
-    padded = B.pad_batches(train)
+    padded = B.pad_batches(batched(spark, d, "train"))
     per_row = padded.select("batch_id", *[v.alias(k) for k, v in B.token_counts().items()])
     return B.tokens_per_step(per_row, grad_accum=8, max_steps=200)
 

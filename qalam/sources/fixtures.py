@@ -105,16 +105,22 @@ def cleaned_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metric-log rows from ``events`` (FIXTURES.md B4): several ingests per (run, step)."""
+    """Metric-log rows from ``events`` (FIXTURES.md B4): a few ingests per (run, step), steps and keys
+    that grow with the table, all nine metrics."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
         (F.col("user_id") % 5).alias("run_id"),
-        ((F.col("event_id") % 200) * 40).alias("step"),
+        (F.floor(F.col("event_id") / 10) * 40).alias("step"),
         F.col("event_id").alias("ingest_seq"),
         (F.col("value") / 50).alias("val_loss"),
+        (F.col("value") % 11).alias("val_ppl"),
         (F.col("value") % 30).alias("bleu"),
         (F.col("value") % 7 * 10).alias("chrf"),
-        F.lit(None).cast("double").alias("comet"),
+        F.when(F.col("event_id") % 3 > 0, F.col("value") % 1).alias("comet"),
+        (F.col("value") % 13).alias("bleu_en_to_ar"),
+        (F.col("value") % 17).alias("bleu_ar_to_en"),
+        (F.col("value") % 19).alias("chrf_en_to_ar"),
+        (F.col("value") % 23).alias("chrf_ar_to_en"),
     )
 
 
