@@ -2,12 +2,10 @@
 
 1. ``pretoken_counts``: byte-level pre-tokenisation in Arrow batches with a per-batch counter
    (map-side combine), then a ``groupBy(word)`` sum -> the word table ``(word, n)``.
-2. ``train_bpe``: the word table ``(word, n)`` is repartitioned and checkpointed once. Each
-   round is one Spark job over that fixed table: every Python worker segments its words with
-   the merges learned so far (incrementally, from a per-worker cache namespaced by training
-   run; a word first seen on a worker is segmented by merge rank, so a miss costs O(len^2)
-   rather than O(merges)), emits partial pair counts per Arrow batch, a partial+final ``groupBy(a, b)`` sums them, and only the top-K
-   pairs reach the driver. The plan depth is constant across rounds.
+2. ``train_bpe``: the word table ``(word, n)`` is repartitioned and checkpointed once, its words
+   become arrays of symbol ids. Each round is one Spark job of built-in functions: apply the last
+   batch of merges, count adjacent pairs with a partial+final ``groupBy``, and only the top-K pairs
+   reach the driver. The plan is cut by a checkpoint every few rounds.
 3. Exact batched merges. Merging ``(a, b)`` changes the counts of exactly the pairs that
    *chain* with it -- ``(x, a)`` and ``(b, y)`` -- and creates pairs holding the new symbol,
    each bounded by the count of such a chain pair. Pairs that merely share a symbol
@@ -20,15 +18,13 @@
    string already is a token: like the library trainer it maps to that token's id instead of
    adding one, so pairs holding that id may grow.
 
-What reaches the driver per round is K rows; the merges list (broadcast each round) is bounded
-by ``vocab_size``.
+What reaches the driver per round is K rows; the merges are bounded by ``vocab_size``.
 """
 
 from __future__ import annotations
 
 import logging
 import time
-import uuid
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -111,196 +107,6 @@ def select_batch(top: list[tuple[int, int, int]], min_frequency: int, room: int)
     return accepted
 
 
-_SEGMENT_CACHE_MAX = 2_000_000
-_BATCH_STATES_MAX = 512
-# worker-side state per training run: {run: {"seg": {word: (done, seg)}, "batches": {key: state}}}
-_RUNS: dict[str, dict] = {}
-
-
-def _run_state(run: str) -> dict:
-    st = _RUNS.get(run)
-    if st is None:
-        _RUNS.clear()  # a worker serves one training at a time; older runs are finished
-        st = _RUNS[run] = {"seg": {}, "batches": {}}
-    return st
-
-
-def _ranks(merges: list[tuple[int, int, int]], state: dict) -> dict[int, tuple[int, int]]:
-    """``(a << 20 | b) -> (rank, new id)`` for the merges so far, extended incrementally."""
-    ranks = state.setdefault("ranks", {})
-    done = state.get("ranks_done", 0)
-    for r in range(done, len(merges)):
-        a, b, new = merges[r]
-        ranks[(a << 20) | b] = (r, new)
-    state["ranks_done"] = len(merges)
-    return ranks
-
-
-def _by_rank(seg: list[int], ranks: dict[int, tuple[int, int]]) -> list[int]:
-    """Segment by repeatedly merging the lowest-ranked adjacent pair (leftmost on ties).
-
-    Equal to applying every merge in rank order, left to right: a merge creates only pairs
-    holding its new symbol, and those rank later. Costs O(len^2), not O(merges)."""
-    seg = list(seg)
-    while len(seg) > 1:
-        best, at = None, -1
-        for i in range(len(seg) - 1):
-            r = ranks.get((seg[i] << 20) | seg[i + 1])
-            if r is not None and (best is None or r[0] < best[0]):
-                best, at = r, i
-        if best is None:
-            break
-        seg[at : at + 2] = [best[1]]
-    return seg
-
-
-def _segment_all(words: list[str], id_of: dict[str, int], merges: list[tuple[int, int, int]], state: dict) -> list[list[int]]:
-    """Words -> symbol ids after all ``merges``. A word cached a few merges behind replays only
-    the pending ones, and only if it holds one of their left symbols (one set test per word);
-    otherwise (first sight on this worker) it is segmented by rank."""
-    cache = state["seg"]
-    total = len(merges)
-    pending_lefts: dict[int, set[int]] = {}
-    out = []
-    for word in words:
-        hit = cache.get(word)
-        if hit is None or total - hit[0] > 64:
-            seg = _by_rank([id_of[ch] for ch in word], _ranks(merges, state))
-        elif hit[0] == total:
-            out.append(hit[1])
-            continue
-        else:
-            done, seg = hit
-            lefts = pending_lefts.get(done)
-            if lefts is None:
-                lefts = pending_lefts[done] = {m[0] for m in merges[done:]}
-            if not lefts.isdisjoint(seg):
-                seg = _apply_new(seg, merges[done:])
-        if len(cache) >= _SEGMENT_CACHE_MAX:
-            cache.clear()
-        cache[word] = (total, seg)
-        out.append(seg)
-    return out
-
-
-def _count_pairs(segs: list[list[int]], counts) -> tuple:
-    """Weighted adjacent-pair counts of many symbol sequences, vectorised with numpy."""
-    from itertools import chain
-
-    import numpy as np
-
-    lens = np.fromiter(map(len, segs), dtype=np.int64, count=len(segs))
-    total = int(lens.sum())
-    if total < 2:
-        e = np.zeros(0, dtype=np.int64)
-        return e, e, e
-    flat = np.fromiter(chain.from_iterable(segs), dtype=np.int64, count=total)
-    weight = np.repeat(np.asarray(counts, dtype=np.int64), lens)
-    keys = (flat[:-1] << 20) | flat[1:]
-    valid = np.ones(total - 1, dtype=bool)
-    ends = np.cumsum(lens)[:-1] - 1  # last symbol of every word but the final one
-    valid[ends[ends < total - 1]] = False
-    keys, w = keys[valid], weight[:-1][valid]
-    uniq, inv = np.unique(keys, return_inverse=True)
-    sums = np.bincount(inv, weights=w).astype(np.int64)
-    return uniq >> 20, uniq & ((1 << 20) - 1), sums
-
-
-def _apply_new(seg: list[int], merges: list[tuple[int, int, int]]) -> list[int]:
-    """Apply ``merges`` in order, each left to right without overlaps. A C-level scan finds the
-    first occurrence of the pair; words holding the left symbol but not the pair are untouched."""
-    for a, b, new in merges:
-        n = len(seg)
-        if n < 2:
-            break
-        try:
-            i = seg.index(a, 0, n - 1)
-            while seg[i + 1] != b:
-                i = seg.index(a, i + 1, n - 1)
-        except ValueError:
-            continue
-        res = seg[:i]
-        while i < n:
-            if i + 1 < n and seg[i] == a and seg[i + 1] == b:
-                res.append(new)
-                i += 2
-            else:
-                res.append(seg[i])
-                i += 1
-        seg = res
-    return seg
-
-
-def _batch_counts(words: list[str], counts, id_of: dict[str, int], merges: list[tuple[int, int, int]], run: str):
-    """Pair counts of one Arrow batch after ``merges``.
-
-    A worker keeps, per batch (keyed by a 64-bit hash of its words and counts), the current
-    segmentations and pair counts; a later round only re-segments the words that contain a
-    newly merged left symbol and applies the count differences. A miss (the batch ran on
-    another worker before) falls back to a full recount, so results never depend on placement.
-    """
-    import numpy as np
-    import xxhash
-
-    h = xxhash.xxh64()
-    h.update("\x00".join(words).encode("utf-8"))
-    h.update(np.asarray(counts, dtype=np.int64).tobytes())
-    key = h.intdigest()
-    state = _run_state(run)
-    batches = state["batches"]
-    st = batches.get(key)
-    if st is None:
-        segs = _segment_all(words, id_of, merges, state)
-        a, b, c = _count_pairs(segs, counts)
-        st = {"done": len(merges), "segs": segs, "n": [int(x) for x in counts],
-              "pairs": dict(zip(((a << 20) | b).tolist(), c.tolist()))}
-        if len(batches) >= _BATCH_STATES_MAX:
-            batches.clear()
-        batches[key] = st
-    elif st["done"] < len(merges):
-        new = merges[st["done"]:]
-        lefts = {m[0] for m in new}
-        pairs, segs, ns = st["pairs"], st["segs"], st["n"]
-        for i, seg in enumerate(segs):
-            if lefts.isdisjoint(seg):
-                continue
-            nseg = _apply_new(seg, new)
-            if len(nseg) == len(seg):
-                continue
-            n = ns[i]
-            for j in range(len(seg) - 1):
-                k = (seg[j] << 20) | seg[j + 1]
-                left = pairs[k] - n
-                if left:
-                    pairs[k] = left
-                else:
-                    del pairs[k]
-            for j in range(len(nseg) - 1):
-                k = (nseg[j] << 20) | nseg[j + 1]
-                pairs[k] = pairs.get(k, 0) + n
-            segs[i] = nseg
-        st["done"] = len(merges)
-    keys = np.fromiter(st["pairs"].keys(), dtype=np.int64, count=len(st["pairs"]))
-    vals = np.fromiter(st["pairs"].values(), dtype=np.int64, count=len(st["pairs"]))
-    return keys >> 20, keys & ((1 << 20) - 1), vals
-
-
-def _pair_counts(words: DataFrame, id_of: dict[str, int], bc, run: str) -> DataFrame:
-    """Partial adjacent-pair counts per Arrow batch, summed by a partial+final aggregate."""
-
-    def run(batches):
-        import pandas as pd
-
-        from qalam.operators.bpe import _batch_counts
-
-        merges = bc.value
-        for pdf in batches:
-            a, b, c = _batch_counts(pdf["word"].tolist(), pdf["n"].to_numpy(), id_of, merges, run)
-            yield pd.DataFrame({"a": a.astype("int32"), "b": b.astype("int32"), "c": c})
-
-    return words.mapInPandas(run, "a int, b int, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
-
-
 def _pair_keys(seg: F.Column) -> F.Column:
     """Adjacent pairs of a symbol array as ``a << 20 | b`` keys (ids stay below 2^20)."""
     n = F.size(seg)
@@ -329,8 +135,8 @@ def _apply_batch(seg: F.Column, batch: list[tuple[int, int, int]]) -> F.Column:
     return F.when(F.arrays_overlap(seg, lefts), applied).otherwise(seg)
 
 
-def _train_rounds_jvm(base: DataFrame, model: "BPEModel", id_of: dict[str, int], vocab_size: int, min_frequency: int, top_k: int, checkpoint_every: int = 20) -> None:
-    """Rounds without Python workers: the segmented word table ``(word, n, seg)`` is a cached
+def _train_rounds(base: DataFrame, model: "BPEModel", id_of: dict[str, int], vocab_size: int, min_frequency: int, top_k: int, checkpoint_every: int = 20) -> None:
+    """Rounds of built-in array functions: the segmented word table ``(word, n, seg)`` is a cached
     DataFrame, advanced by one array pass per round and checkpointed every few rounds."""
     spark = base.sparkSession
     chars = F.create_map(*[x for ch, i in id_of.items() if len(ch) == 1 for x in (F.lit(ch), F.lit(i))])
@@ -347,7 +153,7 @@ def _train_rounds_jvm(base: DataFrame, model: "BPEModel", id_of: dict[str, int],
         model.rounds += 1
         top = [(r["k"] >> 20, r["k"] & ((1 << 20) - 1), r["c"]) for r in rows]
         batch = select_batch(top, min_frequency, vocab_size - len(model.tokens))
-        _LOG.debug("jvm round %d: %d merges, %.3f s", model.rounds, len(batch), time.monotonic() - started)
+        _LOG.debug("round %d: %d merges, %.3f s", model.rounds, len(batch), time.monotonic() - started)
         if not batch:
             break
         applied = []
@@ -377,18 +183,12 @@ def train_bpe(
     min_frequency: int = 2,
     top_k: int = 4096,
     num_partitions: int | None = None,
-    engine: str = "jvm",
 ) -> BPEModel:
     """Train merges on a word table ``(word, n)`` until ``vocab_size`` or no pair reaches
     ``min_frequency``. Specials take ids 0-5, the 256 byte symbols 6-261.
 
-    ``engine="jvm"`` (default) keeps the segmented words as a cached DataFrame and runs every
-    round as built-in array functions; ``engine="python"`` segments in Arrow workers with
-    per-worker caches. Both give the same merges; the JVM rounds are about twice as fast once
-    words have shrunk (0.25 s against 0.55 s at sf0.01).
-
-    The word table is repartitioned and checkpointed once; every round is one job over that
-    fixed table (constant plan depth), carrying the merges learned so far as a broadcast.
+    The word table is repartitioned and checkpointed once; every round is one job over its segmented
+    words, advanced by one array pass per round.
     """
     from qalam.session import checkpoint_dir, ship_package
 
@@ -403,38 +203,5 @@ def train_bpe(
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = words.where(F.char_length("word") > 1).select("word", F.col("n").cast("long").alias("n"))
     base = base.repartition(n_parts, "word").checkpoint(eager=True)
-    if engine == "jvm":
-        _train_rounds_jvm(base, model, id_of, vocab_size, min_frequency, top_k)
-        return model
-    sc = spark.sparkContext
-    merges: list[tuple[int, int, int]] = []
-    run = uuid.uuid4().hex
-    char_ids = dict(id_of)  # what workers need to segment a fresh word (fixed size)
-    while len(model.tokens) < vocab_size:
-        started = time.monotonic()
-        bc = sc.broadcast(list(merges))
-        counts = _pair_counts(base, char_ids, bc, run)
-        top = [(r["a"], r["b"], r["c"]) for r in counts.orderBy(F.desc("c"), "a", "b").limit(top_k).collect()]
-        bc.unpersist()
-        model.rounds += 1
-        batch = select_batch(top, min_frequency, vocab_size - len(model.tokens))
-        _LOG.debug(
-            "round %d: %d merges, top count %s, vocab %d, %.3f s",
-            model.rounds, len(batch), top[0][2] if top else None, len(model.tokens), time.monotonic() - started,
-        )
-        if not batch:
-            break
-        for a, b, _c in batch:
-            text = model.tokens[a] + model.tokens[b]
-            new_id = id_of.get(text)
-            model.merges.append((model.tokens[a], model.tokens[b]))
-            if new_id is not None:
-                # the string is already a token: the merge maps to its id (no new entry), so
-                # pairs holding it may grow -- nothing after it in this batch is certain
-                merges.append((a, b, new_id))
-                break
-            new_id = len(model.tokens)
-            model.tokens.append(text)
-            id_of[text] = new_id
-            merges.append((a, b, new_id))
+    _train_rounds(base, model, id_of, vocab_size, min_frequency, top_k)
     return model
