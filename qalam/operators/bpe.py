@@ -1,7 +1,7 @@
 """Byte-level BPE vocabulary training with distributed pair counting.
 
-1. ``pretoken_counts``: byte-level pre-tokenisation in Arrow batches with a per-batch counter
-   (map-side combine), then a ``groupBy(word)`` sum -> the word table ``(word, n)``.
+1. ``pretoken_counts``: pre-tokenisation and counting by built-in functions -> the word table
+   ``(word, n)``, words in byte symbols.
 2. ``train_bpe``: the word table ``(word, n)`` is repartitioned and checkpointed once, its words
    become arrays of symbol ids. Each round is one Spark job of built-in functions: apply the last
    batch of merges, count adjacent pairs with a partial+final ``groupBy``, and only the top-K pairs
@@ -25,14 +25,13 @@ from __future__ import annotations
 
 import logging
 import time
-from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
-from qalam.functions.bytelevel import SPECIAL_TOKENS, alphabet
+from qalam.functions.bytelevel import PRETOKEN_PATTERN, SPECIAL_TOKENS, alphabet, byte_to_char
 
 MAX_VOCAB = 1_000_000
 _LOG = logging.getLogger("qalam.bpe")
@@ -64,28 +63,23 @@ class BPEModel:
         return BPEEncoder(self.vocab, self.merges)
 
 
-def pretoken_counts(df: DataFrame, text_cols: list[str]) -> DataFrame:
-    """Word frequencies after byte-level pre-tokenisation of ``text_cols``: ``(word, n)``."""
-    from qalam.session import ship_package
-
-    ship_package(df.sparkSession)
-    cols = list(text_cols)
+#: The pre-tokenisation pattern for Java: white space as Unicode has it, and possessive runs, so that a
+#: long run of one class takes no stack. White space before a word is left to it, as the pattern's
+#: look-ahead says, which a possessive run could not do.
+_SPACES = r"\s+(?!\S)|\s+"
+JAVA_PATTERN = "(?U)" + PRETOKEN_PATTERN.removesuffix(_SPACES).replace("+|", "++|") + _SPACES
 
-    def run(batches):
-        import pandas as pd
 
-        from qalam.functions.bytelevel import pretokenize
-
-        for pdf in batches:
-            c: Counter = Counter()
-            for col in cols:
-                for t in pdf[col]:
-                    if t is not None:
-                        c.update(pretokenize(str(t)))
-            yield pd.DataFrame({"word": list(c.keys()), "n": pd.Series(list(c.values()), dtype="int64")})
+def pretoken_counts(df: DataFrame, text_cols: list[str]) -> DataFrame:
+    """Word frequencies after byte-level pre-tokenisation of ``text_cols``: ``(word, n)``.
 
-    partial = df.select(*cols).mapInPandas(run, "word string, n long")
-    return partial.groupBy("word").agg(F.sum("n").alias("n"))
+    Words are cut and counted as text by built-in functions; the bytes of each distinct word, read as
+    Latin-1, are then translated to their symbols."""
+    pieces = F.concat(*[F.regexp_extract_all(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(JAVA_PATTERN), F.lit(0)) for c in text_cols])
+    counts = df.select(F.explode(pieces).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    moved = [(chr(b), c) for b, c in byte_to_char().items() if chr(b) != c]
+    latin = F.decode(F.encode("piece", "UTF-8"), "ISO-8859-1")
+    return counts.select(F.translate(latin, "".join(b for b, _ in moved), "".join(c for _, c in moved)).alias("word"), "n")
 
 
 def select_batch(top: list[tuple[int, int, int]], min_frequency: int, room: int) -> list[tuple[int, int, int]]:
@@ -190,12 +184,11 @@ def train_bpe(
     The word table is repartitioned and checkpointed once; every round is one job over its segmented
     words, advanced by one array pass per round.
     """
-    from qalam.session import checkpoint_dir, ship_package
+    from qalam.session import checkpoint_dir
 
     if vocab_size > MAX_VOCAB:
         raise ValueError(f"vocab_size above {MAX_VOCAB}")
     spark = words.sparkSession
-    ship_package(spark)
     checkpoint_dir(spark)
     tokens = list(SPECIAL_TOKENS) + alphabet()
     id_of = {t: i for i, t in enumerate(tokens)}

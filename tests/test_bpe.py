@@ -55,6 +55,22 @@ def test_pretokenize_matches_library():
         assert pretokenize(t) == [w for w, _ in pt.pre_tokenize_str(t)]
 
 
+def test_pretoken_counts_match_python(spark):
+    """The Java pattern and the built-in byte symbols against the Python ones, for odd white space too."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(2)
+    pool = "aZé م12٣½ '’sdtlvemr!?.  \n\n\t\r\x0b\x0c\x1c\x1f\x85\u00a0\u2028\u3000\u200b\u0301\U0001f600\x00日本"
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(30))) for _ in range(800)] + ["", None, "  x", "x  ", "a" * 50_000, " " * 50_000]
+    df = spark.createDataFrame([(t, "it's") for t in texts], "t string, u string")
+    got = {r.word: r.n for r in pretoken_counts(df, ["t", "u"]).collect()}
+    want = Counter(w for t in texts for w in pretokenize(t or "")) + Counter(pretokenize("it's") * len(texts))
+    assert got == want
+    plan = pretoken_counts(df, ["t"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapInPandas" not in plan
+
+
 def test_select_batch_rules():
     # inputs are exact top lists: count desc, then ids asc
     # (2, 5) chains with (1, 2) (its left is the merged right symbol): its count is stale -> stop
