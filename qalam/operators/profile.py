@@ -115,29 +115,25 @@ def unique_sentence_counts(df: DataFrame, approx: bool = False) -> DataFrame:
 def length_outliers(df: DataFrame, order_col: str = "row_id", preview_chars: int = 200) -> DataFrame:
     """Longest text per side: side, row_id, char_len, first ``preview_chars`` characters.
 
-    Ties go to the first row (smallest ``order_col``): ``max_by`` on (len, -row_id).
+    Ties go to the first row (smallest ``order_col``): ``max_by`` on (len, -row_id). One pass without
+    a grouping key, so nothing is sorted or exploded before the aggregate.
     """
-    long = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(s).alias("side"),
-                        F.col(order_col).cast("long").alias("row_id"),
-                        T.char_count(s).alias("char_len"),
-                        F.substring(T.fill_text(s), 1, preview_chars).alias("text"),
-                    )
-                    for s in SIDES
-                ]
-            )
-        ).alias("s")
-    ).select("s.*")
-    best = long.groupBy("side").agg(
-        F.max_by(
-            F.struct("row_id", "char_len", "text"), F.struct(F.col("char_len"), -F.col("row_id"))
-        ).alias("b")
+    row_id = F.col(order_col).cast("long")
+    best = df.agg(
+        *(
+            F.max_by(
+                F.struct(
+                    F.lit(s).alias("side"),
+                    row_id.alias("row_id"),
+                    T.char_count(s).alias("char_len"),
+                    F.substring(T.fill_text(s), 1, preview_chars).alias("text"),
+                ),
+                F.struct(T.char_count(s).alias("n"), (-row_id).alias("r")),
+            ).alias(s)
+            for s in SIDES
+        )
     )
-    return best.select("side", "b.row_id", "b.char_len", "b.text")
+    return best.select(F.explode(F.array(*SIDES)).alias("b")).where("b IS NOT NULL").select("b.*")
 
 
 def script_anomalies(df: DataFrame) -> DataFrame:

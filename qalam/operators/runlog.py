@@ -80,10 +80,11 @@ def sort_by_step(df: DataFrame, run_col: str = "run_id", step_col: str = "step")
 def upsert_metric_log(
     df: DataFrame, keys: tuple[str, ...] = ("run_id", "step"), seq_col: str = "ingest_seq"
 ) -> DataFrame:
-    """Append semantics of a rewritten log: one row per key, the last ingested wins."""
+    """Append semantics of a rewritten log: one row per key, the last ingested wins. ``seq_col`` numbers
+    the ingests, so it does not repeat within a key. One ``max_by`` per column, whose buffers are plain
+    numbers, makes this a hash aggregate."""
     others = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(seq_col)).alias("_last")
-    return df.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in others])
+    return df.groupBy(*keys).agg(*[F.max_by(c, seq_col).alias(c) for c in others])
 
 
 def best_points(

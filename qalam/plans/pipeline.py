@@ -12,6 +12,7 @@ from qalam.operators import batch as B
 from qalam.operators import bpe as BPE
 from qalam.operators import clean as C
 from qalam.operators import encode as EN
+from qalam.operators import predict as PR
 from qalam.operators import profile as P
 from qalam.operators import sample as S
 from qalam.operators import score as SC
@@ -28,19 +29,21 @@ def build_corpus(
     max_seq_len: int = 128,
     seed: int = 42,
     preferred: dict[str, tuple[str | None, str | None]] | None = None,
+    max_rows: dict[str, int] | None = None,
 ) -> dict:
     """Standardise and merge sources (``preferred`` names the en/ar columns per source, else
-    the candidate lists decide), clean with one dedup exchange, write the corpus, the profile
-    tables and the summary. Returns the summary as a dict (one row)."""
-    preferred = preferred or {}
-    std = [R.standardize_pairs(df, name, *preferred.get(name, (None, None))) for name, df in frames]
+    the candidate lists decide, ``max_rows`` caps sources by name), clean with one dedup exchange,
+    write the corpus, its metadata, the profile tables and the summary. Returns the summary."""
+    preferred, max_rows = preferred or {}, max_rows or {}
+    std = [R.cap_rows(R.standardize_pairs(df, name, *preferred.get(name, (None, None))), max_rows.get(name)) for name, df in frames]
     merged = R.union_sources(std)
     # global merge order: source rank, then the source's own row order
     merged = merged.withColumn("row_id", F.col("source_rank").cast("long") * F.lit(1 << 40) + F.col("row_id"))
     raw = merged.select("row_id", "en", "ar")
     cleaned = C.clean_pairs(raw)
-    K.write_pairs(cleaned.select("en", "ar", "row_id"), f"{out_dir}/final_cleaned_combined_dataset.parquet", f"{out_dir}/final_cleaned_combined_dataset.csv")
-    corpus = spark.read.parquet(f"{out_dir}/final_cleaned_combined_dataset.parquet")
+    parquet, csv = (f"{out_dir}/final_cleaned_combined_dataset.{kind}" for kind in ("parquet", "csv"))
+    K.write_pairs(cleaned.select("en", "ar", "row_id"), parquet, csv)
+    corpus = spark.read.parquet(parquet)
     tables = {
         "word_length_stats": P.word_length_stats(corpus),
         "char_length_stats": P.char_length_stats(corpus),
@@ -51,9 +54,12 @@ def build_corpus(
         "sample_preview": S.sample_exact(corpus, 10, seed).select("en", "ar"),
     }
     K.write_profile_tables(tables, out_dir)
-    summary = eda_summary(raw, max_seq_len)
+    summary = eda_summary(raw, max_seq_len).first().asDict()
     K.write_json_metadata(spark, summary, f"{out_dir}/eda_summary.json")
-    return summary.first().asDict()
+    metadata = {key: summary[key] for key in ("rows", "columns")}
+    metadata |= {"parquet_path": parquet, "csv_path": csv, "max_seq_len_reference": max_seq_len}
+    K.write_json_metadata(spark, metadata, f"{out_dir}/final_cleaned_combined_dataset_metadata.json")
+    return summary
 
 
 def prepare_training(
@@ -87,5 +93,16 @@ def evaluate(predictions: DataFrame, batch_size: int = 24) -> DataFrame:
     return SC.eval_record(SC.scores_by_direction(predictions, batch_size))
 
 
+def evaluate_predictor(
+    rows: DataFrame, predictor, max_batches: int, batch_size: int = 24, seed: int = 42
+) -> DataFrame:
+    """Sample exactly ``max_batches * batch_size`` bidirectional rows (all, if there are fewer), predict
+    them in batches, align predictions with references by key, and score: one record, with zero
+    samples and NaN scores where there are no rows."""
+    sample = S.sample_exact(rows.select("row_id", "direction", "source_text", "target_text"), max_batches * batch_size, seed)
+    predicted = PR.batch_predict(sample, predictor, batch_size=batch_size).select("row_id", "prediction")
+    return evaluate(SC.align_predictions(sample, predicted), batch_size)
+
+
 def padded_batches(tokenized: DataFrame, batch_size: int, seed: int = 42) -> DataFrame:
     return B.pad_batches(B.assign_batches(tokenized, batch_size, [S.draw_key(seed), F.col("row_id")]))

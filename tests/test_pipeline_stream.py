@@ -30,3 +30,30 @@ def test_stream_matches_batch(spark, tmp_path):
     streamed = spark.read.parquet(str(tmp_path / "out"))
     batch = C.clean_rows(raw)
     assert sorted(map(tuple, streamed.select("row_id", "en", "ar").collect())) == sorted(map(tuple, batch.select("row_id", "en", "ar").collect()))
+
+
+def test_build_corpus_caps_and_metadata(spark, tmp_path):
+    out = str(tmp_path / "eda")
+    pref = dict(zip(FX.SOURCE_NAMES, FX.SOURCE_COLUMNS))
+    frames = FX.source_frames(spark, SF001)[:2]
+    summary = PL.build_corpus(spark, frames, out, preferred=pref, max_rows={frames[0][0]: 5, frames[1][0]: 7})
+    meta = spark.read.json(f"{out}/final_cleaned_combined_dataset_metadata.json").first()
+    assert summary["columns"] == meta["columns"] == ["en", "ar"]
+    assert summary["rows"] == meta["rows"] <= 12
+    assert spark.read.parquet(meta["parquet_path"]).count() == meta["rows"]
+
+
+def test_evaluation_job(spark):
+    from qalam.operators import predict as PR
+    from qalam.operators import score as SC
+    from qalam.operators import split as SP
+
+    rows = SP.bidirectional_expand(SP.hash_split(C.drop_blank_pairs(C.clean_pairs(FX.raw_pairs(spark, SF001)))))
+    record = PL.evaluate_predictor(rows, PR.CopySourcePredictor(), max_batches=3, batch_size=8).first()
+    assert (record.num_samples, record.num_batches) == (24, 3)
+    whole = PL.evaluate_predictor(rows, PR.CopySourcePredictor(), max_batches=10**6, batch_size=8).first()
+    predicted = PR.batch_predict(rows.select("row_id", "direction", "source_text", "target_text"), PR.CopySourcePredictor(), batch_size=8)
+    assert whole.num_samples == rows.count()
+    assert abs(whole.chrf - SC.corpus_chrf(predicted).first().chrf) < 1e-9
+    none = PL.evaluate_predictor(rows.limit(0), PR.CopySourcePredictor(), max_batches=3).first()
+    assert none.num_samples == 0 and none.bleu != none.bleu
