@@ -108,12 +108,31 @@ def _pair_keys(seg: F.Column) -> F.Column:
 
 
 def _apply_batch(seg: F.Column, batch: list[tuple[int, int, int]]) -> F.Column:
-    """Apply a merge batch in one left-to-right pass over the array. The batch's merges never
-    chain, so their occurrences are disjoint and one pass equals applying them in rank order
-    (a self-pair, always last, is consumed left to right without overlaps)."""
+    """Apply a merge batch in one pass that is linear in the word's length.
+
+    The batch's merges never chain, so their occurrences are disjoint: the new symbol stands where a
+    pair starts, and the place after it is dropped. Only a self-pair (always the last merge) can
+    overlap with itself; words with three or more of its symbols in a row take the pass of
+    :func:`_apply_in_order`, the others this one."""
     table = F.create_map(*[x for a, b, new in batch for x in (F.lit((a << 20) | b), F.lit(new))])
     lefts = F.array(*[F.lit(a) for a in sorted({a for a, _b, _n in batch})])
-    out_type = "array<int>"
+    starts = F.transform(_pair_keys(seg), lambda k: F.try_element_at(table, k))
+    none = F.array(F.lit(None).cast("int"))
+    placed = F.zip_with(seg, F.concat(starts, none), lambda s, new: F.struct(s.alias("s"), new.alias("new")))
+    merged = F.zip_with(placed, F.concat(none, starts), lambda x, before: F.when(before.isNull(), F.coalesce(x["new"], x["s"])))
+    applied = F.array_compact(merged)
+    a, b, _new = batch[-1]
+    if a == b:
+        runs = F.arrays_overlap(_pair_keys(seg), F.array(F.lit((a << 20) | a))) & F.exists(
+            F.zip_with(_pair_keys(seg), F.slice(_pair_keys(seg), 2, F.size(seg)), lambda x, y: (x == F.lit((a << 20) | a)) & (y == x)),
+            lambda hit: F.coalesce(hit, F.lit(False)),
+        )
+        applied = F.when(runs, _apply_in_order(seg, table)).otherwise(applied)
+    return F.when((F.size(seg) > 1) & F.arrays_overlap(seg, lefts), applied).otherwise(seg)
+
+
+def _apply_in_order(seg: F.Column, table: F.Column) -> F.Column:
+    """The same batch symbol by symbol, left to right without overlaps."""
 
     def step(acc, i):
         cur, nxt = F.get(seg, i), F.get(seg, i + 1)
@@ -124,9 +143,8 @@ def _apply_batch(seg: F.Column, batch: list[tuple[int, int, int]]) -> F.Column:
             .otherwise(F.struct(F.array_append(acc["out"], cur).alias("out"), F.lit(False).alias("skip")))
         )
 
-    init = F.struct(F.array().cast(out_type).alias("out"), F.lit(False).alias("skip"))
-    applied = F.aggregate(F.sequence(F.lit(0), F.size(seg) - 1), init, step, lambda acc: acc["out"])
-    return F.when(F.arrays_overlap(seg, lefts), applied).otherwise(seg)
+    init = F.struct(F.array().cast("array<int>").alias("out"), F.lit(False).alias("skip"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(seg) - 1), init, step, lambda acc: acc["out"])
 
 
 def _train_rounds(base: DataFrame, model: "BPEModel", id_of: dict[str, int], vocab_size: int, min_frequency: int, top_k: int, checkpoint_every: int = 20) -> None:

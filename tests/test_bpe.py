@@ -108,6 +108,18 @@ def test_matches_library_trainer_many_rounds(spark):
         assert enc.encode(t) == hf.encode(t).ids
 
 
+def test_long_words_and_runs(spark):
+    """Long words of few letters, runs of one letter among them: the library's merges."""
+    import random
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abc", k=n)) for n in (2, 3, 50, 400, 1200)] + ["a" * n for n in (2, 3, 4, 5, 17, 300)] + ["aab" * 60, "baa" * 41]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=330)
+    hv = hf_train(texts, 330).get_vocab()
+    assert {t: i for i, t in enumerate(model.tokens)} == hv
+
+
 def test_truncated_encoding_is_prefix_of_full(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").orderBy("doc_id").limit(30).collect()
     texts = ["<2ar> " + r[0] for r in rows]
