@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qalam.llm.tables import id_and_text, shuffle_partitions, stage
-from qalam.llm.word_ids import text_slices, with_end, word_encoder
+from qalam.llm.word_ids import text_slices, trim_memory, with_end, word_encoder
 
 #: Longest sequence; a power of two.
 MAX_LENGTH = 4096
@@ -39,6 +39,7 @@ def _encoder(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
                 offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32) * 4
                 ids = pa.BinaryArray.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(flat.tobytes())])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(lengths), ids], ["doc_id", "n_tokens", "ids"])
+        trim_memory()
 
     return encode
 

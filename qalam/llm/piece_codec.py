@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from qalam.llm.tables import id_and_text
-from qalam.llm.word_ids import ragged, text_slices
+from qalam.llm.word_ids import ragged, text_slices, trim_memory
 
 #: Fixed value: the character that stands for a space in pieces.
 MARK = "▁"
 MARK_BYTES = MARK.encode()
 
 #: Distinct stretches that a task remembers; beyond them it starts anew.
-MAX_CACHED = 500_000
+MAX_CACHED = 300_000
 
 STRETCH = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+")
 
@@ -203,6 +203,8 @@ def _encoder(model_path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                 offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in columns]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *lists], ["doc_id", "ids", "begins", "ends"])
+        del codec
+        trim_memory()
 
     return encode
 

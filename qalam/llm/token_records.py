@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qalam.llm.tables import id_and_text, shuffle_partitions
-from qalam.llm.word_ids import text_slices, with_end, word_encoder
+from qalam.llm.word_ids import text_slices, trim_memory, with_end, word_encoder
 
 #: Fixed value of the checksum mask.
 MASK_DELTA = 0xA282EAD8
@@ -96,6 +96,7 @@ def _writer(path: str, tokenizer_path: str, end_id: int) -> Callable[[Iterator[p
         if out:
             out.close()
             fs.move(draft, f"{folder}/{name}")
+        trim_memory()
 
     return write
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from qalam.llm.tables import id_and_text, stage, text_or_empty
-from qalam.llm.word_ids import ragged, text_slices
+from qalam.llm.word_ids import ragged, text_slices, trim_memory
 
 #: Rows with labels that the classifier is fitted to, at most.
 SAMPLE_ROWS = 20_000
@@ -37,6 +37,9 @@ BUCKETS = 1 << 20
 KEPT = 1_000
 LEAST_TEXTS = 5
 
+#: Words that a task remembers between batches; beyond them it starts anew.
+MAX_CACHED_WORDS = 100_000
+
 PREFIXES = (3, 4, 5, 6, 7, 8)
 THRESHOLD = 0.3
 L2 = 3e-4
@@ -86,7 +89,7 @@ class Featurizer:
     def _of(self, word: str) -> np.ndarray:
         got = self.known.get(word)
         if got is None:
-            if len(self.known) >= 500_000:
+            if len(self.known) >= MAX_CACHED_WORDS:
                 self.known.clear()
             at = self.slots[word_features(word)] if word else self.slots[:0]
             got = self.known[word] = at[at >= 0]
@@ -156,6 +159,8 @@ def _count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             toxic = part.column("toxic").to_numpy(zero_copy_only=False)[text] > 0
             counts += [np.bincount(at[~toxic], minlength=BUCKETS), np.bincount(at[toxic], minlength=BUCKETS)]
     some = np.flatnonzero(counts.sum(axis=0))
+    del featurizer
+    trim_memory()
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[0, some]), pa.array(counts[1, some])], ["bucket", "other", "toxic"])
 
 
@@ -247,6 +252,8 @@ def score_of(model: Model) -> Callable[[Column], Column]:
                 text, slot, n = featurizer.counts(part.column("text"))
                 raw += np.bincount(text, weights=np.log1p(n) * model.weights[slot], minlength=part.num_rows)
             parts.append(1 / (1 + np.exp(-np.clip(raw, -50, 50))))
+        del featurizer
+        trim_memory()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score

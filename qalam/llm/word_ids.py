@@ -7,6 +7,8 @@ distinct part to the tokenizers library once and gathers the ids of all texts of
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from array import array
 from collections.abc import Iterator
@@ -17,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Parts that a Python worker remembers between batches; beyond them it starts anew.
-MAX_CACHED_WORDS = 500_000
+MAX_CACHED_WORDS = 200_000
 
 #: Bytes of text that are worked on at a time.
 SLICE_BYTES = 4 << 20
@@ -38,6 +40,16 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
         at = to
 
 
+def trim_memory() -> None:
+    """Give freed memory back to the system. Spark keeps Python workers for later tasks, and what one
+    holds back another task of the executor can't have."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs ``flat[start : start + length]``, one after the other."""
     ends = np.cumsum(lengths)
