@@ -36,8 +36,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many sites share."""
-    return without_boilerplate(docs)
+    """All documents, without the lines that many sites share. Whole copies stay for near dedup."""
+    return without_boilerplate(docs, spare_copies=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -157,6 +157,23 @@ def test_line_dedup_keeps_columns_and_untouched_rows(awkward, empty):
     assert LD.without_boilerplate(empty).collect() == LD.line_dedup(empty).collect() == []
 
 
+NAVIGATION = "Accept all cookies to go on\nRead our full privacy policy here\nSubscribe to the newsletter of this site today"
+
+
+def test_pages_that_are_mostly_boilerplate_lose_it(spark):
+    """Pages with over half of their text in shared lines lose those; whole copies only where they are asked to stay."""
+    pages = [(i, f"{NAVIGATION}\nPage number {i} has little else", f"s{i % 6}") for i in range(12)]
+    copies = [(100 + i, f"A story that six sites print as it is\n{' '.join(map(str, range(60)))}", f"s{i}") for i in range(6)]
+    one_line = [(200 + i, " ".join(f"word{k}" for k in range(60)), f"s{i}") for i in range(6)]
+    docs = spark.createDataFrame(pages + copies + one_line, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in LD.line_dedup(docs).collect()}
+    assert {i: got[i].text for i, _, _ in pages} == {i: f"Page number {i} has little else" for i, _, _ in pages}
+    assert all(r.n_removed == r.n_boilerplate > 0 for r in got.values())
+    assert {got[i].text for i, _, _ in copies + one_line} == {""}
+    spared = {r.doc_id: r.text for r in LD.without_boilerplate(docs, spare_copies=True).collect()}
+    assert spared == {i: got[i].text for i, _, _ in pages} | {i: t for i, t, _ in copies + one_line}
+
+
 # near dedup
 
 WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")
