@@ -14,14 +14,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qalam.llm.tables import held, id_and_text, text_or_empty
+from qalam.llm.tables import held, text_or_empty
 
 #: Fixed values of the word and symbol classes.
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 SYMBOLS = r"[#*$%&|<>]"
 
-#: Function words of the languages the corpus is expected in; a prose text has some of them.
+#: Function words of some languages; a prose text in one of them has some.
 STOP_WORDS = (
     "the of and to in a is that for it with as on by was are this be at or from an not "
     "der die das und ist von den mit für auf ein eine einer im dem des nicht zu sich "
@@ -29,14 +29,18 @@ STOP_WORDS = (
     "el los las y que del se una con por su al es no lo"
 ).split()
 
+#: Codes of these languages, as they may stand in ``lang`` before a region or script.
+STOP_LANGS = "en eng de deu ger fr fra fre es spa".split()
+
 
 @dataclass(frozen=True)
 class Threshold:
-    """A text passes if ``low <= measure <= high`` (either may be open)."""
+    """A text passes if ``low <= measure <= high`` (either may be open), or where ``only`` is false."""
 
     measure: str
     low: float | None = None
     high: float | None = None
+    only: str | None = None
 
 
 #: Base rules: a text that fails one of them is dropped.
@@ -46,18 +50,29 @@ BASE_RULES = (
 )
 
 #: The method's own rules. Their limits are wide: they aim at symbol runs, shouting, lists of
-#: fragments and texts that repeat their lines, and leave prose of any language alone.
+#: fragments and texts that repeat their lines, and leave prose of any language alone: the stop words
+#: judge only texts that are said to be in their languages and are not mostly in another script.
 RULES = (
     Threshold("mean_word_length", low=2, high=15),
     Threshold("symbol_ratio", high=0.2),
-    Threshold("stop_word_ratio", low=0.05),
+    Threshold("stop_word_ratio", low=0.05, only="in_stop_lang"),
     Threshold("dup_line_ratio", high=0.5),
     Threshold("shout_ratio", high=0.5),
 )
 
 
+def in_stop_lang(rows: DataFrame) -> Column:
+    """True where the stop words can judge a text: its ``lang`` is one of theirs and at least half of
+    its letters are Latin. Without a known language nothing says so."""
+    if "lang" not in rows.columns:
+        return F.lit(False)
+    code = F.lower(F.regexp_extract(F.col("lang").cast("string"), "^\\s*([A-Za-z]+)", 1))
+    latin = 2 * F.regexp_count("text", F.lit(r"\p{IsLatin}")) >= F.regexp_count("text", F.lit(r"\p{L}"))
+    return F.coalesce(code.isin(*STOP_LANGS) & latin, F.lit(False))
+
+
 def measures(rows: DataFrame) -> DataFrame:
-    """The figures of every ``text``, beside ``row``. Words are maximal runs of other than ASCII white
+    """The figures of every ``text``, beside ``row``; ``lang`` may stand there too. Words are maximal runs of other than ASCII white
     space. ``n_repeat_words`` counts the words that lie in a three-word window found twice or more
     in the text, the first one included; windows are compared by a 64-bit hash of their words."""
     body = F.btrim(F.col("text"), F.lit(SPACE_CHARS))
@@ -67,6 +82,7 @@ def measures(rows: DataFrame) -> DataFrame:
         F.filter(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(SPACE_CHARS)) != "").alias("lines"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count("text", F.lit("!!")).cast("long").alias("n_shouts"),
+        in_stop_lang(rows).alias("in_stop_lang"),
     )
     counted = split.select(
         "*",
@@ -113,8 +129,11 @@ def ratios(measured: DataFrame) -> DataFrame:
 
 def compile_rules(rules: Sequence[Threshold]) -> Column:
     """True where every rule of the table holds."""
-    tests = [F.col(r.measure) >= r.low for r in rules if r.low is not None]
-    tests += [F.col(r.measure) <= r.high for r in rules if r.high is not None]
+    def where(rule: Threshold, test: Column) -> Column:
+        return test if rule.only is None else test | ~F.col(rule.only)
+
+    tests = [where(r, F.col(r.measure) >= r.low) for r in rules if r.low is not None]
+    tests += [where(r, F.col(r.measure) <= r.high) for r in rules if r.high is not None]
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
@@ -128,12 +147,18 @@ def judged(rows: DataFrame, rules: Sequence[Threshold] = RULES) -> DataFrame:
     return figures.withColumns({"base_failed": ~base, "kept": base & compile_rules(rules)})
 
 
+def lang_of(docs: DataFrame) -> list[Column]:
+    return [F.col("lang").alias("lang")] if "lang" in docs.columns else []
+
+
 def quality_rules(docs: DataFrame, rules: Sequence[Threshold] = RULES) -> DataFrame:
     """``doc_id``, the figures of its whole text, ``base_failed`` and ``kept`` for every row.
 
     A null or empty text has no words and fails the base rules. Repeated rows are judged alike,
-    null ids stay, an empty table gives an empty result and other columns are ignored."""
-    return judged(id_and_text(docs).withColumnRenamed("doc_id", "row"), rules).select(
+    null ids stay, an empty table gives an empty result and other columns than ``lang``, which may be
+    missing, are ignored."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("row"), text_or_empty(F.col("text")).alias("text"), *lang_of(docs))
+    return judged(rows, rules).select(
         F.col("row").alias("doc_id"),
         "n_words",
         "word_chars",
@@ -148,5 +173,5 @@ def quality_rules(docs: DataFrame, rules: Sequence[Threshold] = RULES) -> DataFr
 
 def with_quality(docs: DataFrame, rules: Sequence[Threshold] = RULES) -> DataFrame:
     """The rows of ``docs``, all columns, that the rules keep."""
-    rows = docs.select(F.struct("*").alias("row"), text_or_empty(F.col("text")).alias("text"))
+    rows = docs.select(F.struct("*").alias("row"), text_or_empty(F.col("text")).alias("text"), *lang_of(docs))
     return judged(rows, rules).filter("kept").select("row.*")

@@ -177,6 +177,30 @@ def test_quality_keeps_clean_prose_and_all_columns(documents, awkward, empty, la
     assert QR.quality_rules(empty).collect() == QR.with_quality(empty).collect() == []
 
 
+CLEAN_PROSE = {
+    "ru": "Утром над рекой стоял густой туман и рыбаки долго ждали пока солнце поднимется над лесом",
+    "ar": "جلس الرجل العجوز قرب النافذة ينظر إلى الشارع ويفكر في أيام الطفولة البعيدة والمدينة القديمة",
+    "hi": "सुबह नदी के ऊपर घना कोहरा था और मछुआरे बहुत देर तक सूरज निकलने की राह देखते रहे",
+    "pl": "Rano nad rzeką wisiała gęsta mgła, rybacy długo czekali, aż słońce wzejdzie ponad lasem",
+    "fi": "Aamulla joen yllä leijui sakea sumu ja kalastajat odottivat pitkään auringon nousua metsän takaa",
+    "tr": "Sabah nehrin üzerinde yoğun bir sis vardı, balıkçılar güneşin doğmasını uzun süre beklediler",
+}
+
+
+def test_quality_keeps_clean_prose_of_other_languages(spark):
+    """The stop words judge texts in their own languages and script, whatever the others say."""
+    numbered = {lang: " ".join(f"{w}{k}" for k in range(6) for w in t.split()) for lang, t in CLEAN_PROSE.items()}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(numbered.items())]
+    rows += [(10, numbered["ru"], "en"), (11, numbered["fi"], None), (12, numbered["tr"], "TR-tr")]
+    junk = " ".join(f"keyword{k}" for k in range(80))
+    rows += [(20, junk, "en"), (21, junk, "de-AT"), (22, junk, "FRA")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.kept, r.stop_word_ratio < 0.05) for r in QR.quality_rules(docs).collect()}
+    assert got == {i: (i < 20, True) for i, _, _ in rows}
+    assert {r.doc_id for r in QR.with_quality(docs).collect()} == {i for i, _, _ in rows if i < 20}
+    assert all(r.kept for r in QR.quality_rules(docs.drop("lang")).filter("doc_id < 20").collect())
+
+
 def test_quality_plan_is_one_projection(documents):
     plan = QR.quality_rules(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Exchange|Join|Python|Arrow", plan)
