@@ -42,9 +42,11 @@ class Rule:
 
 _V = r"(?: version| ver| v)?"
 
-#: (label, keyword, regex of the licence's name, words of its SPDX identifier or None)
+#: (label, keyword, regex of the licence's name, words of its SPDX identifier or None). The keyword is in
+#: all that the regex matches; a name without it has a row of its own.
 LICENCES = (
-    ("mit", "mit", r"mit(?: expat)? licen[cs]e|expat licen[cs]e", "mit"),
+    ("mit", "mit", r"mit(?: expat)? licen[cs]e", "mit"),
+    ("mit", "expat", r"expat licen[cs]e", None),
     ("mit-0", "no attribution", r"mit no attribution(?: licen[cs]e)?", "mit 0"),
     ("x11", "x11", r"x11 licen[cs]e|mit x11 licen[cs]e", "x11"),
     ("isc", "isc", r"isc licen[cs]e", "isc"),
@@ -55,14 +57,15 @@ LICENCES = (
     ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: licen[cs]e)?", "bsd 2 clause"),
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)(?: licen[cs]e)?", "bsd 3 clause"),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd|old bsd)(?: licen[cs]e)?", "bsd 4 clause"),
-    ("0bsd", "bsd", r"(?:0 clause bsd|zero clause bsd|0bsd|free public)(?: licen[cs]e)?", "0bsd"),
+    ("0bsd", "bsd", r"(?:0 clause bsd|zero clause bsd|0bsd)(?: licen[cs]e)?", "0bsd"),
+    ("0bsd", "free public", r"free public licen[cs]e", None),
     ("gpl-1.0", "general public", rf"(?:gnu )?general public licen[cs]e{_V} 1(?: 0)?", "gpl 1 0"),
     ("gpl-2.0", "general public", rf"(?:gnu )?general public licen[cs]e{_V} 2(?: 0)?", "gpl 2 0"),
     ("gpl-3.0", "general public", rf"(?:gnu )?general public licen[cs]e{_V} 3(?: 0)?", "gpl 3 0"),
     ("gpl-2.0", "gpl", rf"(?:gnu )?gpl{_V} ?2(?: 0)?", "gpl 2 0 only"),
     ("gpl-3.0", "gpl", rf"(?:gnu )?gpl{_V} ?3(?: 0)?", "gpl 3 0 only"),
-    ("gpl-2.0-or-later", "or later", rf"(?:gnu )?(?:general public licen[cs]e|gpl){_V} ?2(?: 0)? or(?: any)? later", "gpl 2 0 or later"),
-    ("gpl-3.0-or-later", "or later", rf"(?:gnu )?(?:general public licen[cs]e|gpl){_V} ?3(?: 0)? or(?: any)? later", "gpl 3 0 or later"),
+    ("gpl-2.0-or-later", "later", rf"(?:gnu )?(?:general public licen[cs]e|gpl){_V} ?2(?: 0)? or(?: any)? later", "gpl 2 0 or later"),
+    ("gpl-3.0-or-later", "later", rf"(?:gnu )?(?:general public licen[cs]e|gpl){_V} ?3(?: 0)? or(?: any)? later", "gpl 3 0 or later"),
     ("lgpl-2.0", "library general", rf"(?:gnu )?library general public licen[cs]e(?:{_V} 2(?: 0)?)?", "lgpl 2 0"),
     ("lgpl-2.1", "lesser general", rf"(?:gnu )?lesser general public licen[cs]e{_V} 2(?: 1)?", "lgpl 2 1"),
     ("lgpl-3.0", "lesser general", rf"(?:gnu )?lesser general public licen[cs]e{_V} 3(?: 0)?", "lgpl 3 0"),
@@ -95,8 +98,10 @@ LICENCES = (
     ("sspl-1.0", "server side", rf"server side public licen[cs]e(?:{_V} 1)?", "sspl 1 0"),
     ("elastic-2.0", "elastic", rf"elastic licen[cs]e(?:{_V} 2(?: 0)?)?", "elastic 2 0"),
     ("unlicense", "unlicense", r"(?:the )?unlicense", "unlicense"),
-    ("wtfpl", "what the", r"do what the \S+ you want to public licen[cs]e|wtfpl", "wtfpl"),
-    ("psf-2.0", "python", rf"python software foundation licen[cs]e(?:{_V} 2)?|psf licen[cs]e", "psf 2 0"),
+    ("wtfpl", "what the", r"do what the \S+ you want to public licen[cs]e", None),
+    ("wtfpl", "wtfpl", r"wtfpl", "wtfpl"),
+    ("psf-2.0", "python", rf"python software foundation licen[cs]e(?:{_V} 2)?", "psf 2 0"),
+    ("psf-2.0", "psf", r"psf licen[cs]e", None),
     ("php-3.01", "php", rf"php licen[cs]e(?:{_V} 3 0?1)?", "php 3 01"),
     ("ruby", "ruby", r"ruby licen[cs]e", "ruby"),
     ("postgresql", "postgresql", r"postgresql licen[cs]e", "postgresql"),
@@ -115,7 +120,8 @@ LICENCES = (
     ("ogl-uk-3.0", "open government", rf"open government licen[cs]e(?:{_V} 3(?: 0)?)?", "ogl uk 3 0"),
     ("vim", "vim", r"vim licen[cs]e", "vim"),
     ("beerware", "beer", r"beer ?ware(?: licen[cs]e)?", "beerware"),
-    ("openrail", "rail", r"(?:creativeml )?open ?rail(?: m)?(?: licen[cs]e)?|responsible ai licen[cs]e", None),
+    ("openrail", "rail", r"(?:creativeml )?open ?rail(?: m)?(?: licen[cs]e)?", None),
+    ("openrail", "responsible ai", r"responsible ai licen[cs]e", None),
     ("llama", "llama", r"llama (?:[0-9] )?community licen[cs]e(?: agreement)?", None),
 )
 
@@ -164,10 +170,11 @@ def signature_rules() -> tuple[Rule, ...]:
     for slug, short, long in CC_VARIANTS:
         for version in CC_VERSIONS:
             words = version.replace(".", " ")
-            name = rf"cc {short} {words}|creative commons {long} {words}(?: international| unported| generic)?(?: licen[cs]e)?"
+            in_full = rf"creative commons {long} {words}(?: international| unported| generic)?(?: licen[cs]e)?"
+            name = rf"cc {short} {words}|{in_full}"
             label = f"cc-{slug}-{version}"
-            rules.append(Rule(label, "cc", rf"{_NOTICE} cc {short} {words}", STATEMENT))
-            rules.append(Rule(label, "creative commons", rf"{_NOTICE} (?:a )?(?:{name})", STATEMENT))
+            rules.append(Rule(label, "cc by", rf"{_NOTICE} (?:a )?cc {short} {words}", STATEMENT))
+            rules.append(Rule(label, "creative commons", rf"{_NOTICE} (?:a )?{in_full}", STATEMENT))
             rules.append(Rule(label, "creativecommons", rf"creativecommons org licen[cs]es {short} {words}", STATEMENT))
             rules.append(Rule(label, words, name, NAME))
         rules.append(Rule(f"cc-{slug}", "creative commons", rf"creative commons {long}", REMARK))

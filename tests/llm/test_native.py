@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,56 @@ def test_every_rule_is_behind_its_keyword_and_the_gate():
         re.compile(rule.pattern)
 
 
+def expansions(parsed):
+    """Strings that a parsed regex matches: every branch, and every optional part left out and put in."""
+    found = [""]
+    for op, value in parsed:
+        if str(op) == "LITERAL":
+            one = [chr(value)]
+        elif str(op) == "IN":
+            one = [chr(x) if str(kind) == "LITERAL" else "7" for kind, x in value]
+        elif str(op) == "SUBPATTERN":
+            one = expansions(value[3])
+        elif str(op) == "BRANCH":
+            one = [x for branch in value[1] for x in expansions(branch)]
+        else:
+            low, _, inner = value
+            one = [""] * (low == 0) + expansions(inner)
+        found = [a + b for a in found for b in dict.fromkeys(one)]
+    return found
+
+
+def test_all_that_a_rule_matches_has_its_keyword_and_a_word_of_the_gate():
+    lost = []
+    for rule in LS.signature_rules():
+        pattern = rule.pattern.replace(LS._NOTICE, "licensed under")
+        texts = expansions(re._parser.parse(pattern))
+        assert all(re.fullmatch(pattern, t) for t in texts)
+        lost += [(rule.label, rule.keyword, t) for t in texts if rule.keyword not in t or not any(g in t for g in LS.GATE)]
+    assert lost == []
+
+
+ALTERNATIVE_NAMES = {
+    "Released under the WTFPL": "wtfpl",
+    "see the Expat License": "mit",
+    "under the Free Public License": "0bsd",
+    "a PSF license": "psf-2.0",
+    "the Responsible AI License applies": "openrail",
+    "GPL version 2 or any later": "gpl-2.0-or-later",
+    "Published under a CC BY-SA 4.0": "cc-by-sa-4.0",
+}
+
+
+def test_license_scan_equals_all_rules_without_keywords(spark, documents):
+    every = [replace(r, keyword="") for r in LS.signature_rules()]
+    more = spark.createDataFrame([(100_000 + i, t) for i, t in enumerate([*ALTERNATIVE_NAMES, *LICENCE_TEXTS])], "doc_id long, text string")
+    docs = documents.select("doc_id", "text").filter("length(text) < 3000").unionByName(more)
+    got = LS.license_scan(docs).collect()
+    assert Counter(tuple(r)[:8] for r in got) == Counter((i, *scan_by_hand(t, every)) for i, t in texts_of(docs))
+    labels = {r.doc_id: r.labels.split(",") for r in got}
+    assert all(label in labels[100_000 + i] for i, label in enumerate(ALTERNATIVE_NAMES.values()))
+
+
 def test_license_suppression(spark):
     rules = [
         LS.Rule("long", "licen", "the mit license text", LS.STATEMENT),
