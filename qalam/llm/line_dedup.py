@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from qalam.llm.tables import stage, text_or_empty
 
-#: Distinct sites that make a line boilerplate, and words that a line has at least to be judged:
-#: shorter lines repeat by chance.
+#: Distinct sites that make a line boilerplate, and words that a line has at least to be judged. At 1
+#: every line that isn't blank is judged, in scripts without spaces too.
 MIN_SITES = 5
-MIN_WORDS = 3
+MIN_WORDS = 1
 
 #: Share of its characters that a document may lose; one that would lose more stays whole. At 1 every
 #: document loses its boilerplate lines, however much of it they are.

@@ -174,6 +174,15 @@ def test_pages_that_are_mostly_boilerplate_lose_it(spark):
     assert spared == {i: got[i].text for i, _, _ in pages} | {i: t for i, t, _ in copies + one_line}
 
 
+def test_short_lines_and_scripts_without_spaces_are_judged(spark):
+    common = ["Privacy policy", "  Sign in\t", "本网站使用cookies来改善您的浏览体验", "ข้อกำหนดและเงื่อนไข"]
+    rows = [(i, "\n".join([*common, f"own{i}", "", "Two sites" if i < 2 else "x y"]), f"s{i}") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: (r.n_removed, r.text) for r in LD.line_dedup(docs).collect()}
+    # what is on two or three sites stays, blank lines too
+    assert got == {i: (4, f"own{i}\n\n" + ("Two sites" if i < 2 else "x y")) for i in range(5)}
+
+
 # near dedup
 
 WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")
