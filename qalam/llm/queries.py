@@ -13,6 +13,7 @@ from qalam.llm.license_scan import license_scan
 from qalam.llm.line_dedup import line_dedup
 from qalam.llm.near_dedup import near_dedup
 from qalam.llm.packing import pack
+from qalam.llm.periodic_runs import periodic_runs, run_lines, with_repeated_tails
 from qalam.llm.piece_codec import decode_pieces, encode_pieces
 from qalam.llm.quality_rules import quality_rules
 from qalam.llm.tables import read_table
@@ -88,6 +89,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    found = periodic_runs(with_repeated_tails(read_table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(run_lines(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_license_scan": op2_license_scan,
@@ -99,4 +115,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_trust": op8_url_trust,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
