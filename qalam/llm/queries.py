@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qalam.llm.compression_quality import compression_quality
 from qalam.llm.exact_dedup import exact_dedup
 from qalam.llm.license_scan import license_scan
 from qalam.llm.line_dedup import line_dedup
@@ -104,6 +105,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return compression_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_license_scan": op2_license_scan,
@@ -116,4 +122,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_compression_quality": op13_compression_quality,
 }
