@@ -17,6 +17,7 @@ from qalam.llm.packing import pack
 from qalam.llm.periodic_runs import periodic_runs, run_lines, with_repeated_tails
 from qalam.llm.piece_codec import decode_pieces, encode_pieces
 from qalam.llm.quality_rules import quality_rules
+from qalam.llm.spelling_groups import spelling_groups, vocabulary
 from qalam.llm.tables import read_table
 from qalam.llm.token_records import token_records
 from qalam.llm.toxicity import toxicity
@@ -90,6 +91,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(vocabulary(read_table(spark, sf_dir, "documents"), drop_every=31))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     found = periodic_runs(with_repeated_tails(read_table(spark, sf_dir, "documents")))
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_trust": op8_url_trust,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling_groups": op11_spelling_groups,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_compression_quality": op13_compression_quality,
 }
