@@ -1,39 +1,60 @@
-"""Byte-level BPE vocabulary training with distributed pair counting.
+"""Byte-level BPE vocabulary training over a distributed word table.
 
 1. ``pretoken_counts``: pre-tokenisation and counting by built-in functions -> the word table
    ``(word, n)``, words in byte symbols.
-2. ``train_bpe``: the word table ``(word, n)`` is repartitioned and checkpointed once, its words
-   become arrays of symbol ids. Each round is one Spark job of built-in functions: apply the last
-   batch of merges, count adjacent pairs with a partial+final ``groupBy``, and only the top-K pairs
-   reach the driver. The plan is cut by a checkpoint every few rounds.
-3. Exact batched merges. Merging ``(a, b)`` changes the counts of exactly the pairs that
-   *chain* with it -- ``(x, a)`` and ``(b, y)`` -- and creates pairs holding the new symbol,
-   each bounded by the count of such a chain pair. Pairs that merely share a symbol
-   (``(a, c)``, ``(c, b)``) occupy disjoint positions and keep their counts. So the prefix of
-   the exact top-K list (count desc, ids asc) up to the first pair that chains with an
-   accepted one is what one-at-a-time BPE picks, in the same order: every pair the batch
-   touches sits after the stop in that order, and a created pair never wins a tie because the
-   new symbol's id is larger than every existing id. A self-pair ``(a, a)`` ends the batch
-   (``a a a`` leaves ``aa a``, bounded only by the self-pair itself), and so does a merge whose
-   string already is a token: like the library trainer it maps to that token's id instead of
-   adding one, so pairs holding that id may grow.
-
-What reaches the driver per round is K rows; the merges are bounded by ``vocab_size``.
+2. ``train_bpe``: words become arrays of symbol ids, checkpointed as versions of a word table. A version
+   starts with one job that counts all pairs; the ``top_k`` most frequent reach the driver, and every
+   other pair has at most the count of the last of them (the floor).
+3. Merges are taken one at a time, in the trainer's order, without a job for each: the driver pulls the
+   words that hold the next pairs, at most ``held_words`` of them, merges in these and carries the pair
+   counts on. This is exact. A merge changes the words that hold its pair and no others; all of these
+   are held, so the counts of known pairs and of pairs with a new symbol stay true, and other counts
+   only fall. It goes on until the best known count reaches the floor or the next words don't fit; the
+   changed words are then written into the next version.
+4. While single pairs are in too many words to pull, a version is made by a batch of merges in the
+   tasks. Merging ``(a, b)`` changes the counts of exactly the pairs that *chain* with it -- ``(x, a)``
+   and ``(b, y)`` -- and creates pairs bounded by such a chain pair's count. Pairs that merely share a
+   symbol occupy disjoint positions. So the prefix of the exact top list (count desc, ids asc) up to
+   the first pair that chains with an accepted one is what one-at-a-time BPE picks: every pair that the
+   batch touches sits after the stop in that order, and a created pair never wins a tie because the
+   new symbol's id is larger than every existing id. A self-pair ``(a, a)`` ends the batch, and so does
+   a merge whose string already is a token: like the library trainer it maps to that token's id instead
+   of adding one, so pairs that hold that id may grow.
+
+What reaches the driver is bounded by ``top_k``, ``held_words`` and ``vocab_size``, whatever the corpus.
 """
 
 from __future__ import annotations
 
+import heapq
 import logging
 import time
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as Ty
 
 from qalam.functions.bytelevel import PRETOKEN_PATTERN, SPECIAL_TOKENS, alphabet, byte_to_char
 
 MAX_VOCAB = 1_000_000
+
+#: Pairs whose counts reach the driver when a version starts, and words that it holds at a time.
+TOP_K = 20_000
+HELD_WORDS = 100_000
+
+#: Pairs that must fit into the held words for a pull to cost less than batches of merges in the tasks.
+WORTH = 128
+
+#: A pair of ids as one number; ids stay below ``1 << SHIFT``.
+SHIFT = 20
+MASK = (1 << SHIFT) - 1
+
+#: Batches of merges that are replayed on a version before the next one is written.
+REPLAYED = 8
+
 _LOG = logging.getLogger("qalam.bpe")
 
 
@@ -101,118 +122,309 @@ def select_batch(top: list[tuple[int, int, int]], min_frequency: int, room: int)
     return accepted
 
 
-def _pair_keys(seg: F.Column) -> F.Column:
-    """Adjacent pairs of a symbol array as ``a << 20 | b`` keys (ids stay below 2^20)."""
-    n = F.size(seg)
-    return F.zip_with(F.slice(seg, 1, n - 1), F.slice(seg, 2, n - 1), lambda x, y: x.cast("long") * (1 << 20) + y.cast("long"))
+Batch = list[tuple[int, int, int]]
 
 
-def _apply_batch(seg: F.Column, batch: list[tuple[int, int, int]]) -> F.Column:
-    """Apply a merge batch in one pass that is linear in the word's length.
+def _flat(segs: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All words' symbols in a row, each word ended by -1, and the number of symbols of each word."""
+    offsets = segs.offsets.to_numpy().astype(np.int64)
+    values = segs.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64)
+    sizes = np.diff(offsets)
+    return np.insert(values, np.cumsum(sizes), -1), sizes
 
-    The batch's merges never chain, so their occurrences are disjoint: the new symbol stands where a
-    pair starts, and the place after it is dropped. Only a self-pair (always the last merge) can
-    overlap with itself; words with three or more of its symbols in a row take the pass of
-    :func:`_apply_in_order`, the others this one."""
-    table = F.create_map(*[x for a, b, new in batch for x in (F.lit((a << 20) | b), F.lit(new))])
-    lefts = F.array(*[F.lit(a) for a in sorted({a for a, _b, _n in batch})])
-    starts = F.transform(_pair_keys(seg), lambda k: F.try_element_at(table, k))
-    none = F.array(F.lit(None).cast("int"))
-    placed = F.zip_with(seg, F.concat(starts, none), lambda s, new: F.struct(s.alias("s"), new.alias("new")))
-    merged = F.zip_with(placed, F.concat(none, starts), lambda x, before: F.when(before.isNull(), F.coalesce(x["new"], x["s"])))
-    applied = F.array_compact(merged)
+
+def _pairs(flat: np.ndarray) -> np.ndarray:
+    """The pair that starts at each symbol; negative where a word ends."""
+    keys = np.full(len(flat), -1, np.int64)
+    inside = flat[:-1] >= 0
+    inside &= flat[1:] >= 0
+    keys[:-1][inside] = flat[:-1][inside] << SHIFT | flat[1:][inside]
+    return keys
+
+
+def apply_batch(flat: np.ndarray, batch: Batch) -> np.ndarray:
+    """``flat`` after a batch of merges ``(a, b, new)`` that don't chain; a self-pair is taken from the
+    left, without overlaps."""
+    order = np.argsort([a << SHIFT | b for a, b, _new in batch])
+    wanted = np.array([a << SHIFT | b for a, b, _new in batch], np.int64)[order]
+    new = np.array([x for _a, _b, x in batch], np.int64)[order]
+    keys = _pairs(flat)
+    at = np.searchsorted(wanted, keys)
+    at[at == len(wanted)] = 0
+    hits = np.flatnonzero(wanted[at] == keys)
     a, b, _new = batch[-1]
     if a == b:
-        runs = F.arrays_overlap(_pair_keys(seg), F.array(F.lit((a << 20) | a))) & F.exists(
-            F.zip_with(_pair_keys(seg), F.slice(_pair_keys(seg), 2, F.size(seg)), lambda x, y: (x == F.lit((a << 20) | a)) & (y == x)),
-            lambda hit: F.coalesce(hit, F.lit(False)),
-        )
-        applied = F.when(runs, _apply_in_order(seg, table)).otherwise(applied)
-    return F.when((F.size(seg) > 1) & F.arrays_overlap(seg, lefts), applied).otherwise(seg)
-
-
-def _apply_in_order(seg: F.Column, table: F.Column) -> F.Column:
-    """The same batch symbol by symbol, left to right without overlaps."""
-
-    def step(acc, i):
-        cur, nxt = F.get(seg, i), F.get(seg, i + 1)
-        new = F.when(nxt.isNotNull(), F.try_element_at(table, cur.cast("long") * (1 << 20) + nxt.cast("long")))
-        return (
-            F.when(acc["skip"], F.struct(acc["out"].alias("out"), F.lit(False).alias("skip")))
-            .when(new.isNotNull(), F.struct(F.array_append(acc["out"], new).alias("out"), F.lit(True).alias("skip")))
-            .otherwise(F.struct(F.array_append(acc["out"], cur).alias("out"), F.lit(False).alias("skip")))
-        )
-
-    init = F.struct(F.array().cast("array<int>").alias("out"), F.lit(False).alias("skip"))
-    return F.aggregate(F.sequence(F.lit(0), F.size(seg) - 1), init, step, lambda acc: acc["out"])
-
-
-def _train_rounds(base: DataFrame, model: "BPEModel", id_of: dict[str, int], vocab_size: int, min_frequency: int, top_k: int, checkpoint_every: int = 20) -> None:
-    """Rounds of built-in array functions: the segmented word table ``(word, n, seg)`` is a cached
-    DataFrame, advanced by one array pass per round and checkpointed every few rounds."""
-    spark = base.sparkSession
-    chars = F.create_map(*[x for ch, i in id_of.items() if len(ch) == 1 for x in (F.lit(ch), F.lit(i))])
-    seg0 = F.transform(F.split("word", ""), lambda c: chars[c]).cast("array<int>")
-    cur = base.select("n", seg0.alias("seg")).persist()
-    old = None
+        own = hits[keys[hits] == (a << SHIFT | a)]
+        first = np.concatenate(([True], np.diff(own) != 1))[: len(own)]
+        place = np.arange(len(own))
+        odd = (place - np.maximum.accumulate(np.where(first, place, 0))) % 2 == 1
+        hits = np.setdiff1d(hits, own[odd], assume_unique=True)
+    out = flat.copy()
+    out[hits] = new[at[hits]]
+    stay = np.ones(len(out), bool)
+    stay[hits + 1] = False
+    return out[stay]
+
+
+def _words_after(batches: list[Batch]) -> Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]:
+    def after(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        flat, sizes = _flat(batch.column("seg"))
+        for merges in batches:
+            flat = apply_batch(flat, merges)
+        ends = np.flatnonzero(flat < 0)
+        return flat, np.diff(ends, prepend=-1) - 1 if len(ends) else sizes
+
+    return after
+
+
+def _counter(batches: list[Batch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pair counts of a task's words, after ``batches``."""
+    after = _words_after(batches)
+
+    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for batch in rows:
+            flat, sizes = after(batch)
+            keys = _pairs(flat)
+            weights = np.repeat(batch.column("n").to_numpy(zero_copy_only=False), sizes + 1)
+            parts.append(_summed(keys[keys >= 0], weights[keys >= 0], np.ones(int((keys >= 0).sum()), np.int64)))
+        if parts:
+            k, c, places = _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c), pa.array(places)], ["k", "c", "places"])
+
+    return count
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate(([True], np.diff(keys) != 0))[: len(keys)])
+    if not len(starts):
+        return keys, counts[:0], places[:0]
+    return keys[starts], np.add.reduceat(counts[order], starts), np.add.reduceat(places[order], starts)
+
+
+def _advance(batches: list[Batch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The words after ``batches`` that still have pairs."""
+    after = _words_after(batches)
+
+    def advance(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            flat, sizes = after(batch)
+            stay = sizes > 1
+            offsets = np.concatenate(([0], np.cumsum(sizes[stay]))).astype(np.int32)
+            segs = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[np.repeat(stay, sizes + 1) & (flat >= 0)].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(stay)), batch.column("n").filter(pa.array(stay)), segs], ["id", "n", "seg"])
+
+    return advance
+
+
+def _holders(keys: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The words that hold one of the sorted ``keys``."""
+
+    def holding(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            flat, sizes = _flat(batch.column("seg"))
+            found = _pairs(flat)
+            at = np.searchsorted(keys, found)
+            at[at == len(keys)] = 0
+            word = np.repeat(np.arange(len(sizes)), sizes + 1)[keys[at] == found]
+            yield batch.filter(pa.array(np.bincount(word, minlength=len(sizes)) > 0))
+
+    return holding
+
+
+WORDS = "id long, n long, seg array<int>"
+
+
+class _Version:
+    """The word table at some merge, with the batches that have been decided since."""
+
+    def __init__(self, words: DataFrame):
+        self.words, self.batches = words.checkpoint(eager=True), []
+
+    def top(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs, counts and places in words of the ``k`` most frequent pairs (ties: smallest ids)."""
+        pairs = self.words.mapInArrow(_counter(self.batches), "k long, c long, places long")
+        counts = pairs.groupBy("k").agg(F.sum("c").alias("c"), F.sum("places").alias("places"))
+        got = counts.orderBy(F.desc("c"), "k").limit(k).toArrow()
+        return tuple(got.column(c).to_numpy() for c in ("k", "c", "places"))
+
+    def merged(self, batch: Batch) -> "_Version":
+        self.batches.append(batch)
+        return self.written() if len(self.batches) >= REPLAYED else self
+
+    def written(self) -> "_Version":
+        return _Version(self.words.mapInArrow(_advance(self.batches), WORDS)) if self.batches else self
+
+    def holding(self, keys: list[int]) -> pa.Table:
+        return self.words.mapInArrow(_holders(np.array(sorted(keys), np.int64)), WORDS).toArrow()
+
+    def replaced(self, changed: dict[int, list[int]]) -> "_Version":
+        """The version in which the words of ``changed`` (at most as many as are held) have new symbols."""
+        rows = pa.table([pa.array(list(changed), pa.int64()), pa.array(list(changed.values()), pa.list_(pa.int32()))], ["id", "now"])
+        met = self.words.join(F.broadcast(self.words.sparkSession.createDataFrame(rows)), "id", "left")
+        return _Version(met.select("id", "n", F.coalesce("now", "seg").alias("seg")).filter(F.size("seg") > 1))
+
+
+class _Held:
+    """Words on the driver, the pairs they hold, and the counts of all pairs above the floor."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, floor: int):
+        self.counts = dict(zip(keys.tolist(), counts.tolist(), strict=True))
+        self.heap = [(-c, k) for k, c in self.counts.items()]
+        heapq.heapify(self.heap)
+        self.floor, self.whole = floor, set()
+        self.words: dict[int, tuple[int, list[int]]] = {}
+        self.where: dict[int, set[int]] = {}
+        self.changed: dict[int, list[int]] = {}
+
+    def best(self) -> tuple[int, int] | None:
+        """The most frequent pair and its count, None where one below the floor might be."""
+        while self.heap:
+            count, key = -self.heap[0][0], self.heap[0][1]
+            if self.counts.get(key) == count:
+                return (key, count) if count > self.floor else None
+            heapq.heappop(self.heap)
+        return None
+
+    def add(self, table: pa.Table, keys: list[int]) -> None:
+        self.whole.update(keys)
+        for i, n, seg in zip(*(table.column(c).to_pylist() for c in ("id", "n", "seg")), strict=True):
+            if i not in self.words:
+                self.words[i] = n, seg
+                for k in zip(seg, seg[1:], strict=False):
+                    self.where.setdefault(k[0] << SHIFT | k[1], set()).add(i)
+
+    def merge(self, a: int, b: int, new: int) -> None:
+        """Merge the pair in every word that holds it and carry the counts on."""
+        change: dict[int, int] = {}
+        for i in self.where.pop(a << SHIFT | b, ()):
+            n, seg = self.words[i]
+            after, j, last = [], 0, len(seg) - 1
+            while j <= last:
+                if j < last and seg[j] == a and seg[j + 1] == b:
+                    after.append(new)
+                    j += 2
+                else:
+                    after.append(seg[j])
+                    j += 1
+            if len(after) == len(seg):
+                continue
+            for x, y in zip(seg, seg[1:], strict=False):
+                k = x << SHIFT | y
+                change[k] = change.get(k, 0) - n
+            for x, y in zip(after, after[1:], strict=False):
+                k = x << SHIFT | y
+                change[k] = change.get(k, 0) + n
+                if x == new or y == new:
+                    self.where.setdefault(k, set()).add(i)
+            self.words[i] = n, after
+            self.changed[i] = after
+        for k, delta in change.items():
+            if not delta:
+                continue
+            has_new = k >> SHIFT == new or k & MASK == new
+            if has_new:
+                self.whole.add(k)
+            if has_new or k in self.counts:
+                self.counts[k] = count = self.counts.get(k, 0) + delta
+                if count > self.floor:
+                    heapq.heappush(self.heap, (-count, k))
+        self.counts.pop(a << SHIFT | b, None)
+
+
+def _train(version: _Version, model: "BPEModel", vocab_size: int, min_frequency: int, top_k: int, held_words: int) -> None:
+    id_of = {t: i for i, t in enumerate(model.tokens)}
+
+    def merge(a: int, b: int) -> tuple[int, bool]:
+        """The id of the merged pair, and whether it is a new one."""
+        text = model.tokens[a] + model.tokens[b]
+        model.merges.append((model.tokens[a], model.tokens[b]))
+        if text in id_of:
+            return id_of[text], False
+        id_of[text] = len(model.tokens)
+        model.tokens.append(text)
+        return id_of[text], True
+
     while len(model.tokens) < vocab_size:
         started = time.monotonic()
-        counts = cur.select(F.explode(_pair_keys(F.col("seg"))).alias("k"), "n").groupBy("k").agg(F.sum("n").alias("c"))
-        rows = counts.orderBy(F.desc("c"), "k").limit(top_k).collect()
-        if old is not None:
-            old.unpersist()
-            old = None
+        keys, counts, places = version.top(top_k)
         model.rounds += 1
-        top = [(r["k"] >> 20, r["k"] & ((1 << 20) - 1), r["c"]) for r in rows]
+        top = list(zip((keys >> SHIFT).tolist(), (keys & MASK).tolist(), counts.tolist(), strict=True))
         batch = select_batch(top, min_frequency, vocab_size - len(model.tokens))
-        _LOG.debug("round %d: %d merges, %.3f s", model.rounds, len(batch), time.monotonic() - started)
         if not batch:
-            break
-        applied = []
-        for a, b, _c in batch:
-            text = model.tokens[a] + model.tokens[b]
-            new_id = id_of.get(text)
-            model.merges.append((model.tokens[a], model.tokens[b]))
-            if new_id is not None:
-                applied.append((a, b, new_id))
+            return
+        fit = int(np.searchsorted(np.cumsum(places), held_words, side="right"))
+        if fit < min(len(keys), WORTH):
+            applied = []
+            for a, b, _c in batch:
+                new, fresh = merge(a, b)
+                applied.append((a, b, new))
+                if not fresh:
+                    break
+            version = version.merged(applied)
+            _LOG.debug("%d tokens: batch of %d, %.2f s", len(model.tokens), len(applied), time.monotonic() - started)
+            continue
+        version = version.written()
+        held = _Held(keys, counts, int(counts[-1]) if len(keys) == top_k else 0)
+        size = dict(zip(keys.tolist(), places.tolist(), strict=True))
+        fresh, pulls, before = True, 0, len(model.merges)
+        while fresh and len(model.tokens) < vocab_size:
+            found = held.best()
+            if found is None or found[1] < min_frequency:
                 break
-            new_id = len(model.tokens)
-            model.tokens.append(text)
-            id_of[text] = new_id
-            applied.append((a, b, new_id))
-        nxt = cur.select("n", _apply_batch(F.col("seg"), applied).alias("seg"))
-        if model.rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
-        old, cur = cur, nxt.persist()
-    cur.unpersist()
-    if old is not None:
-        old.unpersist()
+            if found[0] not in held.whole:
+                wanted = _next_keys(held, size, held_words - len(held.words))
+                if found[0] not in wanted:
+                    break
+                held.add(version.holding(wanted), wanted)
+                pulls += 1
+                continue
+            a, b = found[0] >> SHIFT, found[0] & MASK
+            new, fresh = merge(a, b)
+            held.merge(a, b, new)
+        _LOG.debug("%d tokens: %d merges, %d pulls, %d words held, %.2f s", len(model.tokens), len(model.merges) - before, pulls, len(held.words), time.monotonic() - started)
+        if found is not None and found[1] < min_frequency and found[1] > held.floor or found is None and not held.floor:
+            return
+        version = version.replaced(held.changed)
+
+
+def _next_keys(held: _Held, size: dict[int, int], room: int) -> list[int]:
+    """The next pairs in merge order whose words may not all be held, as many as fit in ``room`` words."""
+    wanted = []
+    for count, key in sorted({(-c, k) for k, c in held.counts.items() if c > held.floor and k not in held.whole}):
+        room -= min(size.get(key, 0), -count)
+        if room < 0:
+            break
+        wanted.append(key)
+    return wanted
 
 
 def train_bpe(
     words: DataFrame,
     vocab_size: int = 32_000,
     min_frequency: int = 2,
-    top_k: int = 4096,
+    top_k: int = TOP_K,
     num_partitions: int | None = None,
+    held_words: int = HELD_WORDS,
 ) -> BPEModel:
     """Train merges on a word table ``(word, n)`` until ``vocab_size`` or no pair reaches
     ``min_frequency``. Specials take ids 0-5, the 256 byte symbols 6-261.
 
-    The word table is repartitioned and checkpointed once; every round is one job over its segmented
-    words, advanced by one array pass per round.
-    """
-    from qalam.session import checkpoint_dir
+    ``top_k`` and ``held_words`` bound what the driver holds; the result doesn't depend on them."""
+    from qalam.session import checkpoint_dir, ship_package
 
     if vocab_size > MAX_VOCAB:
         raise ValueError(f"vocab_size above {MAX_VOCAB}")
     spark = words.sparkSession
     checkpoint_dir(spark)
+    ship_package(spark)
     tokens = list(SPECIAL_TOKENS) + alphabet()
-    id_of = {t: i for i, t in enumerate(tokens)}
     model = BPEModel(tokens=tokens)
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = words.where(F.char_length("word") > 1).select("word", F.col("n").cast("long").alias("n"))
-    base = base.repartition(n_parts, "word").checkpoint(eager=True)
-    _train_rounds(base, model, id_of, vocab_size, min_frequency, top_k)
+    chars = F.create_map(*[x for i, t in enumerate(tokens) if len(t) == 1 for x in (F.lit(t), F.lit(i))])
+    base = words.where(F.char_length("word") > 1).repartition(n_parts, "word")
+    seg = F.transform(F.split("word", ""), lambda c: chars[c]).cast("array<int>")
+    _train(_Version(base.select(F.monotonically_increasing_id().alias("id"), F.col("n").cast("long").alias("n"), seg.alias("seg"))), model, vocab_size, min_frequency, top_k, held_words)
     return model

@@ -92,14 +92,16 @@ def test_select_batch_rules():
     assert select_batch([(1, 2, 5), (3, 4, 4)], 2, 1) == [(1, 2, 5)]
 
 
-def test_matches_library_trainer_many_rounds(spark):
-    """Whole sf0.001 documents, 3,000 tokens, a small top list so that many rounds end at the
-    K boundary or at a chain conflict: same vocabulary ids and encodings as the library."""
+@pytest.mark.parametrize(("size", "top_k", "held_words"), [(360, 300, 0), (700, 300, 2500), (3000, 2000, 100_000), (12_000, 20_000, 100_000)])
+def test_matches_library_trainer_many_rounds(spark, size, top_k, held_words):
+    """Whole sf0.001 documents, by batches in the tasks alone, with versions that end where no more words
+    fit, with versions that end at the floor, and until no pair is left: same vocabulary ids and
+    encodings as the library."""
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").orderBy("doc_id").collect()
     texts = ["<2ar> " + r[0] for r in rows]
-    hf = hf_train(texts, 3000)
+    hf = hf_train(texts, size)
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=3000, top_k=300)
+    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=size, top_k=top_k, held_words=held_words)
     hv = hf.get_vocab()
     assert len(model.tokens) == hf.get_vocab_size()
     assert all(hv[t] == i for i, t in enumerate(model.tokens))
@@ -108,14 +110,15 @@ def test_matches_library_trainer_many_rounds(spark):
         assert enc.encode(t) == hf.encode(t).ids
 
 
-def test_long_words_and_runs(spark):
+@pytest.mark.parametrize("held_words", [0, 100_000])
+def test_long_words_and_runs(spark, held_words):
     """Long words of few letters, runs of one letter among them: the library's merges."""
     import random
 
     rng = random.Random(4)
     texts = ["".join(rng.choices("abc", k=n)) for n in (2, 3, 50, 400, 1200)] + ["a" * n for n in (2, 3, 4, 5, 17, 300)] + ["aab" * 60, "baa" * 41]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=330)
+    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=330, held_words=held_words)
     hv = hf_train(texts, 330).get_vocab()
     assert {t: i for i, t in enumerate(model.tokens)} == hv
 
