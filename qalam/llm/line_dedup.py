@@ -48,25 +48,14 @@ def line_keys(lines: Column, min_words: int) -> Column:
     return F.array_distinct(F.transform(F.filter(lines, lambda x: judged(x, min_words)), line_key))
 
 
-def page_key(keys: Column) -> Column:
-    """Documents with the same set of judged lines have the same key; null without such lines. The
-    text before the set keeps a page of one line apart from the line."""
-    return F.when(F.size(keys) > 0, F.xxhash64(F.lit("page"), F.sort_array(keys)))
-
-
-def line_table(docs: DataFrame, min_words: int = MIN_WORDS, pages: bool = False) -> DataFrame:
-    """``doc_id, site, line``: each judged line of a document once, staged. With ``pages``, the key of
-    the document's whole line set is one more line."""
+def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc_id, site, line``: each judged line of a document once, staged."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("site"),
         F.split(text_or_empty(F.col("text")), "\n").alias("lines"),
     )
-    keys = line_keys(F.col("lines"), min_words)
-    if pages:
-        rows = rows.select("doc_id", "site", keys.alias("keys"))
-        keys = F.array_compact(F.concat(F.col("keys"), F.array(page_key(F.col("keys")))))
-    return stage(rows.select("doc_id", "site", F.explode(keys).alias("line")), "lines")
+    return stage(rows.select("doc_id", "site", F.explode(line_keys(F.col("lines"), min_words)).alias("line")), "lines")
 
 
 def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, near: float = NEAR, log_k: int = SKETCH_LOG_K) -> DataFrame:
@@ -83,14 +72,14 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, near: float
 
 
 def with_clean_text(
-    docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, max_share: float = MAX_SHARE, spare_copies: bool = False
+    docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, max_share: float = MAX_SHARE, evidence: DataFrame | None = None
 ) -> DataFrame:
     """``row`` (all of ``docs``' columns), ``clean``, ``n_lines``, ``n_boilerplate`` and ``n_removed``.
 
-    With ``spare_copies``, a document whose whole line set is on at least ``min_sites`` sites is a copy
-    of the others rather than a page with boilerplate, and stays whole."""
-    lines = line_table(docs, min_words, pages=spare_copies)
-    common = stage(boilerplate_lines(lines, min_sites), "boilerplate")
+    With ``evidence``, the sites of these documents alone make a line boilerplate."""
+    lines = line_table(docs, min_words)
+    seen = lines if evidence is None else line_table(evidence, min_words)
+    common = stage(boilerplate_lines(seen, min_sites), "boilerplate")
     lost = lines.join(common, "line", "left_semi").groupBy("doc_id").agg(F.collect_set("line").alias("lost"))
     lost = lost.select(F.col("doc_id").alias("of"), "lost")
     # null ids have lines too
@@ -100,17 +89,11 @@ def with_clean_text(
     def common_line(line: Column) -> Column:
         return F.array_contains("lost", line_key(line)) & judged(line, min_words)
 
-    copy = []
-    if spare_copies:
-        whole = F.array_contains("lost", page_key(line_keys(F.col("lines"), min_words)))
-        copy.append(F.coalesce(F.when(F.col("lost").isNotNull(), whole), F.lit(False)).alias("copy"))
     kept = F.when(F.col("lost").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~common_line(x)))
-    split = met.select("row", "text", "lines", kept.alias("kept"), *copy)
+    split = met.select("row", "text", "lines", kept.alias("kept"))
     boilerplate = F.size("lines") - F.size("kept")
     gone = F.length(F.array_join("lines", "")) - F.length(F.array_join("kept", ""))
     page = gone <= F.lit(max_share) * F.length(F.array_join("lines", ""))
-    if spare_copies:
-        page &= ~F.col("copy")
     return split.select(
         "row",
         F.when((boilerplate > 0) & page, F.array_join("kept", "\n")).otherwise(F.col("text")).alias("clean"),
@@ -135,10 +118,13 @@ def line_dedup(
 
 
 def without_boilerplate(
-    docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, max_share: float = MAX_SHARE, spare_copies: bool = False
+    docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, max_share: float = MAX_SHARE, evidence: DataFrame | None = None
 ) -> DataFrame:
-    """``docs`` with ``text``, and ``n_chars`` where there is one, as they are without such lines."""
-    rows = with_clean_text(docs, min_sites, min_words, max_share, spare_copies)
+    """``docs`` with ``text``, and ``n_chars`` where there is one, as they are without such lines.
+
+    Where ``docs`` hold near copies of a text, the lines that these share are not boilerplate. With one
+    document of each class of near copies as ``evidence``, they stay."""
+    rows = with_clean_text(docs, min_sites, min_words, max_share, evidence)
     changed = F.col("n_removed") > 0
     row = F.col("row").withField("text", F.when(changed, F.col("clean")).otherwise(F.col("row.text")))
     if "n_chars" in docs.columns:

@@ -31,12 +31,14 @@ def quality() -> str:
     """Windows by the words themselves, rules from the threshold table."""
     tests = []
     for rule in quality_rules.RULES:
-        tests += [f"{rule.measure} >= {rule.low}"] if rule.low is not None else []
-        tests += [f"{rule.measure} <= {rule.high}"] if rule.high is not None else []
+        unless = f" OR NOT {rule.only}" if rule.only else ""
+        tests += [f"({rule.measure} >= {rule.low}{unless})"] if rule.low is not None else []
+        tests += [f"({rule.measure} <= {rule.high}{unless})"] if rule.high is not None else []
+    langs = ", ".join(_quoted(x) for x in quality_rules.STOP_LANGS)
     stop = ", ".join(_quoted(w) for w in quality_rules.STOP_WORDS)
     return f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
-p AS (SELECT r, doc_id, text, [x FOR x IN regexp_split_to_array(text, '{SPACE}+') IF x <> ''] AS words,
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM documents),
+p AS (SELECT r, doc_id, lang, text, [x FOR x IN regexp_split_to_array(text, '{SPACE}+') IF x <> ''] AS words,
              [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '{NO_SPACE}')] AS lines FROM d),
 w AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM p),
 t AS (SELECT r, i, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS three FROM w WINDOW o AS (PARTITION BY r ORDER BY i)),
@@ -47,7 +49,9 @@ m AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to
              CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
              CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines,
              coalesce(n_repeat_words, 0) AS n_repeat_words, len(regexp_extract_all(text, '!!')) AS n_shouts,
-             len([x FOR x IN words IF lower(x) IN ({stop})]) AS n_stop_words
+             len([x FOR x IN words IF lower(x) IN ({stop})]) AS n_stop_words,
+             coalesce(lower(regexp_extract(lang, '^\\s*([A-Za-z]+)', 1)) IN ({langs})
+                      AND 2 * len(regexp_extract_all(text, '\\p{{Latin}}')) >= len(regexp_extract_all(text, '\\p{{L}}')), false) AS in_stop_lang
       FROM p LEFT JOIN c ON c.r = p.r),
 s AS (SELECT *, {_share("word_chars", "n_words")} AS mean_word_length, {_share("n_symbols", "n_words")} AS symbol_ratio,
              {_share("n_stop_words", "n_words")} AS stop_word_ratio, {_share("n_dup_lines", "n_lines")} AS dup_line_ratio,
