@@ -21,6 +21,10 @@ from qalam.llm.tables import read_table, stage
 from qalam.llm.toxicity import without_toxic
 from qalam.session import ship_package
 
+#: Documents that are so similar count as one site of the lines they share: near copies, and copies that
+#: differ in a line or two of twenty, which near dedup may leave apart.
+COPY_SIMILARITY = 0.7
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -36,8 +40,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many sites share. Whole copies stay for near dedup."""
-    return without_boilerplate(docs, spare_copies=True)
+    """All documents, without the lines that many sites share. Copies of a text count as one site, so that
+    what they have in common stays, in one of them at least."""
+    ship_package(spark)
+    return without_boilerplate(docs, evidence=one_of_each_class(docs, COPY_SIMILARITY))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +55,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sequences of all documents."""
     ship_package(spark)
-    return pack(docs, public_tokenizers.path(WORD_TOKENIZER), end_id=2).drop("ids")
+    return pack(docs, public_tokenizers.path(WORD_TOKENIZER), end_id=2)
 
 
 STAGES: list[tuple[str, Stage]] = [
