@@ -134,6 +134,11 @@ class BPEEncoder:
         self.cache[word] = ids
         return ids
 
+    def piece_ids(self, piece: str) -> list[int]:
+        """Ids of a special token or of one pre-tokenised word, in plain text."""
+        special = self.special.get(piece)
+        return [special] if special is not None else self.word_ids(_symbols(piece))
+
     def encode(self, text: str, max_length: int | None = None) -> list[int]:
         """Token ids of ``text``, truncated to ``max_length``. Ids of a prefix never depend on
         later words, so encoding stops once the limit is reached."""

@@ -1,23 +1,32 @@
 """Encoding with a trained byte-level BPE model: token ids, decode, vocabulary lookup and audits.
 
-Encoding runs in Arrow batches; the model (merges bounded by ``vocab_size``) is shipped as a
-broadcast variable and each Python worker keeps one encoder with a word cache.
+Built-in functions cut texts into pieces (special tokens, words with the space before them). An Arrow
+task segments each distinct piece of a batch once, remembers it, and gathers the ids of all rows with
+numpy; no Python code runs per row. The model (merges bounded by ``vocab_size``) is a broadcast variable.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
-from qalam.functions.bytelevel import SPECIAL_TOKENS, TAG_AR_ID, TAG_EN_ID, UNK_ID
-from qalam.operators.bpe import BPEModel
+from qalam.functions.bytelevel import SPECIAL_TOKENS, TAG_AR_ID, TAG_EN_ID, UNK_ID, char_to_byte
+from qalam.operators.bpe import JAVA_PATTERN, BPEModel
 
 _ENCODERS: dict = {}
 
 IDS = Ty.ArrayType(Ty.IntegerType())
 MODEL_COLUMNS = ["input_ids", "attention_mask", "labels"]
 
+#: Any special token; they are matched literally wherever they stand, and none overlaps another.
+_SPECIAL = "|".join(re.escape(t) for t in SPECIAL_TOKENS)
+
 
 def _broadcast(df: DataFrame, model: BPEModel):
     from qalam.session import ship_package
@@ -41,6 +50,38 @@ def _encoder(bc):
     return enc
 
 
+def pieces(text: Column, limit: int | None = None) -> Column:
+    """The special tokens and words of a text in order (null: none), the first ``limit`` of them. A piece
+    has one id at least, so no more are needed for ``limit`` ids."""
+    words = F.lit(JAVA_PATTERN)
+    around = F.split(F.coalesce(text.cast("string"), F.lit("")), f"(?={_SPECIAL})|(?<={_SPECIAL})")
+    cut = F.transform(around, lambda x: F.when(x.isin(*SPECIAL_TOKENS), F.array(x)).otherwise(F.regexp_extract_all(x, words, F.lit(0))))
+    return F.flatten(cut) if limit is None else F.slice(F.flatten(cut), 1, limit)
+
+
+def _ids(enc, lists: pa.ListArray, limit: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows one after the other, and the bounds of each row, cut to ``limit``."""
+    lists = lists.cast(pa.large_list(pa.large_string()))
+    parts = lists.flatten().dictionary_encode()
+    known = [enc.piece_ids(x) for x in parts.dictionary.to_pylist()]
+    lengths = np.fromiter(map(len, known), np.int64, len(known))
+    flat = np.fromiter((i for ids in known for i in ids), np.int32, int(lengths.sum()))
+    at = parts.indices.to_numpy(zero_copy_only=False)
+    offsets = lists.offsets.to_numpy()
+    before = np.concatenate(([0], np.cumsum(lengths[at])))[offsets - offsets[0]]
+    out = flat[_ranges((np.cumsum(lengths) - lengths)[at], lengths[at])]
+    if limit is None:
+        return out, before
+    sizes = np.minimum(np.diff(before), limit)
+    return out[_ranges(before[:-1], sizes)], np.concatenate(([0], np.cumsum(sizes)))
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ...`` of every range, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
 def encode_pairs(
     df: DataFrame,
     model: BPEModel,
@@ -53,22 +94,18 @@ def encode_pairs(
     truncated to ``max_len``, no padding, no BOS/EOS."""
     bc = _broadcast(df, model)
     keep = [c for c in (keep if keep is not None else df.columns) if c not in MODEL_COLUMNS]
-    fields = [f for f in df.schema.fields if f.name in keep]
-    schema = Ty.StructType(fields + [Ty.StructField(c, IDS) for c in MODEL_COLUMNS])
-    cols = list(dict.fromkeys(keep + [src_col, tgt_col]))
+    schema = Ty.StructType([df.schema[c] for c in keep] + [Ty.StructField(c, IDS) for c in MODEL_COLUMNS])
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(bc)
-        for pdf in batches:
-            ids = [enc.encode(str(t) if t is not None else "", max_len) for t in pdf[src_col]]
-            labels = [enc.encode(str(t) if t is not None else "", max_len) for t in pdf[tgt_col]]
-            out = pdf[keep].copy()
-            out["input_ids"] = ids
-            out["attention_mask"] = [[1] * len(i) for i in ids]
-            out["labels"] = labels
-            yield out
+        for batch in batches:
+            (ids, ends), (labels, label_ends) = (_ids(enc, batch.column(c), max_len) for c in ("_src", "_tgt"))
+            lists = [(ends, ids), (ends, np.ones(len(ids), np.int32)), (label_ends, labels)]
+            out = [pa.ListArray.from_arrays(pa.array(e.astype(np.int32)), pa.array(x)) for e, x in lists]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *out], [*keep, *MODEL_COLUMNS])
 
-    return df.select(*cols).mapInPandas(run, schema)
+    cut = [pieces(F.col(c), max_len).alias(a) for c, a in ((src_col, "_src"), (tgt_col, "_tgt"))]
+    return df.select(*keep, *cut).mapInArrow(run, schema)
 
 
 def model_columns(df: DataFrame) -> DataFrame:
@@ -79,47 +116,58 @@ def token_lengths(df: DataFrame, model: BPEModel, cols: list[str]) -> DataFrame:
     """Untruncated token count and unknown-token count per text column (``<col>_len``,
     ``<col>_unk``)."""
     bc = _broadcast(df, model)
-    keep = [c for c in df.columns]
-    schema = Ty.StructType(
-        list(df.schema.fields)
-        + [Ty.StructField(f"{c}_len", Ty.LongType()) for c in cols]
-        + [Ty.StructField(f"{c}_unk", Ty.LongType()) for c in cols]
-    )
+    new = [f"{c}_{what}" for c in cols for what in ("len", "unk")]
+    schema = Ty.StructType(list(df.schema.fields) + [Ty.StructField(c, Ty.LongType()) for c in new])
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(bc)
-        for pdf in batches:
-            out = pdf[keep].copy()
-            for c in cols:
-                ids = [enc.encode(str(t) if t is not None else "") for t in pdf[c]]
-                out[f"{c}_len"] = [len(i) for i in ids]
-                out[f"{c}_unk"] = [sum(1 for x in i if x == UNK_ID) for i in ids]
-            yield out
+        for batch in batches:
+            out = []
+            for i in range(len(cols)):
+                ids, ends = _ids(enc, batch.column(f"_pieces{i}"))
+                unknown = np.concatenate(([0], np.cumsum(ids == UNK_ID)))[ends]
+                out += [pa.array(np.diff(ends).astype(np.int64)), pa.array(np.diff(unknown).astype(np.int64))]
+            kept = [batch.column(f.name) for f in df_fields]
+            yield pa.RecordBatch.from_arrays([*kept, *out], [*(f.name for f in df_fields), *new])
 
-    return df.mapInPandas(run, schema)
+    df_fields = list(df.schema.fields)
+    return df.select("*", *(pieces(F.col(c)).alias(f"_pieces{i}") for i, c in enumerate(cols))).mapInArrow(run, schema)
 
 
 def decode_ids(df: DataFrame, model: BPEModel, cols: list[str], skip_special: bool = False) -> DataFrame:
-    """ids -> text for each column in ``cols`` (adds ``decoded_<col>``)."""
+    """ids -> text for each column in ``cols`` (adds ``decoded_<col>``). Negative ids (label padding) and,
+    with ``skip_special``, special tokens are left out."""
     bc = _broadcast(df, model)
+    names = df.columns
     schema = Ty.StructType(list(df.schema.fields) + [Ty.StructField(f"decoded_{c}", Ty.StringType()) for c in cols])
-    specials = set(range(len(SPECIAL_TOKENS)))
-
-    def run(batches):
-        from qalam.functions.bytelevel import decode_symbols
-
-        tokens = bc.value[1]
-        for pdf in batches:
-            out = pdf.copy()
-            for c in cols:
-                dec = []
-                for ids in pdf[c]:
-                    seq = [int(i) for i in ids if not (skip_special and int(i) in specials) and int(i) >= 0]
-                    dec.append(decode_symbols([tokens[i] for i in seq]))
-                out[f"decoded_{c}"] = dec
-            yield out
-
-    return df.mapInPandas(run, schema)
+    first = len(SPECIAL_TOKENS) if skip_special else 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode = _decoder(bc.value[1], first)
+        for batch in batches:
+            out = [decode(batch.column(c)) for c in cols]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out], [*names, *schema.names[len(names) :]])
+
+    return df.mapInArrow(run, schema)
+
+
+def _decoder(tokens: list[str], first: int) -> Callable[[pa.ListArray], pa.Array]:
+    """Rows of ids as texts: the bytes of all tokens are gathered at once, then cut by row."""
+    to_byte = char_to_byte()
+    raw = [bytes(to_byte[c] for c in t) if all(c in to_byte for c in t) else t.encode() for t in tokens]
+    lengths = np.array([len(b) for b in raw], np.int64)
+    flat, starts = np.frombuffer(b"".join(raw), np.uint8), np.cumsum(lengths) - lengths
+
+    def decode(lists: pa.ListArray) -> pa.Array:
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64)
+        sizes = np.where(ids >= first, lengths[np.maximum(ids, 0)], 0)
+        data = flat[_ranges(starts[np.maximum(ids, 0)], sizes)].tobytes()
+        ends = np.concatenate(([0], np.cumsum(sizes)))[offsets - offsets[0]].tolist()
+        texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:], strict=False)]
+        return pa.array([t if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist(), strict=True)], pa.string())
+
+    return decode
 
 
 def vocab_lookup(tokens: DataFrame, model: BPEModel, token_col: str = "token", strict: bool = True) -> DataFrame:

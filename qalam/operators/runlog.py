@@ -118,12 +118,9 @@ def best_points(
     ).select("run_id", "step", "m.*")
     long = long.where(is_finite("value"))
     score = F.when(F.col("is_min"), F.col("value")).otherwise(-F.col("value"))
-    # two hash aggregates: the best score, then the first step that has it
-    long = long.withColumn("score", score)
-    best = long.groupBy(F.col("run_id").alias("_run"), F.col("metric").alias("_metric")).agg(F.min("score").alias("_best"))
-    at_best = F.col("run_id").eqNullSafe(F.col("_run")) & (F.col("metric") == F.col("_metric")) & (F.col("score") == F.col("_best"))
-    hits = long.join(best, at_best)
-    return hits.groupBy("run_id", "metric").agg(F.min("step").alias("step"), F.min("value").alias("value"))
+    # one hash aggregate over numbers: the first step of every score, then the best of these
+    first = long.groupBy("run_id", "metric", score.alias("score")).agg(F.min("step").alias("step"), F.min("value").alias("value"))
+    return first.groupBy("run_id", "metric").agg(F.min_by("step", "score").alias("step"), F.min_by("value", "score").alias("value"))
 
 
 BUCKET_ROWS = 1 << 20

@@ -3,8 +3,8 @@
 ``df.sample(fraction)`` is Bernoulli and returns an approximate count; the reference takes exactly
 ``min(n, rows)`` rows. Here a row's draw key is ``md5(seed|row_id)`` and the sample is the ``n``
 smallest keys. A histogram of the keys' first digits (at most 65,536 rows, combined map-side) tells
-in which bin the n-th key lies: all rows below that bin are in the sample, and only the bin itself,
-a 65,536th of the rows, is ordered. The same plan serves every ``n``; no task gathers the sample.
+in which bin the n-th key lies; only that bin, a 65,536th of the rows, is ordered to find the key. The
+sample is a filter by it. The same plan serves every ``n``; no task gathers the sample.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qalam.functions import text as T
+from qalam.session import checkpoint_dir
 
 
 def draw_key(seed: int, order_col: str = "row_id") -> Column:
@@ -24,17 +25,25 @@ BIN_DIGITS = 4
 
 
 def sample_exact(df: DataFrame, n: int, seed: int = 42, order_col: str = "row_id") -> DataFrame:
-    """Exactly min(n, rows) rows, without replacement, reproducible for a seed."""
+    """Exactly min(n, rows) rows, without replacement, reproducible for a seed.
+
+    The rows' ids are checkpointed once; the histogram and the n-th key are taken from them, and ``df``
+    itself is read once more, by a filter."""
     n = int(n)
-    key = draw_key(seed, order_col)
-    bin_ = F.substring(key, 1, BIN_DIGITS)
-    bins = df.groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    if n <= 0:
+        return df.limit(0)
+    checkpoint_dir(df.sparkSession)
+    ids = df.select(F.col(order_col).alias("id"), draw_key(seed, order_col).alias("key")).checkpoint(eager=True)
+    bin_ = F.substring("key", 1, BIN_DIGITS)
+    bins = ids.groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     upto = bins.select("bin", "n", F.sum("n").over(Window.orderBy("bin")).alias("upto"))
     edge = upto.where(F.col("upto") >= n).orderBy("bin").first()
     if edge is None:
         return df
-    rest = df.where(bin_ == edge.bin).orderBy(key, F.col(order_col)).limit(n - (edge.upto - edge.n))
-    return df.where(bin_ < edge.bin).unionByName(rest)
+    inside = ids.where(bin_ == edge.bin).orderBy("key", "id").limit(n - (edge.upto - edge.n))
+    last = inside.agg(F.max(F.struct("key", "id")).alias("last")).first()["last"]
+    key, kind = draw_key(seed, order_col), df.schema[order_col].dataType
+    return df.where((key < last["key"]) | ((key == last["key"]) & (F.col(order_col) <= F.lit(last["id"]).cast(kind))))
 
 
 def shuffle_take(df: DataFrame, k: int, seed: int = 42, order_col: str = "row_id") -> DataFrame:

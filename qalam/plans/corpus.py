@@ -279,7 +279,7 @@ def q_head_rows(spark, d):
 
 
 def q_sample_exact(spark, d):
-    return S.sample_exact(cleaned(spark, d), 10, seed=SEED)
+    return S.sample_exact(cleaned_stage(spark, d), 10, seed=SEED)
 
 
 def q_shuffle_take(spark, d):

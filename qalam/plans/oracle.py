@@ -455,10 +455,10 @@ SELECT CAST(run_id AS BIGINT) AS run_id, CAST(interval_end AS BIGINT) AS interva
         + ",\n"
         + _batched("train")
         + f""",
-tk AS (SELECT CAST(floor(batch_id / 8) AS BIGINT) + 1 AS optimizer_step, batch_id,
+tk AS (SELECT CAST(floor(batch_id / 32) AS BIGINT) + 1 AS optimizer_step, batch_id,
               {words('source_text')} AS src, {words('target_text')} AS tgt FROM bt),
 st AS (SELECT optimizer_step, CAST(sum(src) AS BIGINT) AS src_tokens, CAST(sum(tgt) AS BIGINT) AS tgt_tokens
-       FROM tk GROUP BY optimizer_step HAVING count(DISTINCT batch_id) = 8 AND optimizer_step <= 200)"""
+       FROM tk GROUP BY optimizer_step HAVING count(DISTINCT batch_id) = 32 AND optimizer_step <= 200)"""
     )
     q["tokens_per_step"] = with_(tps_cte, "SELECT optimizer_step, src_tokens, tgt_tokens, src_tokens + tgt_tokens AS total_tokens FROM st")
     q["tokens_per_step_summary"] = with_(

@@ -104,7 +104,7 @@ def q_tokens_per_step(spark, d):
     b = _batched(spark, d).where(F.col("split") == "train").select(
         "batch_id", T.word_count("source_text").alias("src_tokens"), T.word_count("target_text").alias("tgt_tokens")
     )
-    return B.tokens_per_step(b, grad_accum=8, max_steps=200)
+    return B.tokens_per_step(b, grad_accum=L.GRAD_ACCUM, max_steps=200)
 
 
 def q_tokens_per_step_summary(spark, d):

@@ -13,13 +13,13 @@ from qalam.operators import batch as B
 from qalam.operators import bpe as BPE
 from qalam.operators import encode as EN
 from qalam.operators import sample as S
+from qalam.operators.runlog import GRAD_ACCUM
 from qalam.plans.corpus import SEED, bidir
 
-# vocabulary size used by the registered queries (the reference trains 32,000; the library
-# default stays 32,000 -- see README for round counts)
-QUERY_VOCAB = 400
+VOCAB = 32_000
 MAX_LEN = 128
-_MODELS: dict[tuple[str, int], BPE.BPEModel] = {}
+#: Models of this Spark application, as the queries on one model would each train it again.
+_MODELS: dict[tuple[str, str, int], BPE.BPEModel] = {}
 
 
 def train_words(spark, d):
@@ -27,8 +27,8 @@ def train_words(spark, d):
     return BPE.pretoken_counts(tr, ["source_text", "target_text"])
 
 
-def model(spark, d, vocab_size: int = QUERY_VOCAB) -> BPE.BPEModel:
-    key = (d, vocab_size)
+def model(spark, d, vocab_size: int = VOCAB) -> BPE.BPEModel:
+    key = (spark.sparkContext.applicationId, d, vocab_size)
     if key not in _MODELS:
         _MODELS[key] = BPE.train_bpe(train_words(spark, d), vocab_size=vocab_size)
     return _MODELS[key]
@@ -97,7 +97,7 @@ def q_tokens_per_step_ids(spark, d):
     """Token volume per optimizer step of the training loader (train split batches)."""
     padded = B.pad_batches(batched(spark, d, "train"))
     per_row = padded.select("batch_id", *[v.alias(k) for k, v in B.token_counts().items()])
-    return B.tokens_per_step(per_row, grad_accum=8, max_steps=200)
+    return B.tokens_per_step(per_row, grad_accum=GRAD_ACCUM, max_steps=200)
 
 
 QUERIES = {
