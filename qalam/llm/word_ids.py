@@ -9,16 +9,19 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import json
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Parts that a Python worker remembers between batches; beyond them it starts anew.
+#: Parts that a Python worker remembers between batches; beyond them it forgets the older half.
 MAX_CACHED_WORDS = 200_000
 
 #: Bytes of text that are worked on at a time.
@@ -57,19 +60,62 @@ def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return flat[np.arange(total, dtype=np.int64) + np.repeat(starts - ends + lengths, lengths)]
 
 
+#: Parts of letters alone, none of which composes with another or has more than one lower-case letter.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def lowers_whole_words(path: str) -> bool:
+    """True for a file that does nothing to a word of ``LETTERS`` before its merges but to lower-case it
+    and to write its bytes as symbols: its model can then be asked directly."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    normal, split = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
+    kinds = [x["type"] for x in normal.get("normalizers", [])], [x["type"] for x in split.get("pretokenizers", [])]
+    if kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
+        return False
+    replaced, (cut, level) = normal["normalizers"][1], split["pretokenizers"]
+    return (
+        replaced["pattern"] == {"Regex": r"\s+"}
+        and cut["pattern"] == {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+        and (cut["behavior"], cut["invert"]) == ("Removed", True)
+        and (level["add_prefix_space"], level["use_regex"]) == (False, False)
+        and not any(LETTERS.fullmatch(t["content"]) for t in spec["added_tokens"])
+    )
+
+
+def byte_symbols() -> dict[int, str]:
+    """The symbol of every byte: itself if it is printable, else the next character from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class WordEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model if lowers_whole_words(path) else None
+        self.symbols = byte_symbols()
         self.known: dict[str, bytes] = {}
 
+    def _word(self, word: str) -> bytes:
+        lower = word.lower()
+        symbols = lower if lower.isascii() else lower.encode().decode("latin-1").translate(self.symbols)
+        return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
     def _ids(self, words: list[str]) -> list[bytes]:
         if len(self.known) > MAX_CACHED_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+        rest = []
+        for word in words:
+            if word not in self.known:
+                if self.model is not None and LETTERS.fullmatch(word):
+                    self.known[word] = self._word(word)
+                else:
+                    rest.append(word)
+        for word, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.known[word] = array("I", got.ids).tobytes()
         return [self.known[w] for w in words]
 
