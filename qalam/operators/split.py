@@ -1,8 +1,9 @@
 """Deterministic leakage-free split, split/direction counts and bidirectional expansion.
 
-The split is a pure function of the pair text (an md5 prefix compared with fixed hex cuts), so
-it needs no shuffle, is stable under any repartitioning, and identical pairs can never land in
-two splits. Fixed-width lower-case hex compares like the number it encodes.
+The split is a pure function of the pair text, so it needs no shuffle, is stable under any
+repartitioning, and identical pairs can never land in two splits. ``hash_split`` compares an md5 prefix
+with fixed hex cuts (fixed-width lower-case hex compares like the number it encodes); ``row_hash_split``
+takes the hash that pandas gives a row, so that a corpus is split as an eager pandas job would split it.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qalam.functions import text as T
+from qalam.functions.pairhash import pair_hash, unit_interval
 
 SPLITS = ("train", "val", "test")
 
@@ -32,8 +34,7 @@ def hash_split(
     df: DataFrame, train_ratio: float = 0.90, val_ratio: float = 0.05, test_ratio: float = 0.05
 ) -> DataFrame:
     """Add ``split`` in {train, val, test} from a 32-bit hash of (en, ar)."""
-    if not math.isclose(train_ratio + val_ratio + test_ratio, 1.0, abs_tol=1e-9):
-        raise ValueError(f"train, val and test shares add up to {train_ratio + val_ratio + test_ratio}, not to 1")
+    _check_shares(train_ratio, val_ratio, test_ratio)
     h = split_hash()
     train_cut, val_cut = hex_cut(train_ratio), hex_cut(train_ratio + val_ratio)
     is_train = F.lit(True) if train_cut is None else (h < F.lit(train_cut))
@@ -43,6 +44,22 @@ def hash_split(
     )
 
 
+def _check_shares(*shares: float) -> None:
+    if not math.isclose(sum(shares), 1.0, abs_tol=1e-9):
+        raise ValueError(f"train, val and test shares add up to {sum(shares)}, not to 1")
+
+
+def row_hash_split(
+    df: DataFrame, train_ratio: float = 0.90, val_ratio: float = 0.05, test_ratio: float = 0.05
+) -> DataFrame:
+    """Add ``split`` by the 64-bit hash of (en, ar) that pandas computes, as a share of 2**64."""
+    _check_shares(train_ratio, val_ratio, test_ratio)
+    placed = df.withColumn("_at", unit_interval(pair_hash("en", "ar")))
+    at = F.col("_at")
+    split = F.when(at < train_ratio, F.lit("train")).when(at < train_ratio + val_ratio, F.lit("val")).otherwise(F.lit("test"))
+    return placed.withColumn("split", split).drop("_at")
+
+
 def leakage_check(df: DataFrame) -> DataFrame:
     """Pairs that occur in more than one split (must be 0): one row ``leak_count``."""
     per_pair = df.groupBy("en", "ar").agg((F.min("split") != F.max("split")).alias("leaks"))

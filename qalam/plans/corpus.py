@@ -231,6 +231,12 @@ def q_format_ratio(spark, d):
 # ---------------------------------------------------------------- split / expand / sample
 
 
+def q_row_hash_split(spark, d):
+    """The split of the cleaned pairs by the row hash of pandas."""
+    pairs = C.drop_blank_pairs(cleaned_stage(spark, d))
+    return SP.row_hash_split(pairs).select("row_id", "en", "ar", "split")
+
+
 def q_hash_split(spark, d):
     return prepared(spark, d).select("row_id", "en", "ar", "split")
 
@@ -330,6 +336,7 @@ QUERIES = {
     "top_sentences": q_top_sentences,
     "format_ratio": q_format_ratio,
     "hash_split": q_hash_split,
+    "row_hash_split": q_row_hash_split,
     "split_counts": q_split_counts,
     "direction_split_counts": q_direction_split_counts,
     "leakage_check": q_leakage_check,
