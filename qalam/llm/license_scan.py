@@ -28,6 +28,10 @@ BASE_PHRASES = (
 
 STATEMENT, NAME, REMARK = 1, 2, 3
 
+#: A place that is left after suppression, and how many of them are gathered at a time.
+_LEFT = "struct<s: int, e: int, priority: int, label: string>"
+CHUNK = 512
+
 #: How sure a place of each priority makes us.
 CONFIDENCE = {STATEMENT: 1.0, NAME: 0.7, REMARK: 0.4}
 
@@ -188,20 +192,29 @@ GATE = ("licen", "cc by", "cc0", "commons", "rights reserved", "copyright", "pub
         "gpl", "bsd", "beer", "rail", "wtfpl", "no attribution")
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def words_of(text: Column) -> Column:
-    """The words of a text in order, lower-cased, with one space before, between and after them."""
-    return F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.lower(text), NO_WORD, " ")), F.lit(" "))
+    """The words of a text in order, A-Z lower-cased, with one space before, between and after them."""
+    lower = F.translate(text, UPPER, UPPER.lower())
+    return F.concat(F.lit(" "), F.btrim(F.regexp_replace(lower, NO_WORD, " ")), F.lit(" "))
+
+
+_PLACES = "array<struct<s: int, e: int>>"
 
 
 def _places(words: str, pattern: str) -> str:
-    """SQL array of the (start, end) of a regex's matches in ``words``, in characters."""
-    found, rest = f"regexp_extract_all({words}, {pattern}, 0)", f"split({words}, {pattern}, -1)"
-    return (
-        f"aggregate(zip_with({rest}, {found}, (gap, hit) -> struct(length(gap) AS gap, length(hit) AS hit)), "
-        "struct(0 AS pos, CAST(array() AS array<struct<s: int, e: int>>) AS at), "
-        "(a, x) -> IF(x.hit IS NULL, a, struct(a.pos + x.gap + x.hit AS pos, "
-        "concat(a.at, array(struct(a.pos + x.gap AS s, a.pos + x.gap + x.hit AS e))) AS at)), a -> a.at)"
-    )
+    """SQL array of the (first word, word after the last) of a regex's matches in ``words``.
+
+    Matches are marked by characters that no word has, then the words are counted once: linear in the
+    text, and a text without a match isn't split at all."""
+    words_with_marks = "transform(split(btrim(t), ' ', -1), (w, i) -> struct(i AS i, startswith(w, '\\u0001') AS a, endswith(w, '\\u0002') AS z))"
+    starts, ends = (f"transform(filter(m, x -> x.{side}), x -> x.i)" for side in "az")
+    # an expression is bound by transform over an array of it, or it would be computed for each use
+    pairs = f"transform(array(filter({words_with_marks}, x -> x.a OR x.z)), m -> zip_with({starts}, {ends}, (s, e) -> struct(s AS s, e + 1 AS e)))[0]"
+    marked = f"regexp_replace({words}, {pattern}, '\\u0001$1\\u0002')"
+    return f"transform(array({marked}), t -> IF(contains(t, '\\u0001'), {pairs}, CAST(array() AS {_PLACES})))[0]"
 
 
 def _literal(value: str) -> str:
@@ -210,7 +223,7 @@ def _literal(value: str) -> str:
 
 def _bounded(pattern: str) -> str:
     """Whole words only; the spaces around a match are not part of it, so neighbours can share one."""
-    return rf"(?<= )(?:{pattern})(?= )"
+    return rf"(?<= )({pattern})(?= )"
 
 
 def _rule_array(rules: Sequence[Rule]) -> str:
@@ -260,25 +273,24 @@ def license_scan(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFr
             )
         ),
     )
-    # walk: the furthest end so far for each priority; a place that ends before one is inside it
+    inside = "CASE h.priority WHEN 1 THEN a.e1 WHEN 2 THEN a.e2 ELSE a.e3 END >= -h.minus_e"
+    place = "struct(h.s AS s, -h.minus_e AS e, h.priority AS priority, h.label AS label)"
+    # walk: the furthest end so far for each priority; a place that ends before one is inside it. What is
+    # left is gathered in chunks, as each addition copies the array it is added to
     walked = found.withColumn(
         "left",
         F.expr(
-            "aggregate(hits, struct(0 AS e1, 0 AS e2, 0 AS e3, CAST(array() AS array<struct<s: int, e: int, priority: int, label: string>>) AS at), "
+            f"aggregate(hits, struct(0 AS e1, 0 AS e2, 0 AS e3, CAST(array() AS array<{_LEFT}>) AS at, CAST(array() AS array<array<{_LEFT}>>) AS done), "
             "(a, h) -> struct("
             "IF(h.priority = 1, greatest(a.e1, -h.minus_e), a.e1) AS e1, "
             "IF(h.priority <= 2, greatest(a.e2, -h.minus_e), a.e2) AS e2, "
             "greatest(a.e3, -h.minus_e) AS e3, "
-            "IF(CASE h.priority WHEN 1 THEN a.e1 WHEN 2 THEN a.e2 ELSE a.e3 END >= -h.minus_e, a.at, "
-            "concat(a.at, array(struct(h.s AS s, -h.minus_e AS e, h.priority AS priority, h.label AS label)))) AS at), "
-            "a -> a.at)"
+            f"IF({inside}, a.at, IF(size(a.at) >= {CHUNK}, array({place}), concat(a.at, array({place})))) AS at, "
+            f"IF({inside} OR size(a.at) < {CHUNK}, a.done, concat(a.done, array(a.at))) AS done), "
+            "a -> flatten(concat(a.done, array(a.at))))"
         ),
     )
 
-    def word_at(s: Column) -> Column:
-        before = F.substring(F.col("words"), F.lit(1), s)
-        return (F.length(before) - F.length(F.replace(before, F.lit(" "), F.lit(""))) - 1).cast("long")
-
     none = F.array().cast("array<string>")
     base_labels = F.coalesce(F.transform("base", lambda p: p.label), none)
     labels = F.coalesce(F.transform("left", lambda p: p.label), none)
@@ -290,8 +302,8 @@ def license_scan(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFr
         "doc_id",
         "n_words",
         F.coalesce(F.size("base"), F.lit(0)).cast("long").alias("n_base"),
-        F.when(F.size("base") > 0, word_at(F.col("base")[0].s)).alias("first_word"),
-        F.when(F.size("base") > 0, word_at(F.element_at("base", -1).s)).alias("last_word"),
+        F.when(F.size("base") > 0, F.col("base")[0].s.cast("long")).alias("first_word"),
+        F.when(F.size("base") > 0, F.element_at("base", -1).s.cast("long")).alias("last_word"),
         F.array_join(F.array_sort(F.array_distinct(base_labels)), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_distinct(F.concat(base_labels, labels))), ",").alias("labels"),
         score.alias("score"),
@@ -301,8 +313,8 @@ def license_scan(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFr
                 lambda p: F.struct(
                     p.label.alias("label"),
                     p.priority.alias("priority"),
-                    word_at(p.s).alias("first_word"),
-                    (F.size(F.split(F.substring(F.col("words"), p.s + 1, p.e - p.s), " "))).alias("n_words"),
+                    p.s.cast("long").alias("first_word"),
+                    (p.e - p.s).alias("n_words"),
                 ),
             ),
             F.array().cast("array<struct<label: string, priority: int, first_word: bigint, n_words: int>>"),

@@ -185,6 +185,17 @@ def test_license_suppression(spark):
     assert [d.label for d in row.detections] == ["wide", "long", "overlap"]
 
 
+def test_license_scan_of_a_long_text_of_licences(spark):
+    """Half a megabyte of nothing but licence remarks; every place is found and kept."""
+    n = 9000
+    docs = spark.createDataFrame([(1, "Licensed under the MIT License. All rights reserved cc by " * n)], "doc_id long, text string")
+    row = LS.license_scan(docs).first()
+    assert (row.n_words, row.n_base, row.first_word, row.last_word) == (10 * n, 2 * n, 5, 10 * n - 2)
+    statements = [d for d in row.detections if d.priority == LS.STATEMENT]
+    assert len(statements) == n and [d.first_word for d in statements] == [10 * i for i in range(n)]
+    assert {"mit", "reserved", "cc-by"} <= set(row.labels.split(",")) and row.score == 1.0
+
+
 def test_license_scan_awkward(awkward, empty):
     assert LS.license_scan(awkward).count() == awkward.count()
     assert LS.license_scan(empty).collect() == []
