@@ -1,9 +1,8 @@
 """Near-duplicate classes by consistent weighted sampling.
 
 1. ``frequent_shingles``: exact document counts of the five-word shingles that are in at least
-   ``MIN_SHARE`` of all documents. A shingle with that share overall has it in some partition too, so
-   partitions name candidates first (as hash cells), and those alone are counted. Other shingles
-   have the largest inverse document frequency.
+   ``MIN_SHARE`` of all documents. Shingles are first counted by hash cell, and those in cells that hold
+   enough of them then by themselves. Other shingles have the largest inverse document frequency.
 2. ``signatures``: improved consistent weighted sampling (Ioffe) of each text's shingles, weighted by
    term frequency times inverse document frequency; ``ROWS`` samples make a band. Equal texts are one
    from here on.
@@ -37,11 +36,13 @@ THRESHOLD = 0.8
 #: Bands and samples in each. At the threshold a pair shares a band with probability 0.9994.
 BANDS, ROWS = 14, 4
 
-#: Share of all documents from which on a shingle's weight falls.
-MIN_SHARE = 0.05
+#: Share of all documents from which on a shingle's weight falls. Rarer ones weigh the same: what tells two
+#: near copies apart is always rare, and the copies of a large group would drift apart by their own number.
+MIN_SHARE = 0.003
 
-#: Hash cells of the candidate search; a cell holds far less than ``MIN_SHARE`` of ordinary shingles.
-CELL_BITS = 18
+#: Hash cells of the candidate search, and cells whose counts travel together. A cell holds far less than
+#: ``MIN_SHARE`` of ordinary shingles.
+CELL_BITS, CHUNK_BITS = 22, 12
 
 #: Texts, and characters of them, of a block on either side of a comparison: whichever is less. What
 #: a task holds at a time follows from them, not from the length of the texts.
@@ -68,19 +69,34 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
-def _cells(min_share: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, rows = np.zeros(1 << CELL_BITS, dtype=np.int64), 0
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts' shingles are in each cell, a task's cells in chunks: places and counts."""
+    found = np.zeros(1 << CELL_BITS, dtype=np.int32)
+    for batch in batches:
+        for part in shingle_slices(batch):
+            _, keys, _ = shingles(part.column("text"))
+            cells, n = np.unique(keys >> np.uint64(KEY_BITS - CELL_BITS), return_counts=True)
+            found[cells.astype(np.int64)] += n.astype(np.int32)
+    some = np.flatnonzero(found)
+    bounds = np.searchsorted(some, np.arange(0, (1 << CELL_BITS) + 1, 1 << CHUNK_BITS))
+    chunks = np.flatnonzero(np.diff(bounds))
+    places = [(some[bounds[c] : bounds[c + 1]] & ((1 << CHUNK_BITS) - 1)).astype("<u2").tobytes() for c in chunks]
+    counts = [found[some[bounds[c] : bounds[c + 1]]].astype("<i4").tobytes() for c in chunks]
+    trim_memory()
+    yield pa.RecordBatch.from_arrays([pa.array(chunks), pa.array(places, pa.binary()), pa.array(counts, pa.binary())], ["chunk", "places", "counts"])
+
+
+def _full_cells(least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            rows += batch.num_rows
-            for part in shingle_slices(batch):
-                _, keys, _ = shingles(part.column("text"))
-                found += np.bincount((keys >> np.uint64(KEY_BITS - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS)
-        trim_memory()
-        cells = np.flatnonzero(found >= max(1.0, min_share * rows)) if rows else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(cells)], ["cell"])
+            for chunk, places, counts in zip(*(batch.column(c).to_pylist() for c in ("chunk", "places", "counts")), strict=True):
+                sums = total.setdefault(chunk, np.zeros(1 << CHUNK_BITS, np.int64))
+                sums[np.frombuffer(places, "<u2")] += np.frombuffer(counts, "<i4")
+        cells = [(chunk << CHUNK_BITS) + np.flatnonzero(sums >= least) for chunk, sums in total.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells) if cells else np.zeros(0, np.int64))], ["cell"])
 
-    return count
+    return full
 
 
 def _counts(cells: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -100,15 +116,16 @@ def _counts(cells: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
 def frequent_shingles(docs: DataFrame, min_share: float = MIN_SHARE) -> Frequencies:
     """Weights by the document counts of all of ``docs``.
 
-    At most ``2**CELL_BITS`` cells and (mean shingles per document / ``min_share``) shingles reach the
-    driver, whatever the number of documents."""
+    At most (mean shingles per document / ``min_share``) cells, and as many shingles, reach the driver,
+    whatever the number of documents."""
     texts = id_and_text(docs).select("text")
     total = texts.count()
-    cells = np.array([r.cell for r in texts.mapInArrow(_cells(min_share), "cell long").distinct().collect()], dtype=np.int64)
+    chunks = texts.mapInArrow(_cells, "chunk long, places binary, counts binary").repartition(shuffle_partitions(docs.sparkSession), "chunk")
+    cells = chunks.mapInArrow(_full_cells(max(1.0, min_share * total)), "cell long").toArrow().column("cell").to_numpy()
     counts = texts.mapInArrow(_counts(cells), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = counts.filter(F.col("n") >= F.lit(min_share * total)).orderBy("shingle").collect()
-    keys = np.array([r.shingle for r in rows], dtype=np.uint64)
-    share = np.array([r.n for r in rows], dtype=np.float64) / max(1, total)
+    rows = counts.filter(F.col("n") >= F.lit(min_share * total)).orderBy("shingle").toArrow()
+    keys = rows.column("shingle").to_numpy().astype(np.uint64)
+    share = rows.column("n").to_numpy() / max(1, total)
     return Frequencies(keys, 1 - np.log(np.maximum(share, min_share)), float(1 - np.log(min_share)))
 
 
