@@ -1,13 +1,19 @@
-"""Row-local n-gram statistics for corpus BLEU and chrF (run inside Arrow batches).
+"""n-gram statistics of rows for corpus BLEU and chrF, a whole Arrow batch at a time.
 
 Only per-row *statistics* are computed here; the corpus scores are sums of these statistics
 followed by a closed form evaluated as Spark expressions (never an average of row scores).
+
+An n-gram is a number: its units' numbers side by side, or its rank among all n-grams of the slice where
+those take too many bits. Row, n-gram and side (hypothesis or reference) make one 64-bit key; sorted keys
+bring equal n-grams of a row together, and the smaller of the two sides' counts is the clipped match. All
+of it is exact, and no Python code runs per row.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values (must equal the public "13a" tokenizer of the BLEU reference implementation)
@@ -22,11 +28,12 @@ from collections import Counter
 # BLEU: max order 4, "exp" smoothing. chrF: character order 6, word order 0, beta 2,
 # whitespace removed before extracting character n-grams.
 # ---------------------------------------------------------------------------------------------
+LITERALS_13A = [("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")]
 RE_13A = [
-    (re.compile(r"([\{-\~\[-\` -\&\(-\+\:-\@\/])"), r" \1 "),
-    (re.compile(r"([^0-9])([\.,])"), r"\1 \2 "),
-    (re.compile(r"([\.,])([^0-9])"), r" \1 \2"),
-    (re.compile(r"([0-9])(-)"), r"\1 \2 "),
+    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "),
+    (r"([^0-9])([\.,])", r"\1 \2 "),
+    (r"([\.,])([^0-9])", r" \1 \2"),
+    (r"([0-9])(-)", r"\1 \2 "),
 ]
 BLEU_ORDER = 4
 CHRF_ORDER = 6
@@ -37,54 +44,99 @@ CHRF_FIELDS = [f"{k}{n}" for n in range(1, 7) for k in ("ch", "cr", "cm")]
 STAT_FIELDS = BLEU_FIELDS + CHRF_FIELDS
 
 
-def tokenize_13a(line: str) -> list[str]:
-    line = line.replace("<skipped>", "").replace("-\n", "").replace("\n", " ")
-    if "&" in line:
-        line = line.replace("&quot;", '"').replace("&amp;", "&").replace("&lt;", "<").replace("&gt;", ">")
-    line = f" {line} "
-    for pat, repl in RE_13A:
-        line = pat.sub(repl, line)
-    return line.split()
-
-
-def _ngrams(tokens, n):
-    return Counter(tuple(tokens[i : i + n]) for i in range(len(tokens) - n + 1))
-
-
-def bleu_stats(hyp: str, ref: str) -> list[int]:
-    h, r = tokenize_13a(hyp), tokenize_13a(ref)
-    matches, totals = [], []
-    for n in range(1, BLEU_ORDER + 1):
-        hc, rc = _ngrams(h, n), _ngrams(r, n)
-        totals.append(max(len(h) - n + 1, 0))
-        matches.append(sum(min(c, rc[g]) for g, c in hc.items() if g in rc))
-    return [len(h), len(r), *matches, *totals]
-
-
-def _char_ngrams(s: str, n: int) -> Counter:
-    return Counter(s[i : i + n] for i in range(len(s) - n + 1))
+#: Rows that are worked on at a time.
+SLICE_ROWS = 1 << 13
+
+#: White space as Python's ``str.split`` has it.
+SPACES = np.array([c for c in range(0x3001) if chr(c).isspace()], np.uint32)
+
+
+def tokenize_13a(lines: pa.Array) -> pa.Array:
+    """Lines with one or more spaces around every token."""
+    for old, new in LITERALS_13A:
+        lines = pc.replace_substring(lines, old, new)
+    lines = pc.binary_join_element_wise(" ", lines, " ", "")
+    for pattern, new in RE_13A:
+        lines = pc.replace_substring_regex(lines, pattern, new)
+    return lines
+
+
+def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of all texts in a row, and the text of each."""
+    sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+    joined = "".join(texts.to_pylist())
+    return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32), np.repeat(np.arange(len(texts)), sizes)
+
+
+def characters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the characters but white space, and the text of each."""
+    points, text = code_points(texts)
+    solid = ~np.isin(points, SPACES)
+    return np.unique(points[solid], return_inverse=True)[1], text[solid]
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the tokens, and the text of each."""
+    parts = pc.utf8_split_whitespace(tokenize_13a(texts))
+    text = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
+    flat = parts.flatten()
+    some = pc.greater(pc.binary_length(flat), 0)
+    return flat.filter(some).dictionary_encode().indices.to_numpy(zero_copy_only=False), text[some.to_numpy(zero_copy_only=False)]
+
+
+def _bits(values: np.ndarray) -> int:
+    return int(values.max(initial=0)).bit_length()
+
+
+def clipped_counts(units: np.ndarray, text: np.ndarray, rows: int, orders: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order: n-grams of every row's hypothesis (texts ``0 .. rows - 1``), of its reference (the
+    texts after them), and matches."""
+    lengths = np.bincount(text, minlength=2 * rows)
+    units, row, side = units.astype(np.uint64), (text % rows).astype(np.uint64), (text >= rows).astype(np.uint64)
+    one, spare = _bits(units), 63 - max(1, rows - 1).bit_length()
+    grams, bits, out = units, one, []
+    for n in range(1, orders + 1):
+        if n > 1:
+            if bits + one > spare:
+                grams = np.unique(grams, return_inverse=True)[1].astype(np.uint64)
+                bits = _bits(grams)
+            grams = grams[:-1] << np.uint64(one) | units[n - 1 :]
+            bits += one
+        if bits > spare:  # so many different units in one slice
+            grams = np.unique(grams, return_inverse=True)[1].astype(np.uint64)
+            bits = _bits(grams)
+        inside = text[: len(grams)] == text[n - 1 :]
+        keys = np.sort((row[: len(grams)] << np.uint64(bits + 1) | grams << np.uint64(1) | side[: len(grams)])[inside])
+        totals = np.maximum(lengths - n + 1, 0)
+        out.append((totals[:rows], totals[rows:], _matches(keys, bits, rows)))
+    return out
 
 
-def chrf_stats(hyp: str, ref: str) -> list[int]:
-    h, r = "".join(hyp.split()), "".join(ref.split())
-    out = []
-    for n in range(1, CHRF_ORDER + 1):
-        hc, rc = _char_ngrams(h, n), _char_ngrams(r, n)
-        n_h, n_r = sum(hc.values()), sum(rc.values())
-        n_m = sum(min(c, rc[g]) for g, c in hc.items() if g in rc)
+def _matches(keys: np.ndarray, bits: int, rows: int) -> np.ndarray:
+    if not len(keys):
+        return np.zeros(rows, np.int64)
+    starts = np.flatnonzero(np.concatenate(([True], (keys[1:] >> np.uint64(1)) != (keys[:-1] >> np.uint64(1)))))
+    references = np.add.reduceat((keys & np.uint64(1)).astype(np.int64), starts)
+    both = np.minimum(references, np.diff(starts, append=len(keys)) - references)
+    return np.bincount((keys[starts] >> np.uint64(bits + 1)).astype(np.int64), both, rows).astype(np.int64)
+
+
+def row_stats(hyps: pa.Array, refs: pa.Array) -> dict[str, np.ndarray]:
+    """``STAT_FIELDS`` of every row; a null text is an empty one."""
+    n = len(hyps)
+    texts = pa.concat_arrays([pc.fill_null(x.cast(pa.string()), "") for x in (hyps, refs)])
+    words, word_text = tokens(texts)
+    bleu = clipped_counts(words, word_text, n, BLEU_ORDER)
+    out = {"hyp_len": bleu[0][0], "ref_len": bleu[0][1]}
+    out |= {f"m{k}": m for k, (_h, _r, m) in enumerate(bleu, 1)} | {f"t{k}": h for k, (h, _r, _m) in enumerate(bleu, 1)}
+    for k, (h, r, m) in enumerate(clipped_counts(*characters(texts), n, CHRF_ORDER), 1):
         # hypothesis n-grams of an order only count when the reference has that order
-        out.extend([n_h if n_r > 0 else 0, n_r, n_m])
+        out |= {f"ch{k}": np.where(r > 0, h, 0), f"cr{k}": r, f"cm{k}": m}
     return out
 
 
-def row_stats(hyp: str | None, ref: str | None) -> list[int]:
-    hyp, ref = hyp or "", ref or ""
-    return bleu_stats(hyp, ref) + chrf_stats(hyp, ref)
-
-
-def stats_frame(hyps, refs):
-    """pandas Series x2 -> DataFrame of STAT_FIELDS (int64)."""
-    import pandas as pd
-
-    rows = [row_stats(h, r) for h, r in zip(hyps, refs)]
-    return pd.DataFrame(rows, columns=STAT_FIELDS, dtype="int64") if rows else pd.DataFrame({f: pd.Series([], dtype="int64") for f in STAT_FIELDS})
+def stats_struct(hyps: pa.Array, refs: pa.Array) -> pa.StructArray:
+    """``STAT_FIELDS`` of every row of a batch, slice by slice."""
+    parts = [row_stats(hyps.slice(i, SLICE_ROWS), refs.slice(i, SLICE_ROWS)) for i in range(0, len(hyps), SLICE_ROWS)]
+    columns = [pa.array(np.concatenate([p[f] for p in parts]) if parts else [], pa.int64()) for f in STAT_FIELDS]
+    return pa.StructArray.from_arrays(columns, STAT_FIELDS)

@@ -8,25 +8,21 @@ evaluated as Spark expressions on the summed statistics.
 
 from __future__ import annotations
 
-
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from qalam.functions import text as T
-from qalam.functions.ngram import CHRF_BETA, CHRF_ORDER, STAT_FIELDS
+from qalam.functions.ngram import CHRF_BETA, CHRF_ORDER, STAT_FIELDS, stats_struct
 
 STATS_SCHEMA = Ty.StructType([Ty.StructField(f, Ty.LongType()) for f in STAT_FIELDS])
 
 
 def _stats_udf():
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf(STATS_SCHEMA)
-    def ngram_stats(hyp, ref):
-        from qalam.functions.ngram import stats_frame
-
-        return stats_frame(hyp, ref)
+    @F.arrow_udf(STATS_SCHEMA)
+    def ngram_stats(hyp: pa.Array, ref: pa.Array) -> pa.Array:
+        return stats_struct(hyp, ref)
 
     return ngram_stats
 

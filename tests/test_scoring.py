@@ -1,10 +1,14 @@
 """BLEU/chrF: hand-computed values and degenerate cases."""
 
 import math
+import random
+import re
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 
-from qalam.functions.ngram import chrf_stats, tokenize_13a
+from qalam.functions import ngram as N
 from qalam.operators import score as SC
 
 
@@ -32,15 +36,57 @@ def test_brevity_penalty(spark):
     assert r["bleu"] == pytest.approx(100 * math.exp(1 - 8 / 4))
 
 
+def split_13a(line):
+    line = line.replace("<skipped>", "").replace("-\n", "").replace("\n", " ")
+    line = line.replace("&quot;", '"').replace("&amp;", "&").replace("&lt;", "<").replace("&gt;", ">")
+    line = f" {line} "
+    for pattern, new in N.RE_13A:
+        line = re.sub(pattern, new, line)
+    return line.split()
+
+
+def stats_by_hand(hyp, ref):
+    """Counters of one row."""
+    def clipped(h, r, n):
+        h, r = (Counter(tuple(x[i : i + n]) for i in range(len(x) - n + 1)) for x in (h, r))
+        return h.total(), r.total(), (h & r).total()
+
+    h, r = split_13a(hyp), split_13a(ref)
+    out = {"hyp_len": len(h), "ref_len": len(r)}
+    for n in range(1, 5):
+        out[f"t{n}"], _, out[f"m{n}"] = clipped(h, r, n)
+    h, r = "".join(hyp.split()), "".join(ref.split())
+    for n in range(1, 7):
+        out[f"ch{n}"], out[f"cr{n}"], out[f"cm{n}"] = clipped(h, r, n)
+        out[f"ch{n}"] *= out[f"cr{n}"] > 0
+    return out
+
+
 def test_tokenizer_13a():
-    assert tokenize_13a("Hello, world. 3.5 cats-1") == ["Hello", ",", "world", ".", "3.5", "cats-1"]
-    assert tokenize_13a("a&amp;b") == ["a", "&", "b"]
+    texts = ["Hello, world. 3.5 cats-1", "a&amp;b"]
+    got = [[t for t in x.split() if t] for x in N.tokenize_13a(pa.array(texts)).to_pylist()]
+    assert got == [["Hello", ",", "world", ".", "3.5", "cats-1"], ["a", "&", "b"]] == [split_13a(t) for t in texts]
 
 
 def test_chrf_stats_reference_without_order():
     # reference too short for order 3+: hypothesis n-grams of those orders are not counted
-    st = chrf_stats("abcd", "ab")
-    assert st[6:9] == [0, 0, 0]
+    st = N.row_stats(pa.array(["abcd"]), pa.array(["ab"]))
+    assert [st[f"c{k}3"].tolist() for k in "hrm"] == [[0], [0], [0]]
+
+
+@pytest.mark.parametrize(("alphabet", "rows"), [("ab ", 300), ("ab c.,-1\n&;\t\x1f\x85\u00a0\u2003é", 400), ("wide", 40)])
+def test_row_statistics_against_counters(monkeypatch, alphabet, rows):
+    """Few letters repeat n-grams, many do not fit side by side into a number; slices join up."""
+    rng = random.Random(rows)
+    monkeypatch.setattr(N, "SLICE_ROWS", 64)
+    pool = [chr(c) for c in range(0x4E00, 0x9E00)] if alphabet == "wide" else [*alphabet, "&amp;", "<skipped>", "-\n", "3.5", "the ", "the cat "]
+    text = lambda: "".join(rng.choices(pool, k=rng.choice([0, 1, 2, 5, 30, 200])))
+    hyps = [text() for _ in range(rows)]
+    refs = [h[: rng.randrange(len(h) + 1)] + text() if rng.random() < 0.7 else text() for h in hyps]
+    hyps, refs = [*hyps, None, "a b", ""], [*refs, "a b", None, ""]
+    got = N.stats_struct(pa.array(hyps, pa.string()), pa.array(refs, pa.string())).to_pylist()
+    assert got == [{f: stats_by_hand(h or "", r or "")[f] for f in N.STAT_FIELDS} for h, r in zip(hyps, refs, strict=True)]
+    assert N.stats_struct(pa.array([], pa.string()), pa.array([], pa.string())).to_pylist() == []
 
 
 def test_chrf_value(spark):
