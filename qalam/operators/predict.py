@@ -6,12 +6,16 @@ The model itself is out of scope; a predictor is any picklable factory returning
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as Ty
 
+from qalam.operators.batch import assign_batches
+
 _PREDICTORS: dict[bytes, Callable[[list[str]], list[str]]] = {}
 
 
@@ -29,7 +33,7 @@ def map_batches(df: DataFrame, fn: Callable, schema: Ty.StructType | str) -> Dat
 
 
 def _predictor(factory) -> Callable[[list[str]], list[str]]:
-    key = pickle.dumps(factory)
+    key = cloudpickle.dumps(factory)
     p = _PREDICTORS.get(key)
     if p is None:
         p = factory()
@@ -43,26 +47,58 @@ def batch_predict(
     batch_size: int = 24,
     src_col: str = "source_text",
     out_col: str = "prediction",
+    order_col: str = "row_id",
 ) -> DataFrame:
-    """Run a predictor over fixed-size batches of ``src_col``; predictions are stripped.
+    """Run a predictor over the batches of ``batch_size`` rows in ``order_col`` order (ids must not repeat);
+    predictions are stripped.
+
+    The batches are those of the whole table, whatever its partitions and Arrow batches: a predictor whose
+    answers depend on a text's neighbours (padding, say) gives the same ones on any cluster. Rows keep all
+    input columns, so references and directions stay aligned without a join."""
+    batched = assign_batches(df, batch_size, [order_col], batch_col="_batch").withColumnRenamed("pos", "_at")
+    return predict_in_batches(batched, factory, ["_batch"], "_at", src_col, out_col).drop("_batch", "_at")
+
 
-    Rows keep all input columns, so references and directions stay aligned without a join.
-    """
+def predict_in_batches(
+    df: DataFrame,
+    factory: Callable[[], Callable[[list[str]], list[str]]],
+    batch_cols: list[str],
+    order_col: str,
+    src_col: str = "source_text",
+    out_col: str = "prediction",
+) -> DataFrame:
+    """Run a predictor once for each group of equal ``batch_cols``, its rows in ``order_col`` order. A group
+    is whole in its task; one that an Arrow batch cuts is held until its last row has come."""
     from qalam.session import ship_package
 
     ship_package(df.sparkSession)
     schema = Ty.StructType(df.schema.fields + [Ty.StructField(out_col, Ty.StringType())])
 
-    def run(batches: Iterator):
-        pred = _predictor(factory)
-        for pdf in batches:
-            outs: list[str] = []
-            texts = pdf[src_col].astype(str).tolist()
-            for start in range(0, len(texts), batch_size):
-                outs.extend(str(o).strip() for o in pred(texts[start : start + batch_size]))
-            yield pdf.assign(**{out_col: outs})
-
-    return df.mapInPandas(run, schema)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        predict, held = _predictor(factory), None
+
+        def predicted(rows: pd.DataFrame) -> pd.DataFrame:
+            new = (rows[batch_cols] != rows[batch_cols].shift()).any(axis=1).to_numpy()
+            starts = [*np.flatnonzero(new).tolist(), len(rows)]
+            texts, out = rows[src_col].astype(str).tolist(), []
+            for start, end in zip(starts, starts[1:], strict=False):
+                out.extend(str(o).strip() for o in predict(texts[start:end]))
+            return rows.assign(**{out_col: out})
+
+        for rows in batches:
+            rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
+            if not len(rows):
+                continue
+            last = (rows[batch_cols] == rows[batch_cols].iloc[-1]).all(axis=1).to_numpy()
+            cut = len(rows) - int(last.sum())
+            if cut:
+                yield predicted(rows.iloc[:cut])
+            held = rows.iloc[cut:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield predicted(held)
+
+    dealt = df.repartition(*batch_cols).sortWithinPartitions(*batch_cols, order_col)
+    return dealt.mapInPandas(run, schema)
 
 
 class CopySourcePredictor:

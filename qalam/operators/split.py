@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qalam.functions import text as T
@@ -60,9 +60,18 @@ def row_hash_split(
     return placed.withColumn("split", split).drop("_at")
 
 
-def leakage_check(df: DataFrame) -> DataFrame:
-    """Pairs that occur in more than one split (must be 0): one row ``leak_count``."""
-    per_pair = df.groupBy("en", "ar").agg((F.min("split") != F.max("split")).alias("leaks"))
+def leakage_check(df: DataFrame, digest: Column | None = None) -> DataFrame:
+    """Pairs that occur in more than one split (must be 0): one row ``leak_count``.
+
+    What is shuffled is a 128-bit digest of a pair and its split; texts are compared only where a digest is
+    in several splits. (``digest``: another one, for tests.)"""
+    # null and empty texts are told apart, and so are the two texts of a pair
+    parts = [F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in ("en", "ar")]
+    key = F.unhex(F.md5(F.concat(*parts))) if digest is None else digest
+    keyed = df.select("en", "ar", "split", key.alias("_key"))
+    split_sets = keyed.groupBy("_key").agg((F.min("split") != F.max("split")).alias("_several")).where("_several").select("_key")
+    suspects = keyed.join(split_sets, "_key", "left_semi")
+    per_pair = suspects.groupBy("en", "ar").agg((F.min("split") != F.max("split")).alias("leaks"))
     return per_pair.agg(F.count_if("leaks").alias("leak_count"))
 
 

@@ -15,13 +15,15 @@ from pyspark.sql import types as Ty
 
 
 def write_pairs(df: DataFrame, parquet_path: str, csv_path: str | None = None, partition_by: list[str] | None = None) -> None:
-    """Cleaned pairs to Parquet (optionally partitioned, e.g. by ``split`` for pruning) and CSV."""
+    """Cleaned pairs to Parquet (optionally partitioned, e.g. by ``split`` for pruning) and CSV, which is
+    written from the Parquet files, so that ``df`` is computed once."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(parquet_path)
     if csv_path is not None:
-        df.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(csv_path)
+        written = df.sparkSession.read.schema(df.schema).parquet(parquet_path).select(*df.columns)
+        written.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(csv_path)
 
 
 def write_profile_tables(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
