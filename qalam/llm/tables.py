@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,11 +29,18 @@ def held(value: Column) -> Column:
     return F.when(F.monotonically_increasing_id() >= 0, value)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a file where a staged table's rows are counted.
+ROWS_PER_FILE = 200_000
+
+
+def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back: later stages
-    start from the files, so a lost executor recomputes nothing before them."""
+    start from the files, so a lost executor recomputes nothing before them. With about how many
+    ``rows`` it has, it gets files of a good size, and no more shuffle files follow from it than need be."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(1, math.ceil(rows / ROWS_PER_FILE)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
