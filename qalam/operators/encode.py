@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from qalam.functions.bytelevel import SPECIAL_TOKENS, TAG_AR_ID, TAG_EN_ID, UNK_ID, char_to_byte
+from qalam.functions.ranges import ranges
 from qalam.operators.bpe import JAVA_PATTERN, BPEModel
 
 _ENCODERS: dict = {}
@@ -69,17 +70,11 @@ def _ids(enc, lists: pa.ListArray, limit: int | None = None) -> tuple[np.ndarray
     at = parts.indices.to_numpy(zero_copy_only=False)
     offsets = lists.offsets.to_numpy()
     before = np.concatenate(([0], np.cumsum(lengths[at])))[offsets - offsets[0]]
-    out = flat[_ranges((np.cumsum(lengths) - lengths)[at], lengths[at])]
+    out = flat[ranges((np.cumsum(lengths) - lengths)[at], lengths[at])]
     if limit is None:
         return out, before
     sizes = np.minimum(np.diff(before), limit)
-    return out[_ranges(before[:-1], sizes)], np.concatenate(([0], np.cumsum(sizes)))
-
-
-def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """``start, start + 1, ...`` of every range, one after the other."""
-    ends = np.cumsum(lengths)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+    return out[ranges(before[:-1], sizes)], np.concatenate(([0], np.cumsum(sizes)))
 
 
 def encode_pairs(
@@ -162,7 +157,7 @@ def _decoder(tokens: list[str], first: int) -> Callable[[pa.ListArray], pa.Array
         offsets = lists.offsets.to_numpy().astype(np.int64)
         ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64)
         sizes = np.where(ids >= first, lengths[np.maximum(ids, 0)], 0)
-        data = flat[_ranges(starts[np.maximum(ids, 0)], sizes)].tobytes()
+        data = flat[ranges(starts[np.maximum(ids, 0)], sizes)].tobytes()
         ends = np.concatenate(([0], np.cumsum(sizes)))[offsets - offsets[0]].tolist()
         texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:], strict=False)]
         return pa.array([t if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist(), strict=True)], pa.string())

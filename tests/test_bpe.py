@@ -181,3 +181,18 @@ def test_columnar_encoding_equals_text_by_text(spark):
         for t in SPECIAL_TOKENS:
             want = want.replace(t, "")
         assert "<2ar>" in (texts[r.row_id]) or r.decoded_input_ids == want
+
+
+@pytest.mark.parametrize(("held_words", "rounds"), [(300, 60), (20_000, 8)])
+def test_versions_do_not_grow_with_the_words(spark, held_words, rounds):
+    """Many distinct words share few stretches of frequent pairs: the library's merges from a few versions,
+    ties and runs of one letter among them, though the words themselves are far more than are held."""
+    import random
+
+    rng = random.Random(8)
+    syllables = ["".join(rng.choices("abcdeo", k=k)) for k in (1, 2, 2, 3, 3, 3, 4) for _ in range(12)] + ["aaa", "bb"]
+    texts = ["".join(rng.choices(syllables, k=rng.randrange(1, 7))) for _ in range(30_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=1200, held_words=held_words)
+    assert {t: i for i, t in enumerate(model.tokens)} == hf_train(texts, 1200).get_vocab()
+    assert model.rounds <= rounds
