@@ -1,11 +1,13 @@
-"""64-bit row hashes of text columns as built-in expressions, equal to those of pandas.
+"""64-bit row hashes of text columns, equal to those of pandas.
 
 ``pandas.util.hash_pandas_object`` hashes each string with SipHash-2-4 over its UTF-8 bytes, mixes the
-64 bits, and combines the columns of a row. All of it is integer arithmetic modulo 2**64. Spark's sums
-and products of longs may raise on overflow, so both are made of halves that cannot.
+64 bits, and combines the columns of a row. ``pair_hash`` has it do so, an Arrow batch at a time.
 
-A step of SipHash uses each value twice, so every step is bound once by ``transform`` over an array of
-one struct; written out in one expression they would double each time.
+``siphash`` and ``mixed`` are the hash of one text as built-in expressions, for short texts or where no
+Python may run: they are interpreted, block by block. All of it is integer arithmetic modulo 2**64. Spark's
+sums and products of longs may raise on overflow, so both are made of halves that cannot. A step of SipHash
+uses each value twice, so every step is bound once by ``transform`` over an array of one struct; written
+out in one expression they would double each time.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ from collections.abc import Callable
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,7 +27,6 @@ from pyspark.sql import functions as F
 KEY = b"0123456789123456"
 SIP_START = b"somepseudorandomlygeneratedbytes"
 MIX = ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, None))
-ROW_START, ROW_FACTOR, ROW_STEP, ROW_END = 0x345678, 1000003, 82520, 97531
 # ---------------------------------------------------------------------------------------------
 
 _LOW = 0xFFFFFFFF
@@ -127,13 +131,16 @@ def _multiplied(factor: int) -> Callable[[Column], Column]:
 
 
 def pair_hash(*columns: str) -> Column:
-    """The hash of a row of text columns without nulls, an unsigned 64-bit number as a long."""
-    out, factor = _long(ROW_START), ROW_FACTOR
-    for i, name in enumerate(columns):
-        value = mixed(siphash(F.col(name)))
-        out = _then(out.bitwiseXOR(value), _multiplied(factor))
-        factor += ROW_STEP + 2 * (len(columns) - i)
-    return sum64(out, _long(ROW_END))
+    """The hash of a row of text columns, an unsigned 64-bit number as a long (null where one is null)."""
+
+    @F.arrow_udf("long")
+    def row_hash(row: pa.Array) -> pa.Array:
+        texts = row.flatten()
+        frame = pd.DataFrame({i: x.fill_null("").to_numpy(zero_copy_only=False) for i, x in enumerate(texts)}, dtype=object)
+        hashes = pd.util.hash_pandas_object(frame, index=False, categorize=False).to_numpy().view(np.int64)
+        return pa.array(hashes, mask=np.any([x.is_null().to_numpy(zero_copy_only=False) for x in texts], axis=0))
+
+    return row_hash(F.struct(*columns))
 
 
 def unit_interval(h: Column) -> Column:

@@ -56,3 +56,14 @@ def test_split_of_every_fixture_pair(spark):
     assert SP.leakage_check(spark.createDataFrame(rows)).first().leak_count == 0
     with pytest.raises(ValueError):
         SP.row_hash_split(spark.createDataFrame(rows), 0.9, 0.05, 0.06)
+
+
+def test_row_hashes_run_on_whole_batches(spark):
+    """Hashes of rows need no expression that is interpreted for each block of a text."""
+    df = spark.createDataFrame([(1, "a", "b"), (2, None, "b"), (3, "a", None)], "row_id int, en string, ar string")
+    split = SP.row_hash_split(df)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan
+    hashes = {r.row_id: r.h for r in df.select("row_id", P.pair_hash("en", "ar").alias("h")).collect()}
+    assert hashes[1] is not None and hashes[2] is None and hashes[3] is None
+    assert split.where("row_id > 1 AND split = 'test'").count() == 2
