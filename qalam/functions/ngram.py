@@ -44,8 +44,10 @@ CHRF_FIELDS = [f"{k}{n}" for n in range(1, 7) for k in ("ch", "cr", "cm")]
 STAT_FIELDS = BLEU_FIELDS + CHRF_FIELDS
 
 
-#: Rows that are worked on at a time.
+#: Rows that are worked on at a time, and bytes of their texts but for one row. An n-gram takes about a
+#: hundred bytes, and several tasks share a machine.
 SLICE_ROWS = 1 << 13
+SLICE_BYTES = 1 << 20
 
 #: White space as Python's ``str.split`` has it.
 SPACES = np.array([c for c in range(0x3001) if chr(c).isspace()], np.uint32)
@@ -77,7 +79,9 @@ def characters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the tokens, and the text of each."""
-    parts = pc.utf8_split_whitespace(tokenize_13a(texts))
+    # the split looks at the byte behind a text's last space: a line follows the last text, whose byte it is
+    lines = pa.concat_arrays([tokenize_13a(texts), pa.array([" "], pa.string())])
+    parts = pc.utf8_split_whitespace(lines)[: len(texts)]
     text = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
     flat = parts.flatten()
     some = pc.greater(pc.binary_length(flat), 0)
@@ -135,8 +139,17 @@ def row_stats(hyps: pa.Array, refs: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
+def slice_bounds(hyps: pa.Array, refs: pa.Array) -> list[int]:
+    """First rows of the slices of a batch, and its number of rows."""
+    sizes = [pc.fill_null(pc.binary_length(x.cast(pa.string())), 0).to_numpy(zero_copy_only=False) for x in (hyps, refs)]
+    upto = np.cumsum(sizes[0].astype(np.int64) + sizes[1])
+    full = np.searchsorted(upto, np.arange(SLICE_BYTES, int(upto[-1]) if len(upto) else 0, SLICE_BYTES)) + 1
+    return np.unique([0, len(hyps), *full, *range(0, len(hyps), SLICE_ROWS)]).tolist()
+
+
 def stats_struct(hyps: pa.Array, refs: pa.Array) -> pa.StructArray:
     """``STAT_FIELDS`` of every row of a batch, slice by slice."""
-    parts = [row_stats(hyps.slice(i, SLICE_ROWS), refs.slice(i, SLICE_ROWS)) for i in range(0, len(hyps), SLICE_ROWS)]
+    bounds = slice_bounds(hyps, refs)
+    parts = [row_stats(hyps.slice(a, b - a), refs.slice(a, b - a)) for a, b in zip(bounds, bounds[1:], strict=False)]
     columns = [pa.array(np.concatenate([p[f] for p in parts]) if parts else [], pa.int64()) for f in STAT_FIELDS]
     return pa.StructArray.from_arrays(columns, STAT_FIELDS)

@@ -100,3 +100,29 @@ def test_eval_record_empty(spark):
     df = spark.createDataFrame([], "row_id long, direction string, prediction string, target_text string")
     rec = SC.eval_record(SC.scores_by_direction(df)).first()
     assert rec["num_samples"] == 0 and math.isnan(rec["bleu"])
+
+
+def test_slices_are_bounded_by_bytes(monkeypatch):
+    """Long texts are worked on a few at a time, with the same statistics."""
+    import random
+
+    import pyarrow as pa
+
+    from qalam.functions import ngram as N
+
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["the", "cat,", "é", "12-3", "مرحبا"], k=rng.randrange(300))) for _ in range(200)] + ["", None, "x" * 5000]
+    hyps, refs = pa.array(texts), pa.array(texts[::-1])
+    whole = N.stats_struct(hyps, refs).to_pylist()
+    seen, stats = [], N.row_stats
+
+    def measured(h, r):
+        seen.append((len(h), max(h.nbytes, r.nbytes)))
+        return stats(h, r)
+
+    monkeypatch.setattr(N, "SLICE_BYTES", 10_000)
+    monkeypatch.setattr(N, "row_stats", measured)
+    assert N.stats_struct(hyps, refs).to_pylist() == whole
+    assert sum(n for n, _ in seen) == len(texts) and len(seen) > 20
+    assert max(b for n, b in seen if n > 1) < 20_000
+    assert N.stats_struct(pa.array([], pa.string()), pa.array([], pa.string())).to_pylist() == []
