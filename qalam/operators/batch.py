@@ -15,12 +15,21 @@ from pyspark.sql import functions as F
 LABEL_PAD = -100
 
 
+#: Rows of a table of starts that every task may be given.
+FEW_STARTS = 100_000
+
+
 def global_index(df: DataFrame, order_cols: list[str | Column], num_partitions: int | None = None, pos_col: str = "_pos") -> DataFrame:
     """Add the 0-based position of each row in ``order_cols`` order (ties must not exist).
 
     The range-partitioned, sorted frame is checkpointed to the session's shared checkpoint
     folder, so the ids are computed once and survive executor loss.
     """
+    return _indexed(df, order_cols, num_partitions, pos_col).drop("_pid")
+
+
+def _indexed(df: DataFrame, order_cols: list[str | Column], num_partitions: int | None = None, pos_col: str = "_pos") -> DataFrame:
+    """:func:`global_index`, and the range partition ``_pid`` of each row."""
     from qalam.session import checkpoint_dir
 
     spark = df.sparkSession
@@ -40,7 +49,7 @@ def global_index(df: DataFrame, order_cols: list[str | Column], num_partitions:
     return (
         ranged.join(F.broadcast(offsets), "_pid")
         .withColumn(pos_col, (F.col("_off") + F.col("_mid") - F.col("_base")).cast("long"))
-        .drop("_pid", "_mid", "_base", "_off")
+        .drop("_mid", "_base", "_off")
     )
 
 
@@ -54,16 +63,20 @@ def assign_batches(
     """Consecutive batches of ``batch_size`` rows in ``order_cols`` order; the last may be short;
     ``ceil(n / batch_size)`` batches. Adds ``batch_id`` and ``pos`` (global position).
 
-    With ``group_cols`` (e.g. ``split``) batches never cross groups: positions are counted from
-    each group's first row (one global ordering by group then order key; the group starts are a
-    one-row-per-group aggregate joined back, which AQE broadcasts when it is small).
+    With ``group_cols`` (e.g. ``split``) batches never cross groups: positions are counted from each
+    group's first row (one global ordering by group then order key). The starts are one row per group
+    and range partition. Every task gets them if they are few; else they are joined by group and range
+    partition, so that a large group is dealt over as many tasks as it has partitions.
     """
     groups = list(group_cols or [])
-    idx = global_index(df, [*groups, *order_cols])
+    idx = _indexed(df, [*groups, *order_cols])
     if groups:
-        starts = idx.groupBy(*groups).agg(F.min("_pos").alias("_start"))
-        idx = idx.join(starts, groups).withColumn("_pos", F.col("_pos") - F.col("_start")).drop("_start")
-    return idx.withColumn(batch_col, F.floor(F.col("_pos") / batch_size).cast("long")).withColumnRenamed("_pos", "pos")
+        starts = idx.groupBy("_pid", *groups).agg(F.min("_pos").alias("_first"))
+        starts = starts.select("_pid", *groups, F.min("_first").over(Window.partitionBy(*groups)).alias("_start"))
+        if starts.limit(FEW_STARTS + 1).count() <= FEW_STARTS:
+            starts = F.broadcast(starts)
+        idx = idx.join(starts, ["_pid", *groups]).withColumn("_pos", F.col("_pos") - F.col("_start")).drop("_start")
+    return idx.drop("_pid").withColumn(batch_col, F.floor(F.col("_pos") / batch_size).cast("long")).withColumnRenamed("_pos", "pos")
 
 
 def pad_batches(df: DataFrame, pad_id: int = 0, batch_col: str | list[str] = "batch_id") -> DataFrame:

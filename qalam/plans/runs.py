@@ -91,19 +91,21 @@ def q_training_volume(spark, d):
     return L.training_volume(bidir(spark, d).where(F.col("split") == "train"))
 
 
-def _batched(spark, d):
+def _batched(rows):
     """Consecutive batches of 24 within each split, in the seeded draw order."""
-    return B.assign_batches(bidir(spark, d), 24, [S.draw_key(SEED), F.col("row_id")], group_cols=["split"])
+    return B.assign_batches(rows, 24, [S.draw_key(SEED), F.col("row_id")], group_cols=["split"])
 
 
 def q_assign_batches(spark, d):
-    return _batched(spark, d).select("row_id", "split", "batch_id")
+    return _batched(bidir(spark, d).select("row_id", "split")).select("row_id", "split", "batch_id")
 
 
 def q_tokens_per_step(spark, d):
-    b = _batched(spark, d).where(F.col("split") == "train").select(
-        "batch_id", T.word_count("source_text").alias("src_tokens"), T.word_count("target_text").alias("tgt_tokens")
+    """Tokens are counted before rows are ordered, so that two numbers move instead of two texts."""
+    counted = bidir(spark, d).select(
+        "row_id", "split", T.word_count("source_text").alias("src_tokens"), T.word_count("target_text").alias("tgt_tokens")
     )
+    b = _batched(counted).where(F.col("split") == "train").select("batch_id", "src_tokens", "tgt_tokens")
     return B.tokens_per_step(b, grad_accum=L.GRAD_ACCUM, max_steps=200)
 
 

@@ -101,3 +101,27 @@ def test_batches_stay_inside_splits_and_pad_to_batch_max(spark):
         assert len(r["labels"]) == r["label_len"]
     mx = {(r["split"], r["batch_id"]): (r["mi"], r["ml"]) for r in b.groupBy("split", "batch_id").agg(F.max(F.size("input_ids")).alias("mi"), F.max(F.size("labels")).alias("ml")).collect()}
     assert all((r["input_len"], r["label_len"]) == mx[(r["split"], r["batch_id"])] for r in p.collect())
+
+
+def test_large_groups_are_not_gathered(spark, monkeypatch):
+    """Batches are counted from the start of their group without bringing a group's rows together, be the
+    groups few or many."""
+    rows = [(i, "train" if i % 10 else None if i % 20 else "val") for i in range(3000)]
+    df = spark.createDataFrame(rows, "row_id long, split string")
+    got = []
+    for few in (100_000, 0):
+        monkeypatch.setattr(B, "FEW_STARTS", few)
+        b = B.assign_batches(df, 24, ["row_id"], group_cols=["split"])
+        plan = b._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(split" not in plan.split("_start")[0]
+        assert not [x for x in plan.splitlines() if "Join" in x and "[split" in x]
+        got.append(sorted((r.row_id, r.pos, r.batch_id) for r in b.collect()))
+    places = {s: {i: k for k, i in enumerate(i for i, t in rows if t == s)} for s in ("train", "val")}
+    assert got[0] == got[1] == [(i, places[s][i], places[s][i] // 24) for i, s in rows if s]
+
+
+def test_token_volume_orders_numbers(spark):
+    from qalam.plans import runs
+
+    plan = runs.q_tokens_per_step(spark, "/root/testdata/sf0.001")._jdf.queryExecution().logical().toString()
+    assert "source_text" not in plan and "src_tokens" in plan
