@@ -4,8 +4,9 @@ Everything here returns a ``Column`` built from JVM-side functions, so it stays
 whole-stage codegen. Patterns use ``\\x{...}`` escapes that Java regex and RE2 (the DuckDB
 oracle) read the same way.
 
-Right-end trims use ``reverse`` + an anchored leading pattern: a ``...+$`` pattern is tried at
-every start position and goes quadratic on long inner runs, the anchored form is linear.
+Characters are trimmed by ``btrim``, which looks at the ends of a text only. Where two-character markers
+are at its ends, right-end trims use ``reverse`` + an anchored leading pattern: a ``...+$`` pattern is
+tried at every start position and goes quadratic on long inner runs, the anchored form is linear.
 """
 
 from __future__ import annotations
@@ -28,6 +29,11 @@ WS_CLASS = (
     r"\t\n\x0b\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+WS_CHARS = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+OTHER_WS_CHARS = WS_CHARS.replace(" ", "")
+DIACRITIC_CHARS = "".join(map(chr, [*range(0x610, 0x61B), *range(0x64B, 0x660), 0x670, *range(0x6D6, 0x6EE)]))
 ARABIC_CLASS = r"[\x{0600}-\x{06FF}]"
 LATIN_CLASS = r"[A-Za-z]"
 DIACRITIC_CLASS = r"[\x{0610}-\x{061A}\x{064B}-\x{065F}\x{0670}\x{06D6}-\x{06ED}]"
@@ -36,7 +42,7 @@ TAG_TO_EN = "<2en> "
 EN_TO_AR = "en_to_ar"
 AR_TO_EN = "ar_to_en"
 
-_LEAD_WS = rf"^[{WS_CLASS}]++"
+_NEWLINE = "\\n"
 _LEAD_MARKERS = rf"^(?:[{WS_CLASS}\-]++|\\n)++"
 # the same marker set read right-to-left: the literal "\n" appears as "n\"
 _LEAD_MARKERS_REVERSED = rf"^(?:[{WS_CLASS}\-]++|n\\)++"
@@ -57,12 +63,12 @@ def _trim_right(c: Column, reversed_leading_pattern: str) -> Column:
 
 def strip_text(c: Column | str) -> Column:
     """Python ``str.strip()``: remove Unicode whitespace (incl. U+001C-U+001F) at both ends."""
-    lead = F.regexp_replace(_c(c), _LEAD_WS, "")
-    return _trim_right(lead, _LEAD_WS)
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def has_arabic(c: Column | str) -> Column:
-    return _c(c).rlike(ARABIC_CLASS)
+    # a text of one byte per character has none, and need not be searched
+    return (F.octet_length(_c(c)) != F.char_length(_c(c))) & _c(c).rlike(ARABIC_CLASS)
 
 
 def has_latin(c: Column | str) -> Column:
@@ -77,8 +83,9 @@ def swap_mask(en: Column | str, ar: Column | str) -> Column:
 
 def clean_boundaries(c: Column | str) -> Column:
     """Trim runs of whitespace, '-' and literal backslash-n from both ends (null -> "")."""
-    lead = F.regexp_replace(fill_text(c), _LEAD_MARKERS, "")
-    return _trim_right(lead, _LEAD_MARKERS_REVERSED)
+    t = F.btrim(fill_text(c), F.lit(WS_CHARS + "-"))
+    rest = _trim_right(F.regexp_replace(t, _LEAD_MARKERS, ""), _LEAD_MARKERS_REVERSED)
+    return F.when(t.startswith(_NEWLINE) | t.endswith(_NEWLINE), rest).otherwise(t)
 
 
 def count_diacritics(c: Column | str) -> Column:
@@ -91,21 +98,27 @@ def strip_diacritics(c: Column | str) -> Column:
 
 def collapse_whitespace(c: Column | str) -> Column:
     """Every whitespace run -> one space, then strip (only a single space can remain at an end)."""
-    # only runs that are not already a single plain space need rewriting: a space followed by
-    # more whitespace, or a run starting with other whitespace (positive classes only; a
-    # negated/intersected class is several times slower in the JVM regex engine)
-    other_ws = WS_CLASS.replace(" ", "")
-    one = F.regexp_replace(_c(c), f" [{WS_CLASS}]+|[{other_ws}][{WS_CLASS}]*", " ")
-    return F.regexp_replace(one, "^ | $", "")
+    return _single_spaces(F.translate(_c(c), OTHER_WS_CHARS, " " * len(OTHER_WS_CHARS)))
+
+
+def strip_diacritics_and_collapse(c: Column | str) -> Column:
+    """:func:`collapse_whitespace` of :func:`strip_diacritics`, in one pass over the text."""
+    # characters without a counterpart are deleted
+    return _single_spaces(F.translate(_c(c), OTHER_WS_CHARS + DIACRITIC_CHARS, " " * len(OTHER_WS_CHARS)))
+
+
+def _single_spaces(c: Column) -> Column:
+    """A text with no whitespace but spaces: every run of them -> one space, then strip."""
+    return F.trim(F.regexp_replace(c, "  +", " "))
 
 
 def word_count(c: Column | str) -> Column:
     """Python ``len(s.split())``: number of maximal non-whitespace runs ("" -> 0).
 
-    Counted as the pieces of the stripped text split on whitespace runs: a positive class
-    splits about 6x faster in the JVM than ``regexp_count`` with the negated Unicode class."""
-    s = strip_text(fill_text(c))
-    return F.when(s == "", F.lit(0)).otherwise(F.size(F.split(s, f"[{WS_CLASS}]+"))).cast("long")
+    Counted as the pieces, but for empty ones, of the text split at spaces, which all other whitespace is
+    turned into: a split at one plain character needs no regular expression."""
+    spaced = F.translate(fill_text(c), OTHER_WS_CHARS, " " * len(OTHER_WS_CHARS))
+    return F.size(F.array_remove(F.split(spaced, " "), "")).cast("long")
 
 
 def char_count(c: Column | str) -> Column:

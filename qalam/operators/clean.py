@@ -120,7 +120,7 @@ def clean_rows(df: DataFrame) -> DataFrame:
         F.when(F.col("_swap"), F.col("en")).otherwise(F.col("ar")).alias("ar"),
     )
     bounded = swapped.select(*others, T.clean_boundaries("en").alias("en"), T.clean_boundaries("ar").alias("ar"))
-    return bounded.select(*others, "en", T.collapse_whitespace(T.strip_diacritics(F.col("ar"))).alias("ar")).select(*df.columns)
+    return bounded.select(*others, "en", T.strip_diacritics_and_collapse("ar").alias("ar")).select(*df.columns)
 
 
 def clean_pairs(df: DataFrame, order_col: str = "row_id") -> DataFrame:
@@ -130,9 +130,7 @@ def clean_pairs(df: DataFrame, order_col: str = "row_id") -> DataFrame:
 
 def drop_blank_pairs(df: DataFrame) -> DataFrame:
     """Stage-2 row filter: drop nulls, strip both sides, drop rows blank on either side."""
-    # "blank after strip" == "no non-whitespace character": the filter needs no strip, so
-    # pushing it below the projection does not evaluate the strip twice
-    nonblank = F.col("en").rlike(f"[^{T.WS_CLASS}]") & F.col("ar").rlike(f"[^{T.WS_CLASS}]")
+    nonblank = (T.strip_text("en") != "") & (T.strip_text("ar") != "")
     return df.dropna(subset=KEY).where(nonblank).withColumns({"en": T.strip_text("en"), "ar": T.strip_text("ar")})
 
 
@@ -159,7 +157,7 @@ def cleaning_funnel(df: DataFrame) -> DataFrame:
         (a0 != ab).cast("long").alias("ar_changed"),
         T.count_diacritics(ab).cast("long").alias("diac"),
         eb.alias("en"),
-        T.collapse_whitespace(T.strip_diacritics(ab)).alias("ar"),
+        T.strip_diacritics_and_collapse(ab).alias("ar"),
     )
     finals = staged.groupBy(*KEY).agg(
         F.sum("n").alias("n"),

@@ -155,8 +155,8 @@ def script_anomalies(df: DataFrame) -> DataFrame:
 
 def truncation_estimate(df: DataFrame, max_seq_len: int = 128) -> DataFrame:
     """Rows whose whitespace word count exceeds ``max_seq_len``: en, ar, either."""
-    e = T.word_count("en") > max_seq_len
-    a = T.word_count("ar") > max_seq_len
+    # more than n words have at least n + 1 characters and n spaces: words of shorter texts need no count
+    e, a = ((T.char_count(s) > 2 * max_seq_len) & (T.word_count(s) > max_seq_len) for s in SIDES)
     wide = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(e.cast("long")).alias("e"),

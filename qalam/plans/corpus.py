@@ -36,15 +36,17 @@ def cleaned_stage(spark: SparkSession, d: str) -> DataFrame:
 
     Without a boundary, Catalyst pushes stage-2 filters on ``en``/``ar`` (blank checks, the
     split) through the dedup aggregate and inlines the whole regex cleaning chain into them,
-    evaluating it several times per row. A reliable checkpoint in the shared checkpoint folder
-    cuts that and survives executor loss; it is reused by every stage-2 query of the session.
+    evaluating it several times per row. Parquet files in the shared checkpoint folder cut that and
+    survive executor loss; every stage-2 query of the session reads the columns that it needs of them.
     """
-    from qalam.session import checkpoint_dir
+    from qalam.session import scratch_path
 
     key = (spark.sparkContext.applicationId, d)
     if key not in _STAGES:
-        checkpoint_dir(spark)
-        _STAGES[key] = cleaned(spark, d).checkpoint(eager=True)
+        path = scratch_path(spark, "cleaned")
+        corpus = cleaned(spark, d)
+        corpus.write.parquet(path)
+        _STAGES[key] = spark.read.schema(corpus.schema).parquet(path)
     return _STAGES[key]
 
 
@@ -178,7 +180,7 @@ def q_eda_summary(spark, d):
 
 
 def q_drop_blank_pairs(spark, d):
-    return C.drop_blank_pairs(cleaned(spark, d))
+    return C.drop_blank_pairs(cleaned_stage(spark, d))
 
 
 # ---------------------------------------------------------------- profiles

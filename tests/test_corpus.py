@@ -67,3 +67,21 @@ def test_entry_smoke(spark):
     assert df.columns == ["metric", "count", "ratio"]
     assert df.count() == 2
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_blank_filter_starts_from_the_written_corpus(spark):
+    """Filters on the cleaned texts aren't pushed below the cleaning, and its result is read by columns."""
+    from qalam.plans import corpus as Q
+
+    d = "/root/testdata/sf0.001"
+    assert Q.cleaned_stage(spark, d).inputFiles()
+    plan = Q.q_drop_blank_pairs(spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "translate" not in plan
+
+
+def test_truncation_counts_words_of_texts_that_may_have_enough(spark):
+    from qalam.operators import profile as P
+
+    rows = [("a b c", "a b c d"), ("  a   b   c  ", "aaaa bbbb cccc dddd e"), ("aaaaaaaaaa", None)]
+    got = {r.metric: r["count"] for r in P.truncation_estimate(spark.createDataFrame(rows, "en string, ar string"), 3).collect()}
+    assert got == {"en_gt_max_len": 0, "ar_gt_max_len": 2, "either_side_gt_max_len": 2}

@@ -110,3 +110,25 @@ def test_word_count_and_collapse_match_python_on_random_text(spark):
         s = texts[r["i"]]
         assert r["wc"] == len(s.split()), repr(s)
         assert r["cw"] == " ".join(s.split()), repr(s)
+
+
+def test_white_space_as_python_has_it(spark):
+    """Trims, word counts and one-pass cleaning against Python, for white space and marks in any place."""
+    import random
+    import re
+
+    rng = random.Random(3)
+    pool = [*T.WS_CHARS, "  ", "\\n", "\\", "n", "-", "a", "é", "م", "\u064b", "\u0670", "\U0001f600", "\x00", "\u200b"]
+    texts = ["".join(rng.choices(pool, k=rng.randrange(12))) for _ in range(3000)] + ["", "a" * 20_000 + " " * 20_000]
+    assert [c for c in map(chr, range(0x3001)) if c.isspace()] == sorted(T.WS_CHARS)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string").select(
+        "i", T.strip_text("x").alias("s"), T.word_count("x").alias("w"), T.collapse_whitespace("x").alias("c"),
+        T.strip_diacritics_and_collapse("x").alias("d"), T.clean_boundaries("x").alias("b"), T.has_arabic("x").alias("a"),
+    )
+    marks = rf"(?:[{re.escape(T.WS_CHARS)}-]|\\n)+"
+    for r in df.collect():
+        t = texts[r.i]
+        lead = re.sub(rf"\A{marks}", "", t)
+        assert (r.s, r.w, r.c) == (t.strip(), len(t.split()), " ".join(t.split()))
+        assert r.d == " ".join(re.sub(f"[{T.DIACRITIC_CHARS}]", "", t).split())
+        assert r.b == re.sub(rf"{marks}\Z", "", lead) and r.a == bool(re.search("[\u0600-\u06ff]", t))
