@@ -477,19 +477,22 @@ def train_bpe(
     tokens = list(SPECIAL_TOKENS) + alphabet()
     model = BPEModel(tokens=tokens)
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = words.where(F.char_length("word") > 1).select(F.col("n").cast("long").alias("n"), "word").repartition(n_parts, "word")
+    base = words.select(F.col("n").cast("long").alias("n"), "word").repartition(n_parts, "word")
     _train(_Version(base.mapInArrow(_spelled(tokens), WORDS)), model, vocab_size, min_frequency, top_k, held_words)
     return model
 
 
 def _spelled(tokens: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Words of byte symbols as ids."""
+    """Words of two byte symbols and more as ids. (A filter on the word before the tasks would be pushed below
+    the counting of the words, and their symbols made for each place that they stand at.)"""
     singles = {ord(t): i for i, t in enumerate(tokens) if len(t) == 1}
     ids = np.zeros(max(singles) + 1, np.int32)
     ids[list(singles)] = list(singles.values())
 
     def spell(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
+            lengths = pc.fill_null(pc.utf8_length(batch.column("word")), 0)
+            batch = batch.filter(pc.greater(lengths, 1))
             word = batch.column("word")
             points = np.frombuffer("".join(word.to_pylist()).encode("utf-32-le"), np.uint32)
             yield pa.RecordBatch.from_arrays([batch.column("n"), _segs(ids[points], pc.utf8_length(word).to_numpy(zero_copy_only=False))], ["n", "seg"])

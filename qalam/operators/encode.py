@@ -1,32 +1,34 @@
 """Encoding with a trained byte-level BPE model: token ids, decode, vocabulary lookup and audits.
 
-Built-in functions cut texts into pieces (special tokens, words with the space before them). An Arrow
-task segments each distinct piece of a batch once, remembers it, and gathers the ids of all rows with
-numpy; no Python code runs per row. The model (merges bounded by ``vocab_size``) is a broadcast variable.
+An Arrow task cuts a batch's texts into pieces (special tokens, words with the space before them),
+segments each distinct piece once, remembers it, and gathers the ids of all rows, all with numpy
+(:mod:`qalam.functions.columnar`); no Python code runs per row or per word. The model (merges bounded by
+``vocab_size``) is a broadcast variable.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from qalam.functions.bytelevel import SPECIAL_TOKENS, TAG_AR_ID, TAG_EN_ID, UNK_ID, char_to_byte
+from qalam.functions.columnar import Segmenter, char_kinds, cut
 from qalam.functions.ranges import ranges
-from qalam.operators.bpe import JAVA_PATTERN, BPEModel
+from qalam.operators.bpe import BPEModel
 
 _ENCODERS: dict = {}
 
 IDS = Ty.ArrayType(Ty.IntegerType())
 MODEL_COLUMNS = ["input_ids", "attention_mask", "labels"]
 
-#: Any special token; they are matched literally wherever they stand, and none overlaps another.
-_SPECIAL = "|".join(re.escape(t) for t in SPECIAL_TOKENS)
+#: Bytes of text that are worked on at a time.
+SLICE_BYTES = 8 << 20
 
 
 def _broadcast(df: DataFrame, model: BPEModel):
@@ -35,42 +37,48 @@ def _broadcast(df: DataFrame, model: BPEModel):
     ship_package(df.sparkSession)
     import uuid
 
-    bc = df.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, list(model.tokens), list(model.merges)))
-    return bc
+    content = (uuid.uuid4().hex, list(model.tokens), list(model.merges), char_kinds(df.sparkSession))
+    return df.sparkSession.sparkContext.broadcast(content)
 
 
-def _encoder(bc):
-    key, tokens, merges = bc.value
+def _encoder(bc) -> tuple[Segmenter, np.ndarray]:
+    """The segmenter of a model, which a Python worker keeps for its next tasks, and the kinds of characters."""
+    key, tokens, merges, kinds = bc.value
     enc = _ENCODERS.get(key)
     if enc is None:
-        from qalam.functions.bytelevel import BPEEncoder
-
-        enc = BPEEncoder({t: i for i, t in enumerate(tokens)}, [tuple(m) for m in merges])
+        enc = Segmenter(tokens, [tuple(m) for m in merges]), np.frombuffer(kinds, np.uint8)
         _ENCODERS.clear()
         _ENCODERS[key] = enc
     return enc
 
 
-def pieces(text: Column, limit: int | None = None) -> Column:
-    """The special tokens and words of a text in order (null: none), the first ``limit`` of them. A piece
-    has one id at least, so no more are needed for ``limit`` ids."""
-    words = F.lit(JAVA_PATTERN)
-    around = F.split(F.coalesce(text.cast("string"), F.lit("")), f"(?={_SPECIAL})|(?<={_SPECIAL})")
-    cut = F.transform(around, lambda x: F.when(x.isin(*SPECIAL_TOKENS), F.array(x)).otherwise(F.regexp_extract_all(x, words, F.lit(0))))
-    return F.flatten(cut) if limit is None else F.slice(F.flatten(cut), 1, limit)
+def _text(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+
+def _slices(batch: pa.RecordBatch, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with about ``SLICE_BYTES`` of text each (one row at least)."""
+    sizes = np.cumsum(sum(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE_BYTES, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
 
 
-def _ids(enc, lists: pa.ListArray, limit: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all rows one after the other, and the bounds of each row, cut to ``limit``."""
-    lists = lists.cast(pa.large_list(pa.large_string()))
-    parts = lists.flatten().dictionary_encode()
-    known = [enc.piece_ids(x) for x in parts.dictionary.to_pylist()]
-    lengths = np.fromiter(map(len, known), np.int64, len(known))
-    flat = np.fromiter((i for ids in known for i in ids), np.int32, int(lengths.sum()))
+def _ids(enc: tuple[Segmenter, np.ndarray], texts: pa.Array, limit: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts one after the other, and the bounds of each text's, cut to ``limit``."""
+    segmenter, kinds = enc
+    pieces, bounds = cut(texts.cast(pa.large_string()), kinds)
+    if limit is not None and (np.diff(bounds) > limit).any():  # a piece has one id at least
+        sizes = np.minimum(np.diff(bounds), limit)
+        pieces = pieces.take(pa.array(ranges(bounds[:-1], sizes)))
+        bounds = np.concatenate(([0], np.cumsum(sizes)))
+    parts = pieces.dictionary_encode()
+    starts, lengths, flat = segmenter.distinct(parts.dictionary)
     at = parts.indices.to_numpy(zero_copy_only=False)
-    offsets = lists.offsets.to_numpy()
-    before = np.concatenate(([0], np.cumsum(lengths[at])))[offsets - offsets[0]]
-    out = flat[ranges((np.cumsum(lengths) - lengths)[at], lengths[at])]
+    before = np.concatenate(([0], np.cumsum(lengths[at])))[bounds]
+    out = flat[ranges(starts[at], lengths[at])]
     if limit is None:
         return out, before
     sizes = np.minimum(np.diff(before), limit)
@@ -93,14 +101,13 @@ def encode_pairs(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(bc)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, ["_src", "_tgt"])):
             (ids, ends), (labels, label_ends) = (_ids(enc, batch.column(c), max_len) for c in ("_src", "_tgt"))
             lists = [(ends, ids), (ends, np.ones(len(ids), np.int32)), (label_ends, labels)]
             out = [pa.ListArray.from_arrays(pa.array(e.astype(np.int32)), pa.array(x)) for e, x in lists]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *out], [*keep, *MODEL_COLUMNS])
 
-    cut = [pieces(F.col(c), max_len).alias(a) for c, a in ((src_col, "_src"), (tgt_col, "_tgt"))]
-    return df.select(*keep, *cut).mapInArrow(run, schema)
+    return df.select(*keep, _text(src_col).alias("_src"), _text(tgt_col).alias("_tgt")).mapInArrow(run, schema)
 
 
 def model_columns(df: DataFrame) -> DataFrame:
@@ -116,17 +123,17 @@ def token_lengths(df: DataFrame, model: BPEModel, cols: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(bc)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, texts)):
             out = []
-            for i in range(len(cols)):
-                ids, ends = _ids(enc, batch.column(f"_pieces{i}"))
+            for c in texts:
+                ids, ends = _ids(enc, batch.column(c))
                 unknown = np.concatenate(([0], np.cumsum(ids == UNK_ID)))[ends]
                 out += [pa.array(np.diff(ends).astype(np.int64)), pa.array(np.diff(unknown).astype(np.int64))]
             kept = [batch.column(f.name) for f in df_fields]
             yield pa.RecordBatch.from_arrays([*kept, *out], [*(f.name for f in df_fields), *new])
 
-    df_fields = list(df.schema.fields)
-    return df.select("*", *(pieces(F.col(c)).alias(f"_pieces{i}") for i, c in enumerate(cols))).mapInArrow(run, schema)
+    df_fields, texts = list(df.schema.fields), [f"_text{i}" for i in range(len(cols))]
+    return df.select("*", *(_text(c).alias(t) for c, t in zip(cols, texts, strict=True))).mapInArrow(run, schema)
 
 
 def decode_ids(df: DataFrame, model: BPEModel, cols: list[str], skip_special: bool = False) -> DataFrame:

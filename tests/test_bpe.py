@@ -196,3 +196,65 @@ def test_versions_do_not_grow_with_the_words(spark, held_words, rounds):
     model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=1200, held_words=held_words)
     assert {t: i for i, t in enumerate(model.tokens)} == hf_train(texts, 1200).get_vocab()
     assert model.rounds <= rounds
+
+
+def test_texts_are_cut_and_segmented_without_code_per_word(spark, monkeypatch):
+    """Pieces of whole columns by numpy against the pattern, words against the word encoder: runs of one
+    letter, strings that are no tokens, and a memory that holds few words."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from qalam.functions import columnar
+    from qalam.functions.bytelevel import BPEEncoder, split_specials
+    from qalam.operators.encode import encode_pairs
+
+    kinds = np.frombuffer(columnar.char_kinds(spark), np.uint8)
+    rng = random.Random(11)
+    pool = ["a", "Z", "é", " ", " ", "  ", "\n", "\t", "\u3000", "'", "'", "s", "re", "l", "l", "d", "١", "7", "½", "!", "日", "\U0001f600", "\x00", "<s>", "<2ar>", "<", ">"]
+    texts = ["".join(rng.choices(pool, k=rng.randrange(16))) for _ in range(4000)] + ["", " ", "'", "'s", "<s>", " <s> "]
+    pieces, bounds = columnar.cut(pa.array(texts, pa.large_string()).slice(3), kinds)
+    found = pieces.to_pylist()
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for t, a, b in zip(texts[3:], bounds[:-1], bounds[1:], strict=True):
+        want = [x for special, part in split_specials(t) for x in ([part] if special else pattern_pieces(part))]
+        assert found[a:b] == want, t
+    assert len(columnar.cut(pa.array([], pa.large_string()), kinds)[0]) == 0
+
+    merges = [("a", "a"), ("aa", "aa"), ("b", "a"), ("aa", "b"), ("Ġ", "b"), ("aa", "c")]
+    tokens = [*SPECIAL_TOKENS, "a", "b", "Ġ", "aa", "aaaa", "ba", "aab", "Ġb"]
+    row = BPEEncoder({t: i for i, t in enumerate(tokens)}, merges)
+    monkeypatch.setattr(columnar, "MAX_CACHED_WORDS", 50)
+    enc = columnar.Segmenter(tokens, merges)
+    for _ in range(6):
+        words = list({"".join(rng.choices("aaabc ", k=rng.randrange(1, 12))) for _ in range(60)} | {"<s>", "", "é", "a" * 101})
+        starts, sizes, flat = enc.distinct(pa.array(words, pa.large_string()))
+        assert [flat[s : s + n].tolist() for s, n in zip(starts, sizes, strict=True)] == [row.piece_ids(w) for w in words]
+        assert len(enc.words) <= 110 and enc.words.slice(0, 6).to_pylist() == SPECIAL_TOKENS
+
+    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=265)
+    plan = encode_pairs(df, model, 128, "t", "t", keep=[])._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
+
+
+def pattern_pieces(text):
+    from qalam.functions.bytelevel import _PRETOKEN_RE
+
+    return _PRETOKEN_RE.findall(text)
+
+
+def test_words_are_filtered_after_they_are_counted(spark):
+    """The filter on words of one symbol is not pushed below the counts, where it would make the symbols of
+    every place; words that are null or empty are left out too."""
+    words = spark.createDataFrame([("ab", 5), ("abab", 4), ("a", 9), ("", 3), (None, 2)], "word string, n long")
+    assert train_bpe(words, vocab_size=264).merges == [("a", "b"), ("ab", "ab")]
+    seen = []
+    real = type(words).repartition
+    df = pretoken_counts(spark.createDataFrame([("ab ab",)], "t string"), ["t"])
+    try:
+        type(words).repartition = lambda self, *a: seen.append(self) or real(self, *a)
+        train_bpe(df, vocab_size=263)
+    finally:
+        type(words).repartition = real
+    assert "Filter" not in seen[0]._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[1]
