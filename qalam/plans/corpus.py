@@ -39,17 +39,25 @@ def cleaned_stage(spark: SparkSession, d: str) -> DataFrame:
     evaluating it several times per row. Parquet files in the shared checkpoint folder cut that and
     survive executor loss; every stage-2 query of the session reads the columns that it needs of them.
     """
-    from qalam.session import scratch_path
+    from qalam.session import dropping_shuffles, scratch_path
 
     key = (spark.sparkContext.applicationId, d)
     if key not in _STAGES:
         path = scratch_path(spark, "cleaned")
         corpus = cleaned(spark, d)
-        corpus.write.parquet(path)
+        with dropping_shuffles(spark):
+            corpus.write.option("compression", "zstd").parquet(path)
         _STAGES[key] = spark.read.schema(corpus.schema).parquet(path)
     return _STAGES[key]
 
 
+def cleaned_once(spark: SparkSession, d: str) -> DataFrame:
+    """The cleaned corpus for a sink that reads it once: what is staged, if it is; a stage for the sink alone
+    would only be a second copy on disk."""
+    staged = _STAGES.get((spark.sparkContext.applicationId, d))
+    return cleaned(spark, d) if staged is None else staged
+
+
 def prepared(spark: SparkSession, d: str) -> DataFrame:
     """Stage-2 input: cleaned pairs without blanks, with the deterministic split."""
     return SP.hash_split(C.drop_blank_pairs(cleaned_stage(spark, d)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from qalam.operators import runlog as L
-from qalam.plans.corpus import cleaned_stage
+from qalam.plans.corpus import cleaned_once, cleaned_stage
 from qalam.session import scratch_path
 from qalam.sources import fixtures as FX
 from qalam.sources import readers as R
@@ -18,7 +18,7 @@ LOG_SCHEMA = "run_id long, step long, ingest_seq long, val_loss double, bleu dou
 
 def q_write_pairs(spark, d):
     base = scratch_path(spark, "pairs")
-    K.write_pairs(cleaned_stage(spark, d).select("row_id", "en", "ar"), f"{base}/parquet", f"{base}/csv")
+    K.write_pairs(cleaned_once(spark, d).select("row_id", "en", "ar"), f"{base}/parquet", f"{base}/csv")
     return R.read_pairs_parquet(spark, f"{base}/parquet")
 
 

@@ -13,14 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+from qalam.session import dropping_shuffles
+
 
 def write_pairs(df: DataFrame, parquet_path: str, csv_path: str | None = None, partition_by: list[str] | None = None) -> None:
     """Cleaned pairs to Parquet (optionally partitioned, e.g. by ``split`` for pruning) and CSV, which is
-    written from the Parquet files, so that ``df`` is computed once."""
-    w = df.write.mode("overwrite")
+    written from the Parquet files, so that ``df`` is computed once and its shuffle files are gone by then."""
+    w = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(parquet_path)
+    with dropping_shuffles(df.sparkSession):
+        w.parquet(parquet_path)
     if csv_path is not None:
         written = df.sparkSession.read.schema(df.schema).parquet(parquet_path).select(*df.columns)
         written.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(csv_path)

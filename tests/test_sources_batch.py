@@ -125,3 +125,28 @@ def test_token_volume_orders_numbers(spark):
 
     plan = runs.q_tokens_per_step(spark, "/root/testdata/sf0.001")._jdf.queryExecution().logical().toString()
     assert "source_text" not in plan and "src_tokens" in plan
+
+
+def test_written_pairs_are_on_disk_once(spark, tmp_path):
+    """A sink that reads the corpus once needs no stage beside it; Parquet files are packed well, and the
+    shuffle files of a write go with it, while the session's own setting stays."""
+    import pyarrow.parquet as pq
+
+    from qalam import session
+    from qalam.plans import corpus, io
+
+    d = "/root/testdata/sf0.001/./"
+    back = io.QUERIES["read_pairs_parquet"](spark, d)
+    key = (spark.sparkContext.applicationId, d)
+    assert key not in corpus._STAGES
+    files = [f.removeprefix("file://") for f in back.inputFiles()]
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(1).compression for f in files} == {"ZSTD"}
+    staged = corpus.cleaned_stage(spark, d)
+    assert corpus.cleaned_once(spark, d) is staged
+    assert sorted(back.collect()) == sorted(staged.select(*back.columns).collect())
+
+    setting = session._DROP_SHUFFLES
+    assert spark.conf.get(setting, None) != "true"
+    with session.dropping_shuffles(spark):
+        assert spark.conf.get(setting) == "true"
+    assert spark.conf.get(setting, None) != "true"
