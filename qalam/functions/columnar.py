@@ -14,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from qalam.functions.bytelevel import SPECIAL_TOKENS, UNK_ID, byte_to_char
 from qalam.functions.ranges import ranges
@@ -36,16 +35,16 @@ _NONE = np.iinfo(np.int32).max
 def _kinds(_application: str, spark: SparkSession) -> bytes:
     text = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     kinds = np.zeros(0x110000, np.uint8)
-    row = spark.createDataFrame([(text,)], "t string")
-    found = row.select(*(F.regexp_extract_all("t", F.lit(f"(?U){p}++"), F.lit(0)) for p in (r"\p{L}", r"\p{N}", r"\s"))).first()
-    for kind, runs in zip((LETTER, NUMBER, SPACE), found, strict=True):
-        kinds[np.frombuffer("".join(runs).encode("utf-32-le"), np.uint32)] = kind
+    pattern = spark.sparkContext._jvm.java.util.regex.Pattern
+    for kind, others in ((LETTER, r"\P{L}"), (NUMBER, r"\P{N}"), (SPACE, r"\S")):
+        found = pattern.compile(f"(?U){others}++").matcher(text).replaceAll("")
+        kinds[np.frombuffer(found.encode("utf-32-le"), np.uint32)] = kind
     return kinds.tobytes()
 
 
 def char_kinds(spark: SparkSession) -> bytes:
-    """The kind of every code point, as the JVM's regular expressions see it: words are cut here as
-    :func:`qalam.operators.bpe.pretoken_counts` cuts them."""
+    """The kind of every code point, as the JVM's regular expressions see it (asked on the driver, once in an
+    application): words are cut here as :func:`qalam.operators.bpe.pretoken_counts` cuts them."""
     return _kinds(spark.sparkContext.applicationId, spark)
 
 

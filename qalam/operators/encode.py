@@ -30,6 +30,9 @@ MODEL_COLUMNS = ["input_ids", "attention_mask", "labels"]
 #: Bytes of text that are worked on at a time.
 SLICE_BYTES = 8 << 20
 
+#: Ids that are decoded at a time.
+SLICE_IDS = 2 << 20
+
 
 def _broadcast(df: DataFrame, model: BPEModel):
     from qalam.session import ship_package
@@ -56,12 +59,13 @@ def _text(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
-def _slices(batch: pa.RecordBatch, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with about ``SLICE_BYTES`` of text each (one row at least)."""
-    sizes = np.cumsum(sum(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns))
+def _slices(batch: pa.RecordBatch, columns: list[str], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with about ``most`` bytes of text, or ids, in ``columns`` (one row at least)."""
+    size = {c: pc.list_value_length if pa.types.is_list(batch.schema.field(c).type) else pc.binary_length for c in columns}
+    sizes = np.cumsum(sum(pc.fill_null(f(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c, f in size.items()))
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE_BYTES, side="right")))
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, side="right")))
         yield batch.slice(at, to - at)
         at = to
 
@@ -136,21 +140,22 @@ def token_lengths(df: DataFrame, model: BPEModel, cols: list[str]) -> DataFrame:
     return df.select("*", *(_text(c).alias(t) for c, t in zip(cols, texts, strict=True))).mapInArrow(run, schema)
 
 
-def decode_ids(df: DataFrame, model: BPEModel, cols: list[str], skip_special: bool = False) -> DataFrame:
+def decode_ids(df: DataFrame, model: BPEModel, cols: list[str], skip_special: bool = False, keep: list[str] | None = None) -> DataFrame:
     """ids -> text for each column in ``cols`` (adds ``decoded_<col>``). Negative ids (label padding) and,
-    with ``skip_special``, special tokens are left out."""
+    with ``skip_special``, special tokens are left out. Of the other columns, those in ``keep`` are given
+    back (default: all)."""
     bc = _broadcast(df, model)
-    names = df.columns
-    schema = Ty.StructType(list(df.schema.fields) + [Ty.StructField(f"decoded_{c}", Ty.StringType()) for c in cols])
+    names = list(keep if keep is not None else df.columns)
+    schema = Ty.StructType([df.schema[c] for c in names] + [Ty.StructField(f"decoded_{c}", Ty.StringType()) for c in cols])
     first = len(SPECIAL_TOKENS) if skip_special else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = _decoder(bc.value[1], first)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, cols, SLICE_IDS)):
             out = [decode(batch.column(c)) for c in cols]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *out], [*names, *schema.names[len(names) :]])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *out], schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.select(*dict.fromkeys([*names, *cols])).mapInArrow(run, schema)
 
 
 def _decoder(tokens: list[str], first: int) -> Callable[[pa.ListArray], pa.Array]:
@@ -164,14 +169,27 @@ def _decoder(tokens: list[str], first: int) -> Callable[[pa.ListArray], pa.Array
         offsets = lists.offsets.to_numpy().astype(np.int64)
         ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64)
         sizes = np.where(ids >= first, lengths[np.maximum(ids, 0)], 0)
-        data = flat[ranges(starts[np.maximum(ids, 0)], sizes)].tobytes()
-        ends = np.concatenate(([0], np.cumsum(sizes)))[offsets - offsets[0]].tolist()
+        data = flat[ranges(starts[np.maximum(ids, 0)], sizes)]
+        ends = np.concatenate(([0], np.cumsum(sizes)))[offsets - offsets[0]]
+        if _whole(data, ends):
+            texts = pa.Array.from_buffers(pa.large_string(), len(lists), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+            return pc.if_else(lists.is_valid(), texts, None).cast(pa.string())
+        data, ends = data.tobytes(), ends.tolist()
         texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:], strict=False)]
         return pa.array([t if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist(), strict=True)], pa.string())
 
     return decode
 
 
+def _whole(data: np.ndarray, ends: np.ndarray) -> bool:
+    """Whether every text is UTF-8 without a replacement: all bytes are, and no text starts inside a character."""
+    try:
+        str(data.data, "utf-8")
+    except UnicodeDecodeError:
+        return False
+    return bool((data[ends[ends < len(data)]] & 0xC0 != 0x80).all())
+
+
 def vocab_lookup(tokens: DataFrame, model: BPEModel, token_col: str = "token", strict: bool = True) -> DataFrame:
     """token -> id via a broadcast join; the vocabulary is bounded by the model's size."""
     v = model.vocab_df(tokens.sparkSession).select(F.col("token").alias(token_col), "id")

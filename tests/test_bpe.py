@@ -258,3 +258,27 @@ def test_words_are_filtered_after_they_are_counted(spark):
     finally:
         type(words).repartition = real
     assert "Filter" not in seen[0]._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[1]
+
+
+def test_decoding_gives_back_what_is_kept(spark):
+    """Whole texts by their buffers, cut characters with a replacement, null and empty rows, label padding;
+    of the other columns those that are kept, and only those reach the tasks."""
+    from qalam.operators.encode import _decoder, decode_ids, encode_pairs
+
+    import pyarrow as pa
+
+    texts = ["é日 x", "", "a\U0001f600", "plain"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "row_id long, t string")
+    model = train_bpe(pretoken_counts(df, ["t"]), vocab_size=262)
+    ids = encode_pairs(df, model, None, "t", "t", keep=["row_id"])
+    out = decode_ids(ids, model, ["input_ids", "labels"], keep=["row_id"])
+    assert out.columns == ["row_id", "decoded_input_ids", "decoded_labels"]
+    assert {r.row_id: (r[1], r[2]) for r in out.collect()} == {i: (t, t) for i, t in enumerate(texts)}
+    assert "attention_mask" not in out._jdf.queryExecution().optimizedPlan().toString().split("Project [")[1].split("]")[0]
+
+    decode, enc = _decoder(model.tokens, 0), model.encoder()
+    rows = [enc.encode("é日"), None, [], [-100, *enc.encode("x"), -100], enc.encode("日")[:2], enc.encode("日")[2:]]
+    type_ = pa.list_(pa.int32())
+    assert decode(pa.array(rows[:4], type_)).to_pylist() == ["é日", None, "", "x"]
+    assert decode(pa.array(rows, type_).slice(1)).to_pylist() == [None, "", "x", "\ufffd", "\ufffd"]
+    assert decode(pa.array([], type_)).to_pylist() == []
